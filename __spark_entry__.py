@@ -15,6 +15,7 @@ from barlake.operators.facts import daily_ohlcv, fact_daily
 from barlake.operators.surrogate import dense_ids
 from barlake.operators.tickers import current_attrs, incoming_attrs
 from barlake.operators.validation import reason_counts, split_quarantine, split_valid
+from barlake.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,12 +73,14 @@ def _current_attrs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scd2_initial(spark: SparkSession, sf: str) -> DataFrame:
-    dim = scd2.initial(current_attrs(*_listings(spark, sf)), fx.RUN_DATE)
+    ensure_checkpoint_dir(spark)
+    dim = scd2.initial(current_attrs(*_listings(spark, sf)).checkpoint(), fx.RUN_DATE)
     return _text(dim, "effective_from", "effective_to")
 
 
 def _scd2_merge(spark: SparkSession, sf: str) -> DataFrame:
-    attrs = current_attrs(*_listings(spark, sf))
+    ensure_checkpoint_dir(spark)
+    attrs = current_attrs(*_listings(spark, sf)).checkpoint()
     dim = scd2.merge(fx.derive(spark, sf, fx.EXISTING), attrs, fx.RUN_DATE)
     return _text(dim, "effective_from", "effective_to")
 

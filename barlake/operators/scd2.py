@@ -48,6 +48,8 @@ def merge(existing: DataFrame, incoming: DataFrame, run_date: RunDate = None) ->
     * new symbol -> a fresh version
 
     Fresh versions get keys above the highest existing one, in symbol order. Closed history is kept.
+    Numbering reads ``incoming`` more than once: pass it stored (checkpoint or table), not as a plan
+    over all of silver.
     """
     day = _day(run_date)
     old = existing.where("is_current").select(
@@ -79,9 +81,8 @@ def merge(existing: DataFrame, incoming: DataFrame, run_date: RunDate = None) ->
     versions = pairs.select(F.inline(left_behind))
 
     top = existing.agg(F.coalesce(F.max("ticker_key"), F.lit(0))).scalar()
-    keyed = dense_ids(
-        versions.where("ticker_key IS NULL").drop("ticker_key"), "symbol", "ticker_key", start=top
-    )
+    unkeyed = versions.where("ticker_key IS NULL").drop("ticker_key")
+    keyed = dense_ids(unkeyed, "symbol", "ticker_key", start=top, spread_like=incoming)
     parts = [existing.where("NOT is_current"), versions.where("ticker_key IS NOT NULL"), keyed]
     return reduce(DataFrame.unionByName, map(_as_dimension, parts))
 

@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 
 
 def dense_ids(
-    keys: DataFrame, by: str, out: str, start: Column | int = 0, splits: int = 64
+    keys: DataFrame, by: str, out: str, start: Column | int = 0, splits: int = 64,
+    spread_like: DataFrame | None = None,
 ) -> DataFrame:
     """``start + row_number() over (order by <by>)`` for a unique key column, computed in ranges.
 
     ``splits`` boundary keys are picked by lowest hash, so they spread evenly whatever prefix the keys
     share, and picking them again gives the same ones: a recomputed task never sees other ranges.
     Each range is numbered on its own and lifted by the sizes of the ranges below. Boundaries and
-    sizes are scalar subqueries of at most ``splits + 1`` entries.
+    sizes are scalar subqueries of at most ``splits + 1`` entries. Any boundaries give the same ids,
+    so they may come from ``spread_like``, a frame with alike keys that is cheaper to read.
     """
     key = F.col(by)
-    picked = keys.select(key).orderBy(F.xxhash64(key), key).limit(splits)
+    picked = (keys if spread_like is None else spread_like).select(key).orderBy(F.xxhash64(key), key).limit(splits)
     bounds = picked.agg(F.sort_array(F.collect_list(by))).scalar()
     ranged = keys.withColumn("_bounds", bounds).withColumn(
         "_range", F.size(F.filter("_bounds", lambda bound: F.coalesce(bound <= key, F.lit(False))))

@@ -44,7 +44,7 @@ def to_envelope(log: DataFrame, arrived: Column | None = None) -> DataFrame:
     return log.select(*map(F.expr, ENVELOPE), arrived.alias("bronze_ingested_at"))
 
 
-def _parsed(envelope: DataFrame, strict_json: bool) -> DataFrame:
+def _parsed(envelope: DataFrame) -> DataFrame:
     """Parse each payload exactly once.
 
     A plain projection would not do: filter pushdown copies ``from_json`` into the filter once per
@@ -52,11 +52,7 @@ def _parsed(envelope: DataFrame, strict_json: bool) -> DataFrame:
     no predicate crosses, so both branches parse once per event.
     """
     event = F.from_json("raw_payload", ddl(EVENT))
-    broken = event.isNull() | ~F.trim("raw_payload").startswith("{")
-    if strict_json:
-        broken = broken | F.try_parse_json("raw_payload").isNull()
-    once = F.struct(event.alias("event"), broken.alias("broken"))
-    return envelope.select("*", F.explode(F.array(once)).alias("_once"))
+    return envelope.select("*", F.explode(F.array(event)).alias("_event"))
 
 
 def error_reason(broken: Column) -> Column:
@@ -80,9 +76,11 @@ def validate(envelope: DataFrame, strict_json: bool = False) -> DataFrame:
     ``strict_json`` labels broken JSON that starts with ``{`` as ``malformed_json``; by default it
     shows up as missing fields, because the parser is permissive.
     """
-    events = _parsed(envelope, strict_json).select(
-        *envelope.columns, "_once.event.*", F.col("_once.broken").alias("_broken")
-    )
+    events = _parsed(envelope)
+    broken = F.col("_event").isNull() | ~F.trim("raw_payload").startswith("{")
+    if strict_json:
+        broken = broken | F.try_parse_json("raw_payload").isNull()
+    events = events.select(*envelope.columns, "_event.*", broken.alias("_broken"))
     return events.withColumn("error_reason", error_reason(F.col("_broken"))).drop("_broken")
 
 

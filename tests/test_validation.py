@@ -1,0 +1,116 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from barlake.operators.validation import split_quarantine, split_valid, to_envelope, validate
+
+LOG = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+GOOD = dict(symbol="A", timestamp="2026-07-30T19:59:00Z", open=2.0, high=3.0, low=1.0, close=2.5, volume=10)
+MISSING = "missing_symbol,missing_timestamp,invalid_numeric"
+
+
+def changed(**fields):
+    record = {**GOOD, **fields}
+    return json.dumps({k: v for k, v in record.items() if v is not ...})
+
+
+CASES = [
+    (json.dumps(GOOD), ""),
+    (json.dumps({**GOOD, "unknown": 1}), ""),
+    ("  " + json.dumps(GOOD), ""),
+    (json.dumps(GOOD).replace('"', "'"), ""),
+    (json.dumps(GOOD) + " trailing", ""),
+    (None, "malformed_json"),
+    ("", "malformed_json"),
+    ("   ", "malformed_json"),
+    ("not json", "malformed_json"),
+    ('"x"', "malformed_json"),
+    ("null", "malformed_json"),
+    ("123", "malformed_json"),
+    ("[]", "malformed_json"),
+    ("[" + json.dumps(GOOD) + "]", "malformed_json"),
+    ("{}", MISSING),
+    ('{"symbol" "A"}', MISSING),
+    ('{"symbol":"A","close":1.0', MISSING),
+    (changed(Symbol="A", symbol=...), "missing_symbol"),
+    (changed(symbol=...), "missing_symbol"),
+    (changed(symbol=""), ""),
+    (changed(symbol=5), ""),
+    (changed(timestamp=None), "missing_timestamp"),
+    (changed(timestamp="whenever"), ""),
+    (changed(open=None), "invalid_numeric"),
+    (changed(volume="100"), "invalid_numeric"),
+    (changed(volume=1.5), "invalid_numeric"),
+    (changed(close="1.5"), "invalid_numeric"),
+    (changed(close=0.0), "close<=0,low>close"),
+    (changed(volume=-1), "volume<0"),
+    (changed(high=0.5), "high<low,high<open,high<close"),
+    (changed(open=3.5), "high<open"),
+    (changed(close=3.5), "high<close"),
+    (changed(open=0.5), "low>open"),
+    (changed(close=0.5), "low>close"),
+    (changed(symbol=..., close=-1.0, volume=-5), "missing_symbol,close<=0,volume<0,low>close"),
+    (changed(close=float("nan")), "high<close"),
+    (changed(open=float("nan"), high=float("nan"), low=float("nan"), close=float("nan")), ""),
+]
+
+
+@pytest.fixture
+def log(spark):
+    rows = [
+        (b"A", None if text is None else text.encode(), "stock-prices", 0, i, None)
+        for i, (text, _) in enumerate(CASES)
+    ]
+    return spark.createDataFrame(rows, LOG)
+
+
+def reasons(checked):
+    return {r.kafka_offset: r.error_reason for r in checked.collect()}
+
+
+def test_every_payload_gets_its_labels(log):
+    got = reasons(validate(to_envelope(log)))
+    assert got == {i: reason for i, (_, reason) in enumerate(CASES)}
+
+
+def test_strict_json_tells_broken_from_incomplete(log):
+    got = reasons(validate(to_envelope(log), strict_json=True))
+    texts = {text: got[i] for i, (text, _) in enumerate(CASES)}
+    assert texts['{"symbol" "A"}'] == texts['{"symbol":"A","close":1.0'] == "malformed_json"
+    assert texts["{}"] == MISSING
+    assert texts[json.dumps(GOOD)] == ""
+
+
+def test_split_keeps_every_event_once_and_whole(log):
+    checked = validate(to_envelope(log))
+    valid, rejected = split_valid(checked), split_quarantine(checked)
+    offsets = [r.kafka_offset for r in valid.collect() + rejected.collect()]
+    assert sorted(offsets) == list(range(len(CASES)))
+    assert "error_reason" not in valid.columns
+    raw = {r.kafka_offset: r.raw_payload for r in rejected.collect()}
+    assert all(raw[i] == CASES[i][0] for i in raw)
+
+
+def test_event_date_is_the_local_text_and_ingest_date_the_arrival(spark, log):
+    local = json.dumps({**GOOD, "timestamp": "2026-07-30T23:30:00-05:00"}).encode()
+    one = spark.createDataFrame([(b"A", local, "t", 0, 0, None), (b"A", b"x", "t", 0, 1, None)], LOG)
+    arrived = F.lit("2026-08-02 03:00:00").cast("timestamp")
+    checked = validate(to_envelope(one, arrived))
+    assert split_valid(checked).first().date == "2026-07-30"
+    assert split_quarantine(checked).first().date == "2026-08-02"
+
+
+def test_bronze_has_envelope_and_contract_columns(log):
+    assert split_valid(validate(to_envelope(log))).columns == [
+        "raw_payload", "kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp",
+        "bronze_ingested_at", "symbol", "timestamp", "open", "high", "low", "close", "volume", "source",
+        "interval", "currency", "ingested_at", "date",
+    ]
+
+
+def test_payload_is_parsed_once_per_branch(log, plan_of):
+    for branch in (split_valid, split_quarantine):
+        executed = plan_of(branch(validate(to_envelope(log)))).split("== Physical Plan ==")[1]
+        assert executed.count("from_json(") == 1
+        assert "Exchange" not in executed and "Python" not in executed
