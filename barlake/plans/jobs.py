@@ -15,8 +15,8 @@ from barlake.operators.dedup import clean
 from barlake.operators.facts import fact_daily
 from barlake.operators.tickers import Names, current_attrs
 from barlake.plans.analytics import Star
-from barlake.schemas import COMPANY_NAMES, GOLD_TABLES
-from barlake.session import ensure_checkpoint_dir
+from barlake.schemas import COMPANY_NAMES, GOLD_TABLES, NATURAL_KEY
+from barlake.session import ensure_checkpoint_dir, shuffles_sized_for
 from barlake.sources import lake
 from barlake.sources.jdbc import Warehouse, load_table
 
@@ -50,9 +50,12 @@ def refine_silver(
     """
     dates = None if dates is None else list(dates)
     arrived = Observation()
-    bronze = lake.read(spark, layers.bronze, dates).observe(arrived, F.count("*").alias("rows"))
-    written = lake.write_by_date(clean(bronze), layers.silver, dates)
-    return {"bronze": arrived.get["rows"], "silver": written["rows"]}
+    bronze = lake.read(spark, layers.bronze, dates)
+    with shuffles_sized_for(bronze):
+        counted = bronze.observe(arrived, F.count("*").alias("rows"))
+        written = lake.write_by_date(clean(counted), layers.silver, NATURAL_KEY, dates)
+    read = lake.observed(arrived, lambda: {"rows": bronze.count()})
+    return {"bronze": read["rows"], "silver": written["rows"]}
 
 
 def read_dim_ticker(spark: SparkSession, layers: Layers) -> DataFrame | None:
@@ -87,7 +90,8 @@ def build_gold(
     dimension = scd2.initial(attrs, day) if existing is None else scd2.merge(existing, attrs, day)
     lake.write_snapshot(dimension, layers.dim_ticker)
 
-    fact = lake.write(fact_daily(silver, read_dim_ticker(spark, layers)), layers.fact)
+    with shuffles_sized_for(silver):
+        fact = lake.write(fact_daily(silver, read_dim_ticker(spark, layers)), layers.fact)
     days = spark.read.parquet(layers.fact).select(
         F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("date")
     )

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def object_store_conf(
@@ -44,3 +48,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="barlake-checkpoints-")
     context.setCheckpointDir(shared)
+
+
+@contextmanager
+def shuffles_sized_for(
+    scan: DataFrame, task_bytes: int = 512 << 20, most: int = 100_000
+) -> Iterator[int]:
+    """Raise the shuffle partition count so that a shuffle of ``scan`` fits in memory task by task.
+
+    Adaptive execution merges partitions that turn out small but cannot cut those of an aggregation,
+    so the count has to follow the input. It is never lowered below the session's own setting.
+    """
+    conf = scan.sparkSession.conf
+    before = conf.get(SHUFFLE_PARTITIONS)
+    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    count = max(int(before), min(most, -(-size // task_bytes)))
+    conf.set(SHUFFLE_PARTITIONS, str(count))
+    try:
+        yield count
+    finally:
+        conf.set(SHUFFLE_PARTITIONS, before)

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.sources.lake import observed
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -49,7 +51,8 @@ def load_table(frame: DataFrame, table: str, warehouse: Warehouse) -> int:
     """
     sent = Observation()
     warehouse.save(frame.observe(sent, F.count("*").alias("rows")), table)
+    rows = observed(sent, lambda: {"rows": 0})["rows"]
     stored = warehouse.rows(frame.sparkSession, table)
-    if stored != sent.get["rows"]:
-        raise RuntimeError(f"{table}: sent {sent.get['rows']} rows, warehouse holds {stored}")
+    if stored != rows:
+        raise RuntimeError(f"{table}: sent {rows} rows, warehouse holds {stored}")
     return stored

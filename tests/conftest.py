@@ -27,11 +27,11 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture
-def plan_of():
-    """Text of the executed plan, after running the frame."""
+def plan_of(spark):
+    """Text of the physical plan."""
+    modes = spark._jvm.org.apache.spark.sql.execution.ExplainMode
 
-    def text(frame):
-        frame.write.format("noop").mode("overwrite").save()
-        return frame._jdf.queryExecution().toString()
+    def text(frame, mode="simple"):
+        return frame._jdf.queryExecution().explainString(modes.fromString(mode))
 
     return text

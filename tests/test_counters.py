@@ -1,0 +1,124 @@
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from barlake.operators.counters import (
+    average_latency, counter_rate, increases, records_per_minute, totals_or_zero,
+)
+
+SAMPLES = "symbol string, ts bigint, id bigint, value double"
+
+
+def brute_force(rows, window):
+    """Delta and rate per sample id, straight from the definition."""
+    series = defaultdict(list)
+    for symbol, ts, i, value in rows:
+        series[symbol].append((ts, i, value))
+    delta, rate = {}, {}
+    for samples in series.values():
+        samples.sort()
+        before = None
+        for ts, i, value in samples:
+            delta[i] = 0.0 if before is None else value if value < before else value - before
+            before = value
+        for ts, i, _ in samples:
+            inside = [delta[j] for t, j, _ in samples if ts - window <= t <= ts]
+            rate[i] = sum(inside) / window
+    return delta, rate
+
+
+def random_samples(seed, count, span):
+    """One series holds most samples; times repeat, leave long gaps, and go below zero."""
+    rng = random.Random(seed)
+    rows, value = [], defaultdict(int)
+    times = sorted(rng.choice([rng.randrange(-span, span), rng.randrange(span // 10)]) for _ in range(count))
+    for i, ts in enumerate(times):
+        symbol = "HOT" if i % 3 else f"S{rng.randrange(4)}"
+        value[symbol] = rng.randrange(3) if rng.random() < 0.1 else value[symbol] + rng.randrange(5)
+        rows.append((symbol, ts, i, float(value[symbol])))
+    return rows
+
+
+@pytest.mark.parametrize("seed, span, window, chunk", [
+    (1, 20_000, 300, 300), (2, 20_000, 300, 1_000), (3, 2_000, 300, 100_000), (4, 400_000, 60, 120),
+    (5, 50_000, 1_000, 1_001),
+])
+def test_rates_do_not_depend_on_chunks(spark, seed, span, window, chunk):
+    rows = random_samples(seed, 700, span)
+    delta, rate = brute_force(rows, window)
+    frame = spark.createDataFrame(rows, SAMPLES).repartition(4)
+    got = counter_rate(frame, ["symbol"], window, tie="id", chunk_seconds=chunk)
+    assert {r.id: r.rate for r in got.collect()} == rate
+    assert got.columns == [*frame.columns, "rate"]
+    deltas = increases(frame, ["symbol"], tie="id", chunk_seconds=chunk)
+    assert {r.id: r.delta for r in deltas.collect()} == delta
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_times_may_be_timestamps(spark, kind):
+    rows = random_samples(6, 300, 5_000)
+    _, rate = brute_force(rows, 120)
+    frame = spark.createDataFrame(rows, SAMPLES).withColumn("ts", F.timestamp_seconds("ts").cast(kind))
+    got = counter_rate(frame, ["symbol"], 120, tie="id")
+    assert {r.id: r.rate for r in got.collect()} == pytest.approx(rate)
+
+
+def test_no_task_sees_a_whole_series(spark, plan_of):
+    frame = spark.createDataFrame(random_samples(7, 200, 50_000), SAMPLES)
+    executed = plan_of(counter_rate(frame, ["symbol"], 60, tie="id"))
+    by_series = [w for w in executed.splitlines() if "Window [" in w and "windowspecdefinition(symbol" in w]
+    per_sample = [w for w in by_series if "_chunk" not in w.split("windowspecdefinition(")[1].split("ASC")[0]]
+    assert all("last_head" in w or "lag(_chunk" in w for w in per_sample)
+
+
+def test_chunk_shorter_than_window_is_refused(spark):
+    frame = spark.createDataFrame([("A", 1, 1, 1.0)], SAMPLES)
+    with pytest.raises(ValueError):
+        counter_rate(frame, ["symbol"], 60, chunk_seconds=30)
+
+
+def at(minute, second=0):
+    return datetime(2026, 1, 1, 0, 0, tzinfo=timezone.utc) + timedelta(minutes=minute, seconds=second)
+
+
+LONG = "metric string, symbol string, ts timestamp, value double"
+
+
+def test_average_latency_over_all_series(spark):
+    rows = []
+    for symbol, sums, counts in (("A", [0.0, 1.0, 4.0], [0.0, 2.0, 4.0]), ("B", [5.0, 6.0, 1.0], [9.0, 10.0, 2.0])):
+        for k, minute in enumerate((0, 1, 6)):
+            rows += [("s", symbol, at(minute), sums[k]), ("c", symbol, at(minute), counts[k])]
+    rows += [("s", "A", at(20), 4.0), ("c", "A", at(20), 4.0), ("other", "A", at(20), 99.0)]
+    latency = average_latency(spark.createDataFrame(rows, LONG), "s", "c")
+    got = {r.window_start.minute: r.avg_latency for r in latency.collect()}
+    assert got == {0: (1.0 + 1.0) / (2.0 + 1.0), 5: (3.0 + 1.0) / (2.0 + 2.0), 20: None}
+
+
+def test_average_latency_slides(spark):
+    rows = [("s", "A", at(m), float(m)) for m in range(8)] + [("c", "A", at(m), m / 2) for m in range(8)]
+    latency = average_latency(spark.createDataFrame(rows, LONG), "s", "c", step="1 minute")
+    got = [r.avg_latency for r in latency.collect() if r.avg_latency is not None]
+    assert len(got) == 11 and set(got) == {2.0}
+
+
+def test_totals_take_the_latest_value_of_each_series(spark):
+    rows = [
+        ("retries", "A", at(0), 5.0), ("retries", "A", at(9), 7.0), ("retries", "B", at(3), 1.0),
+        ("other", "A", at(9), 100.0),
+    ]
+    frame = spark.createDataFrame(rows, LONG)
+    got = {r.metric: r.total for r in totals_or_zero(frame, ["retries", "failures"]).collect()}
+    assert got == {"retries": 8.0, "failures": 0.0}
+    none = {r.metric: r.total for r in totals_or_zero(frame.where("false"), ["retries"]).collect()}
+    assert none == {"retries": 0.0}
+
+
+def test_records_per_minute(spark):
+    rows = [("A", at(0, 1)), ("A", at(0, 59)), ("A", at(1)), ("B", at(0))]
+    frame = spark.createDataFrame(rows, "symbol string, ts timestamp")
+    got = {(r.symbol, r.minute.minute): r.records for r in records_per_minute(frame).collect()}
+    assert got == {("A", 0): 2, ("A", 1): 1, ("B", 0): 1}
