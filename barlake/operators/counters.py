@@ -52,24 +52,26 @@ def _chunked(
     adjacent = F.lag("_chunk").over(along) == F.col("_chunk") - 1
     before_tail = F.coalesce(F.lag("last_head").over(along), F.lag("last", 2).over(along))
     carry = F.when(adjacent, before_tail).otherwise(F.lag("last").over(along))
-    carried = ends.select(*by, "_chunk", carry.alias("_carry")).where("_carry IS NOT NULL")
+    carried = ends.withColumn("_carry", carry).where("_carry IS NOT NULL")
     carried = carried.select(*by, "_chunk", "_carry.*", F.lit(False).alias("_own"))
 
-    own = F.struct(F.col("_chunk"), F.lit(True).alias("_own"))
-    copy = F.struct((F.col("_chunk") + 1).alias("_chunk"), F.lit(False).alias("_own"))
-    places = F.array_compact(F.array(own, F.when(in_tail, copy))) if window else F.array(own)
-    spread = timed.withColumn("_place", F.explode(places)).drop("_chunk").select("*", "_place.*")
-    return spread.drop("_place").unionByName(carried, allowMissingColumns=True), order
+    if window:
+        home = F.col("_chunk")
+        places = F.when(in_tail, F.array(home, home + 1)).otherwise(F.array(home))
+        spread = timed.withColumn("_place", F.explode(places)).withColumn("_own", F.col("_place") == home)
+        spread = spread.drop("_chunk").withColumnRenamed("_place", "_chunk")
+    else:
+        spread = timed.withColumn("_own", F.lit(True))
+    return spread.unionByName(carried, allowMissingColumns=True), order
 
 
 def _with_delta(spread: DataFrame, by: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
     """Increase since the previous sample; a falling counter was reset, so its new value counts."""
-    v = F.col(value)
     before = F.lag(value).over(W.partitionBy(*by, "_chunk").orderBy(*order))
-    zero = F.lit(0).cast("double")
-    return spread.withColumn(
-        "delta", F.when(before.isNull(), zero).when(v < before, v).otherwise(v - before)
-    )
+    v, previous = F.col(value), F.col("_before")
+    gained = F.when(previous.isNull(), F.lit(0).cast("double")).when(v < previous, v).otherwise(v - previous)
+    # As a column of its own, or the window would evaluate it once per use.
+    return spread.withColumn("_before", before).withColumn("delta", gained).drop("_before")
 
 
 def increases(

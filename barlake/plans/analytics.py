@@ -6,13 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+# Sorts end in columns that tell rows apart: a range of the sort can then be cut inside a value that
+# many rows share, and the order is always the same.
 QUERIES = {
     "daily_summary": """
         SELECT symbol, company_name, full_date, day_high, day_low, avg_close, total_volume
         FROM {fact} JOIN {ticker} USING (ticker_key) JOIN {calendar} USING (date_key)
         ORDER BY symbol ASC NULLS LAST, full_date ASC NULLS LAST
     """,
-    # Equal averages are ordered by company and day, so the answer is always the same row.
     "top_avg_close": """
         SELECT company_name, avg_close
         FROM {fact} JOIN {ticker} USING (ticker_key)
@@ -23,12 +24,12 @@ QUERIES = {
         SELECT day_of_week, sum(total_volume) AS total_volume
         FROM {fact} JOIN {calendar} USING (date_key)
         GROUP BY day_of_week
-        ORDER BY total_volume DESC NULLS FIRST
+        ORDER BY total_volume DESC NULLS FIRST, day_of_week ASC NULLS LAST
     """,
     "price_range": """
         SELECT symbol, full_date, day_high - day_low AS price_range
         FROM {fact} JOIN {ticker} USING (ticker_key) JOIN {calendar} USING (date_key)
-        ORDER BY price_range DESC NULLS FIRST
+        ORDER BY price_range DESC NULLS FIRST, symbol ASC NULLS LAST, full_date ASC NULLS LAST
     """,
     "current_directory": """
         SELECT symbol, company_name, currency, effective_from

@@ -9,13 +9,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.functions import calendar_date
 from barlake.operators import scd2
 from barlake.operators.calendar import dim_date
 from barlake.operators.dedup import clean
 from barlake.operators.facts import fact_daily
 from barlake.operators.tickers import Names, current_attrs
 from barlake.plans.analytics import Star
-from barlake.schemas import COMPANY_NAMES, GOLD_TABLES, NATURAL_KEY
+from barlake.schemas import COMPANY_NAMES, FACT, GOLD_TABLES, NATURAL_KEY, ddl
 from barlake.session import ensure_checkpoint_dir, shuffles_sized_for
 from barlake.sources import lake
 from barlake.sources.jdbc import Warehouse, load_table
@@ -51,9 +52,11 @@ def refine_silver(
     dates = None if dates is None else list(dates)
     arrived = Observation()
     bronze = lake.read(spark, layers.bronze, dates)
-    with shuffles_sized_for(bronze):
+    with shuffles_sized_for(spark, lake.stored_bytes(spark, layers.bronze, dates)):
         counted = bronze.observe(arrived, F.count("*").alias("rows"))
-        written = lake.write_by_date(clean(counted), layers.silver, NATURAL_KEY, dates)
+        written = lake.write_partitions(
+            clean(counted), layers.silver, "date", NATURAL_KEY, only=dates
+        )
     read = lake.observed(arrived, lambda: {"rows": bronze.count()})
     return {"bronze": read["rows"], "silver": written["rows"]}
 
@@ -64,39 +67,71 @@ def read_dim_ticker(spark: SparkSession, layers: Layers) -> DataFrame | None:
     return None if path is None else spark.read.parquet(path)
 
 
+def read_fact(spark: SparkSession, layers: Layers) -> DataFrame:
+    return spark.read.schema(ddl(FACT)).parquet(layers.fact).select(*FACT)
+
+
 def read_star(spark: SparkSession, layers: Layers) -> Star:
     ticker = read_dim_ticker(spark, layers)
     if ticker is None:
         raise FileNotFoundError(f"no complete snapshot in {layers.dim_ticker}")
-    return Star(spark.read.parquet(layers.fact), ticker, spark.read.parquet(layers.dim_date))
+    return Star(read_fact(spark, layers), ticker, spark.read.parquet(layers.dim_date))
 
 
 def build_gold(
     spark: SparkSession, layers: Layers, run_date: dt.date | str | None = None,
-    names: Names = COMPANY_NAMES,
+    names: Names = COMPANY_NAMES, dates: Iterable[str] | None = None,
 ) -> dict[str, int]:
-    """Write the star schema of all of silver.
+    """Write the star schema of all of silver, or bring it up to date after some dates changed.
 
     Silver is scanned twice: four columns for the ticker attributes, six for the fact. The small
     results are stored before they are used again: attributes as a checkpoint, the dimension as a
-    snapshot that the fact reads back, and the calendar from the days of the written fact.
+    snapshot that the fact reads back, and the calendar from the days of the written fact. Rows
+    whose date is unusable stay out of gold and are counted as ``undated``.
+
+    With ``dates`` only part of silver is read, and the outcome equals the full build as long as
+    times are UTC, as the contract has them, and ``names`` stay the same:
+
+    * attributes from the first changed date on: a symbol not seen since then has not changed
+    * facts of the changed dates and of days from ``run_date`` on: a merge closes and opens versions
+      on ``run_date``, so no earlier day can get another version
     """
     ensure_checkpoint_dir(spark)
     day = str(run_date or spark.sql("SELECT current_date() AS d").first()["d"])
-    silver = lake.read(spark, layers.silver)
-
-    attrs = current_attrs(silver, names).checkpoint()
+    stored, on = lake.read(spark, layers.silver), calendar_date(F.col("date"))
+    undated = stored.where(on.isNull()).count()
+    recent = stale = stored.where(on.isNotNull())
     existing = read_dim_ticker(spark, layers)
+    keys = None
+    if dates is not None and existing is not None:
+        changed = sorted(date for date in dates if _is_date(date))
+        first = changed[0] if changed else day
+        recent = stored.where(on >= F.lit(first).cast("date"))
+        stale = stored.where(on.isin([dt.date.fromisoformat(d) for d in changed]) | (on >= F.lit(day).cast("date")))
+        keys = [date.replace("-", "") for date in changed]
+
+    attrs = current_attrs(recent, names).checkpoint()
     dimension = scd2.initial(attrs, day) if existing is None else scd2.merge(existing, attrs, day)
     lake.write_snapshot(dimension, layers.dim_ticker)
 
-    with shuffles_sized_for(silver):
-        fact = lake.write(fact_daily(silver, read_dim_ticker(spark, layers)), layers.fact)
-    days = spark.read.parquet(layers.fact).select(
+    with shuffles_sized_for(spark, lake.stored_bytes(spark, layers.silver, keys and changed)):
+        rows = fact_daily(stale, read_dim_ticker(spark, layers))
+        # Days before the first load have no ticker key, so measures help to tell rows apart.
+        apart = ["ticker_key", "avg_close", "total_volume"]
+        fact = lake.write_partitions(rows, layers.fact, "date_key", apart, only=keys)
+
+    days = read_fact(spark, layers).select(
         F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("date")
     )
     calendar = lake.write(dim_date(days), layers.dim_date)
-    return {"fact_daily_prices": fact["rows"], "dim_date": calendar["rows"]}
+    return {"fact_daily_prices": fact["rows"], "dim_date": calendar["rows"], "undated": undated}
+
+
+def _is_date(text: str) -> bool:
+    try:
+        return bool(dt.date.fromisoformat(text))
+    except ValueError:
+        return False
 
 
 def load_warehouse(spark: SparkSession, layers: Layers, warehouse: Warehouse) -> dict[str, int]:
@@ -111,9 +146,13 @@ def run_batch(
     run_date: dt.date | str | None = None, names: Names = COMPANY_NAMES,
     dates: Iterable[str] | None = None,
 ) -> dict[str, dict[str, int]]:
-    """Silver, gold and, if a warehouse is given, the load. Each step may be repeated safely."""
+    """Silver, gold and, if a warehouse is given, the load. Each step may be repeated safely.
+
+    ``dates`` limits the run to bronze dates that got new events since the last one.
+    """
+    dates = None if dates is None else list(dates)
     report = {"silver": refine_silver(spark, layers, dates)}
-    report["gold"] = build_gold(spark, layers, run_date, names)
+    report["gold"] = build_gold(spark, layers, run_date, names, dates)
     if warehouse is not None:
         report["warehouse"] = load_warehouse(spark, layers, warehouse)
     return report

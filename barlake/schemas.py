@@ -26,6 +26,14 @@ DIM_TICKER = {
     "effective_to": "date",
     "is_current": "boolean",
 }
+FACT = {
+    "date_key": "int",
+    "ticker_key": "int",
+    "day_high": "double",
+    "day_low": "double",
+    "avg_close": "double",
+    "total_volume": "bigint",
+}
 OPEN_END = "9999-12-31"
 TRACKED = ("company_name", "currency", "source")
 NATURAL_KEY = ("symbol", "timestamp")

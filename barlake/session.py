@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
@@ -52,17 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 @contextmanager
 def shuffles_sized_for(
-    scan: DataFrame, task_bytes: int = 512 << 20, most: int = 100_000
+    spark: SparkSession, input_bytes: int, task_bytes: int = 512 << 20, most: int = 100_000
 ) -> Iterator[int]:
-    """Raise the shuffle partition count so that a shuffle of ``scan`` fits in memory task by task.
+    """Raise the shuffle partition count so that a shuffle of the input fits in memory task by task.
 
     Adaptive execution merges partitions that turn out small but cannot cut those of an aggregation,
     so the count has to follow the input. It is never lowered below the session's own setting.
     """
-    conf = scan.sparkSession.conf
+    conf = spark.conf
     before = conf.get(SHUFFLE_PARTITIONS)
-    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    count = max(int(before), min(most, -(-size // task_bytes)))
+    count = max(int(before), min(most, -(-input_bytes // task_bytes)))
     conf.set(SHUFFLE_PARTITIONS, str(count))
     try:
         yield count

@@ -26,15 +26,25 @@ def read(spark: SparkSession, path: str, dates: Iterable[str] | None = None) ->
     return frame if dates is None else frame.where(F.col("date").cast("string").isin(*dates))
 
 
-def by_date(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Lay rows out in ranges of ``(date, *keys)``, sorted within each task.
-
-    Tasks are contiguous ranges, so ``n`` tasks over ``d`` dates write at most ``n + d`` files. With
-    unique keys a range can always be cut: a date that holds a third of all rows goes to a third of
-    the tasks. (Hashing by date would put it in one task, and splitting that task by its inputs would
-    scatter every other date it holds.) Sorted files also let readers skip row groups.
+def stored_bytes(spark: SparkSession, path: str, dates: Iterable[str] | None = None) -> int:
+    """Size of a layer, or of some of its dates, from file listings alone."""
+    if dates is None:
+        scan = spark.read.parquet(path)
+        return int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    parts = [_fs(spark, f"{path}/date={date}") for date in dates]
+    return sum(fs.getContentSummary(part).getLength() for fs, part in parts if fs.exists(part))
+
+
+def in_ranges(frame: DataFrame, *keys: str) -> DataFrame:
+    """Lay rows out in ranges of ``keys``, sorted within each task.
+
+    Tasks are contiguous ranges, so ``n`` tasks over ``d`` values of the first key write at most
+    ``n + d`` files when that key partitions the table. If the keys together are unique, a range can
+    always be cut: a date that holds a third of all rows goes to a third of the tasks. (Hashing by
+    date would put it in one task, and splitting that task by its inputs would scatter every other
+    date it holds.) Sorted files also let readers skip row groups.
     """
-    return frame.repartitionByRange("date", *keys).sortWithinPartitions("date", *keys)
+    return frame.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def observed(metrics: Observation, otherwise: Callable[[], dict[str, Any]]) -> dict[str, Any]:
@@ -49,29 +59,34 @@ def observed(metrics: Observation, otherwise: Callable[[], dict[str, Any]]) -> d
         return otherwise()
 
 
-def write_by_date(
-    frame: DataFrame, path: str, keys: Sequence[str], dates: Iterable[str] | None = None
+def write_partitions(
+    frame: DataFrame, path: str, column: str, keys: Sequence[str],
+    only: Iterable[str | int] | None = None,
 ) -> dict[str, int]:
-    """Replace a date-partitioned layer, or only the given dates of it; returns ``{"rows": n}``.
+    """Replace a table partitioned by ``column``, or only some of its values; returns ``{"rows": n}``.
 
-    The count is observed on the rows as they are written, so there is no second pass.
+    ``keys`` tell the rows of one value apart. The count is observed on the rows as they are written,
+    so there is no second pass.
     """
     rows = Observation()
     metrics = [F.count("*").alias("rows")]
-    if dates is not None:
-        metrics.append(F.collect_set(F.col("date").cast("string")).alias("dates"))
-    counted = by_date(frame, keys).observe(rows, *metrics)
-    writer = counted.write.mode("overwrite").partitionBy("date")
-    mode = "static" if dates is None else "dynamic"
-    writer.option("partitionOverwriteMode", mode).parquet(path)
-    written = observed(rows, lambda: {"rows": 0, "dates": []})
-    if dates is not None:
-        for date in set(dates) - set(written["dates"]):  # refreshed to nothing: drop the old rows
-            fs, target = _fs(frame.sparkSession, f"{path}/date={date}")
-            fs.delete(target, True)
+    if only is not None:
+        metrics.append(F.collect_set(F.col(column).cast("string")).alias("values"))
+    counted = in_ranges(frame, column, *keys).observe(rows, *metrics)
+    writer = counted.write.mode("overwrite").partitionBy(column)
+    writer.option("partitionOverwriteMode", "static" if only is None else "dynamic").parquet(path)
+    written = observed(rows, lambda: {"rows": 0, "values": []})
+    if only is not None:
+        for value in set(map(str, only)) - set(written["values"]):
+            drop_partition(frame.sparkSession, path, column, value)  # refreshed to nothing
     return {"rows": written["rows"]}
 
 
+def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    fs, target = _fs(spark, f"{path}/{column}={value}")
+    fs.delete(target, True)
+
+
 def write(frame: DataFrame, path: str) -> dict[str, int]:
     """Replace a flat layer; returns ``{"rows": n}``."""
     rows = Observation()

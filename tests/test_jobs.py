@@ -52,7 +52,7 @@ def test_batch_twice_then_a_change(spark, layers):
     silver = spark.read.parquet(layers.silver)
     assert report["silver"] == {"bronze": 300, "silver": silver.count()}
     star = jobs.read_star(spark, layers)
-    assert report["gold"] == {"fact_daily_prices": star.fact.count(), "dim_date": 3}
+    assert report["gold"] == {"fact_daily_prices": star.fact.count(), "dim_date": 3, "undated": 0}
     assert star.fact.count() == silver.select("symbol", "date").distinct().count()
     assert star.ticker.count() == 4
     # Days before the first load have no version yet.
@@ -87,6 +87,23 @@ def test_refreshing_dates_equals_the_full_rebuild(spark, layers, tmp_path):
     assert refreshed == contents(spark.read.parquet(full.silver))
 
 
+@pytest.mark.parametrize("changed", [(2,), (4,), (1, 4), ()])
+def test_incremental_run_equals_full_run(spark, layers, tmp_path, changed):
+    """Events arrive late, early or not at all; facts from the run date on get the new versions."""
+    full = jobs.Layers(layers.bronze, f"{tmp_path}/silver2", f"{tmp_path}/gold2")
+    append_bronze(spark, layers, bronze_rows(200, days=(1, 2, 3, 5)))
+    for target in (layers, full):
+        jobs.run_batch(spark, target, run_date="2026-01-02", names=NAMES)
+    if changed:
+        append_bronze(spark, layers, bronze_rows(80, seed=7, offset=200, currency="EUR", days=changed))
+    dates = [f"2026-01-{day:02d}" for day in changed]
+    jobs.run_batch(spark, layers, run_date="2026-01-04", names=NAMES, dates=dates)
+    jobs.run_batch(spark, full, run_date="2026-01-04", names=NAMES)
+    one, two = jobs.read_star(spark, layers), jobs.read_star(spark, full)
+    for table in ("ticker", "fact", "calendar"):
+        assert contents(getattr(one, table)) == contents(getattr(two, table)), table
+
+
 def test_refreshing_a_date_to_nothing_removes_it(spark, layers):
     append_bronze(spark, layers, bronze_rows(60))
     jobs.refine_silver(spark, layers)
@@ -113,7 +130,7 @@ def test_a_hot_date_is_written_by_many_tasks(spark, tmp_path):
         "id", "sha2(CAST(id AS STRING), 256) AS text", "IF(id % 3 > 0, 'hot', CAST(id % 50 AS STRING)) AS date"
     )
     with small_tasks(spark, 16):
-        assert lake.write_by_date(rows, f"{tmp_path}/t", ["id"]) == {"rows": 200_000}
+        assert lake.write_partitions(rows, f"{tmp_path}/t", "date", ["id"]) == {"rows": 200_000}
     files = spark.read.parquet(f"{tmp_path}/t").inputFiles()
     assert len([f for f in files if "date=hot" in f]) >= 10
     assert len(files) <= 16 + 51
@@ -131,14 +148,18 @@ def small_tasks(spark, partitions):
 
 
 def test_shuffles_follow_the_size_of_the_scan(spark, tmp_path):
-    spark.range(100_000).write.parquet(f"{tmp_path}/t")
-    scan = spark.read.parquet(f"{tmp_path}/t")
-    with shuffles_sized_for(scan, task_bytes=10_000) as count:
-        assert 30 < count < 200
+    rows = spark.range(90_000).selectExpr("id", "CAST(id % 3 AS STRING) AS date")
+    rows.write.partitionBy("date").parquet(f"{tmp_path}/t")
+    size = lake.stored_bytes(spark, f"{tmp_path}/t")
+    dates = [lake.stored_bytes(spark, f"{tmp_path}/t", [d]) for d in "012"]
+    assert size > 100_000 and size * 0.9 < sum(dates) <= size * 1.1
+    assert lake.stored_bytes(spark, f"{tmp_path}/t", ["9"]) == 0
+    with shuffles_sized_for(spark, size, task_bytes=10_000) as count:
+        assert count == -(-size // 10_000)
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(count)
-    with shuffles_sized_for(scan, task_bytes=10_000, most=20) as count:
-        assert count == 20
-    with shuffles_sized_for(scan) as count:
+    with shuffles_sized_for(spark, size, task_bytes=10_000, most=7) as count:
+        assert count == 7
+    with shuffles_sized_for(spark, size) as count:
         assert count == 4
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
@@ -171,8 +192,9 @@ def test_only_a_missing_dimension_is_a_first_load(spark, layers, tmp_path):
 def test_dirty_date_directory_does_not_stop_gold(spark, layers):
     rows = bronze_rows(60) + [("S0", "whenever", 2.0, 1.0, 1.5, 1, "USD", "feed", None, 999, "whenever")]
     append_bronze(spark, layers, rows)
-    jobs.run_batch(spark, layers, run_date="2026-01-01", names=NAMES)
+    report = jobs.run_batch(spark, layers, run_date="2026-01-01", names=NAMES)
     star = jobs.read_star(spark, layers)
+    assert report["gold"]["undated"] == 1
     assert spark.read.parquet(layers.silver).where("timestamp = 'whenever'").count() == 1
     assert star.calendar.count() == 3
 
