@@ -11,10 +11,11 @@ from barlake import fixtures as fx
 from barlake.operators import bars, counters, scd2
 from barlake.operators.calendar import dim_date
 from barlake.operators.counts import layer_counts
-from barlake.operators.facts import daily_ohlcv, fact_daily
+from barlake.operators.facts import daily_ohlcv
 from barlake.operators.surrogate import dense_ids
 from barlake.operators.tickers import current_attrs, incoming_attrs
 from barlake.operators.validation import reason_counts, split_quarantine, split_valid
+from barlake.plans import analytics
 from barlake.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +54,7 @@ def _dim_date(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fact_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.star(spark, sf).fact
+    return fx.fact(spark, sf)
 
 
 def _daily_ohlcv(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,6 +101,16 @@ def _analytics(name: str, *dates: str) -> Query:
     return lambda spark, sf: _text(fx.star(spark, sf).run(name), *dates)
 
 
+def _top_avg_close(spark: SparkSession, sf: str) -> DataFrame:
+    versions = fx.derive(spark, sf, fx.VERSIONS)
+    return analytics.run("top_avg_close", fact=fx.fact(spark, sf), ticker=versions)
+
+
+def _current_directory(spark: SparkSession, sf: str) -> DataFrame:
+    versions = fx.derive(spark, sf, fx.VERSIONS)
+    return _text(analytics.run("current_directory", ticker=versions), "effective_from")
+
+
 def _latest_bar(spark: SparkSession, sf: str) -> DataFrame:
     return _text(bars.latest_bar(fx.derive(spark, sf, fx.USER_BARS)), "ts")
 
@@ -148,7 +159,7 @@ def _records_per_minute(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _layer_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return layer_counts(fx.checked(spark, sf), fx.silver(spark, sf))
+    return layer_counts(fx.checked(spark, sf))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -173,10 +184,10 @@ def queries() -> dict[str, Query]:
         "daily_ohlcv": _daily_ohlcv,
         "fact_daily": _fact_daily,
         "q_daily_summary": _analytics("daily_summary", "full_date"),
-        "q_top_avg_close": _analytics("top_avg_close"),
+        "q_top_avg_close": _top_avg_close,
         "q_volume_by_dow": _analytics("volume_by_dow"),
         "q_price_range": _analytics("price_range", "full_date"),
-        "q_current_directory": _analytics("current_directory", "effective_from"),
+        "q_current_directory": _current_directory,
         "latest_bar": _latest_bar,
         "shape_contract": _shaped,
         "to_event_json": _to_event_json,

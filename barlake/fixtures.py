@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.operators.calendar import dim_date
 from barlake.operators.dedup import clean
 from barlake.operators.facts import fact_daily
 from barlake.operators.validation import split_valid, to_envelope, validate
 from barlake.plans.analytics import Star
-from barlake.operators.calendar import dim_date
+from barlake.session import ensure_checkpoint_dir
 
 ARRIVAL_EPOCH = 1706788800  # 2024-02-01 12:00 UTC
 RUN_DATE = "2024-02-01"
@@ -144,6 +145,13 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(split_valid(checked(spark, sf_dir)))
 
 
+def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fact_daily(silver(spark, sf_dir), derive(spark, sf_dir, VERSIONS))
+
+
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    rows, versions = silver(spark, sf_dir), derive(spark, sf_dir, VERSIONS)
+    """The star tables. Silver feeds two of them, so it is stored first, as the batch job does."""
+    ensure_checkpoint_dir(spark)
+    rows = silver(spark, sf_dir).select("symbol", "date", "high", "low", "close", "volume")
+    rows, versions = rows.checkpoint(), derive(spark, sf_dir, VERSIONS)
     return Star(fact_daily(rows, versions), versions, dim_date(rows))

@@ -5,12 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.operators.dedup import recency
+from barlake.schemas import NATURAL_KEY
 
-def layer_counts(checked: DataFrame, silver: DataFrame) -> DataFrame:
-    """Rows of the log, of its two branches and of silver; the first three come from one pass."""
+
+def layer_counts(checked: DataFrame) -> DataFrame:
+    """Rows of the log, of its two branches and of silver, all from one pass over checked events.
+
+    Valid events are counted per natural key along with the close of their latest version, which
+    decides whether the key makes a silver row; rejected events share one group, summed up in every
+    map task.
+    """
     valid = F.col("error_reason") == ""
-    tally = {"events": F.count("*"), "bronze": F.count_if(valid), "quarantine": F.count_if(~valid)}
-    rows = [F.struct(F.lit(name).alias("layer"), n.alias("n")) for name, n in tally.items()]
-    branches = checked.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
-    refined = silver.agg(F.count("*").alias("n")).select(F.lit("silver").alias("layer"), "n")
-    return branches.unionByName(refined)
+    groups = checked.groupBy(
+        valid.alias("valid"), *[F.when(valid, F.col(c)).alias(c) for c in NATURAL_KEY]
+    ).agg(F.count("*").alias("n"), F.max_by("close", recency(checked.columns)).alias("close"))
+    tally = {
+        "events": F.sum("n"),
+        "bronze": F.sum(F.when(F.col("valid"), F.col("n"))),
+        "quarantine": F.sum(F.when(~F.col("valid"), F.col("n"))),
+        "silver": F.count_if(F.col("valid") & (F.col("close") > 0)),
+    }
+    rows = [
+        F.struct(F.lit(layer).alias("layer"), F.coalesce(n, F.lit(0).cast("bigint")).alias("n"))
+        for layer, n in tally.items()
+    ]
+    return groups.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))

@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.schemas import NATURAL_KEY
 
 
+def recency(columns: Sequence[str]) -> Column:
+    """Order of the versions of one key: arrival as an instant, then offset, then partition if known."""
+    parts = [F.col("bronze_ingested_at").try_cast("timestamp"), F.col("kafka_offset")]
+    if "kafka_partition" in columns:
+        parts.append(F.col("kafka_partition"))
+    return F.struct(*parts)
+
+
 def clean(bronze: DataFrame) -> DataFrame:
     """Latest version per ``(symbol, timestamp)``, then positive closes only.
 
-    Latest = newest arrival as an instant, then highest offset, then highest partition if there is
-    one. The price test comes after: if the newest version is bad the key disappears.
+    The price test comes after: if the newest version is bad the key disappears.
 
     ``max_by`` keeps one candidate per key in every map task before the shuffle, so a key that holds
     a third of all rows reaches its reducer as one row per map task.
     """
     rest = [c for c in bronze.columns if c not in NATURAL_KEY]
-    recency = [F.col("bronze_ingested_at").try_cast("timestamp"), F.col("kafka_offset")]
-    if "kafka_partition" in rest:
-        recency.append(F.col("kafka_partition"))
     newest = bronze.groupBy(*NATURAL_KEY).agg(
-        F.max_by(F.struct(*rest), F.struct(*recency)).alias("_row")
+        F.max_by(F.struct(*rest), recency(rest)).alias("_row")
     )
     return newest.where("_row.close > 0").select(
         *[F.col(c if c in NATURAL_KEY else f"_row.{c}").alias(c) for c in bronze.columns]

@@ -39,6 +39,14 @@ QUERIES = {
 }
 
 
+def run(name: str, **tables: DataFrame) -> DataFrame:
+    """One of ``QUERIES`` over the tables it names: ``fact``, ``ticker``, ``calendar``.
+
+    NULL order is spelled out as the warehouse database sorts.
+    """
+    return next(iter(tables.values())).sparkSession.sql(QUERIES[name], **tables)
+
+
 @dataclass(frozen=True)
 class Star:
     fact: DataFrame
@@ -46,7 +54,5 @@ class Star:
     calendar: DataFrame
 
     def run(self, name: str) -> DataFrame:
-        """One of ``QUERIES``. NULL order is spelled out as the warehouse database sorts."""
-        text = QUERIES[name]
-        tables = {t: getattr(self, t) for t in ("fact", "ticker", "calendar") if f"{{{t}}}" in text}
-        return self.fact.sparkSession.sql(text, **tables)
+        named = {t: getattr(self, t) for t in ("fact", "ticker", "calendar")}
+        return run(name, **{t: frame for t, frame in named.items() if f"{{{t}}}" in QUERIES[name]})
