@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from barlake import fixtures as fx
 from barlake.operators import bars, counters, scd2
 from barlake.operators.calendar import dim_date

@@ -1,4 +1,4 @@
-"""``spark-submit`` entry: ``python -m barlake stream | silver | gold | load | batch``."""
+"""Job entry: ``python -m barlake stream | silver | gold | load | batch``."""
 
 from __future__ import annotations
 

@@ -65,8 +65,8 @@ def write_partitions(
 ) -> dict[str, int]:
     """Replace a table partitioned by ``column``, or only some of its values; returns ``{"rows": n}``.
 
-    ``keys`` tell the rows of one value apart. The count is observed on the rows as they are written,
-    so there is no second pass.
+    ``keys`` tell the rows of one value apart. The count is observed in the writing stage itself, so
+    there is no second pass and a task that is run again still counts once.
     """
     rows = Observation()
     metrics = [F.count("*").alias("rows")]
