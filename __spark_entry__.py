@@ -162,6 +162,11 @@ def _records_per_minute(spark: SparkSession, sf: str) -> DataFrame:
     return _text(counters.records_per_minute(sent), "minute")
 
 
+def _counted_per_minute(spark: SparkSession, sf: str) -> DataFrame:
+    sent = _samples(spark, sf).where("metric = 'fetch_count'")
+    return _text(counters.counted_per_minute(sent, tie="event_id"), "minute")
+
+
 def _layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     return layer_counts(fx.checked(spark, sf))
 
@@ -196,6 +201,7 @@ def queries() -> dict[str, Query]:
         "shape_contract": _shaped,
         "to_event_json": _to_event_json,
         "records_per_minute": _records_per_minute,
+        "counted_per_minute": _counted_per_minute,
         "counter_increases": _counter_increases,
         "counter_rate": _counter_rate,
         "avg_latency_5m": _avg_latency_5m,
@@ -401,6 +407,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "records_per_minute": """SELECT CAST(date_trunc('minute', ts) AS VARCHAR) AS minute,
             event_type AS symbol, count(*) AS records FROM events GROUP BY ALL""",
+        "counted_per_minute": _with(
+            """SELECT CAST(date_trunc('minute', ts) AS VARCHAR) AS minute, symbol, sum(delta) AS records
+            FROM deltas WHERE metric = 'fetch_count' GROUP BY ALL""",
+            "deltas",
+        ),
         "counter_increases": _with("SELECT metric, symbol, event_id, delta FROM deltas", "deltas"),
         "counter_rate": _with(
             """SELECT metric, symbol, event_id, sum(delta) OVER (PARTITION BY metric, symbol

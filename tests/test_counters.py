@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.operators.counters import (
-    average_latency, counter_rate, increases, records_per_minute, totals_or_zero,
+    _ticks, average_latency, counted_per_minute, counter_rate, increases, records_per_minute, totals_or_zero,
 )
 
 SAMPLES = "symbol string, ts bigint, id bigint, value double"
@@ -66,6 +66,22 @@ def test_times_may_be_timestamps(spark, kind):
     assert {r.id: r.rate for r in got.collect()} == pytest.approx(rate)
 
 
+def test_wall_clock_times_ignore_the_session_zone(spark):
+    """An hour that the session's zone skips is an hour like any other."""
+    times = ["2026-03-08 01:30:00", "2026-03-08 02:30:00.000001", "2026-03-08 03:30:00", "1969-12-31 23:59:59.5"]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = [("A", i, t, float(10 * i)) for i, t in enumerate(times[:3])] + [("B", 3, times[3], 1.0)]
+        frame = spark.createDataFrame(rows, "symbol string, id bigint, ts string, value double")
+        frame = frame.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        got = {r.id: r.rate for r in counter_rate(frame, ["symbol"], 3600).collect()}
+        assert got == {0: 0.0, 1: 10 / 3600, 2: 20 / 3600, 3: 0.0}
+        time, _ = _ticks(frame, "ts")
+        assert frame.where("id = 3").select(time.alias("t")).first().t == -500_000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_no_task_sees_a_whole_series(spark, plan_of):
     frame = spark.createDataFrame(random_samples(7, 200, 50_000), SAMPLES)
     executed = plan_of(counter_rate(frame, ["symbol"], 60, tie="id"))
@@ -105,6 +121,16 @@ def test_average_latency_slides(spark):
     assert len(got) == 11 and set(got) == {2.0}
 
 
+def test_counters_of_several_producers_add_up(spark):
+    rows = [("p1", "A", at(0, s), 1.0 + s) for s in (0, 20, 40)] + [("p1", "A", at(1), 2.0)]
+    rows += [("p2", "A", at(0, 30), 100.0), ("p2", "A", at(1, 30), 103.0), ("p1", "B", at(1), 7.0)]
+    frame = spark.createDataFrame(rows, "producer string, symbol string, ts timestamp, value double")
+    got = counted_per_minute(frame, by=["producer", "symbol"])
+    assert {(r.symbol, r.minute.minute): r.records for r in got.collect()} == {
+        ("A", 0): 40.0, ("A", 1): 2.0 + 3.0, ("B", 1): 0.0,
+    }
+
+
 def test_totals_take_the_latest_value_of_each_series(spark):
     rows = [
         ("retries", "A", at(0), 5.0), ("retries", "A", at(9), 7.0), ("retries", "B", at(3), 1.0),
