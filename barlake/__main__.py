@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from barlake.plans import jobs
 from barlake.session import build_session
-from barlake.settings import BRONZE, CHECKPOINTS, QUARANTINE, Settings
+from barlake.settings import BRONZE, CHECKPOINTS, GOLD, QUARANTINE, SILVER, Settings
 from barlake.sources import kafka
 from barlake.streaming import bronze
 
@@ -19,12 +19,13 @@ def stream(spark: SparkSession, settings: Settings, args: argparse.Namespace) ->
         min_partitions=args.min_partitions, max_offsets_per_trigger=args.max_offsets,
     )
     trigger = {"processingTime": args.every} if args.every else None
-    bronze.start(kafka.read_stream(spark, options), BRONZE, QUARANTINE, args.checkpoints, trigger)
+    log = kafka.read_stream(spark, options)
+    bronze.start(log, args.bronze, args.quarantine, args.checkpoints, trigger)
     spark.streams.awaitAnyTermination()
 
 
 def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> None:
-    layers = settings.layers()
+    layers = jobs.Layers(args.bronze, args.silver, args.gold)
     actions = {
         "silver": lambda: jobs.refine_silver(spark, layers, args.dates),
         "gold": lambda: jobs.build_gold(spark, layers, args.run_date, dates=args.dates),
@@ -42,6 +43,10 @@ def run(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> No
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser("barlake", description=__doc__)
     parser.add_argument("job", choices=["stream", "silver", "gold", "load", "batch"])
+    for layer, path in (
+        ("bronze", BRONZE), ("quarantine", QUARANTINE), ("silver", SILVER), ("gold", GOLD)
+    ):
+        parser.add_argument(f"--{layer}", default=path, help=f"path of the {layer} layer")
     parser.add_argument("--dates", nargs="*", help="only these dates got new events")
     parser.add_argument("--run-date", help="day on which ticker versions close and open")
     parser.add_argument("--checkpoints", default=CHECKPOINTS, help="root of the stream checkpoints")

@@ -80,7 +80,7 @@ def _with_delta(spread: DataFrame, by: Sequence[str], order: Sequence[str], valu
 
 def increases(
     samples: DataFrame, by: Sequence[str], ts: str = "ts", value: str = "value",
-    tie: str | None = None, chunk_seconds: int = 86_400,
+    tie: str | None = None, chunk_seconds: int = 3_600,
 ) -> DataFrame:
     """Samples with ``delta``: the increase since the previous sample of the series (0 for the first)."""
     time, per_second = _ticks(samples, ts)

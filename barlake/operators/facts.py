@@ -33,8 +33,8 @@ def as_of(daily: DataFrame, dim_ticker: DataFrame) -> DataFrame:
     """Left join each day to the version with ``effective_from <= date < effective_to``.
 
     Equi join on symbol with the interval as residual; only matches leave the join. Both sides hold
-    at most one row per symbol and day (a version needs a run date), so a symbol's share is bounded by
-    the calendar, not by its bars. No broadcast hint: the optimizer broadcasts a side if its measured
+    few rows per symbol and day (a version needs a merge run), so a symbol's share is bounded by the
+    calendar, not by its bars. No broadcast hint: the optimizer broadcasts a side if its measured
     size allows, and otherwise sort-merges with skew splitting.
     """
     versions = dim_ticker.select(

@@ -6,14 +6,13 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from barlake.plans.jobs import Layers
 from barlake.session import object_store_conf
 from barlake.sources.jdbc import Warehouse
 
 # Variable names, defaults and paths of existing deployments. --------------------
 LOG_SERVERS = ("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092")
 LOG_TOPIC = ("KAFKA_TOPIC", "stock-prices")
-STORE_ENDPOINT = ("MINIO_ENDPOINT", "http://localhost:9000")
+STORE_ENDPOINT = ("MINIO_ENDPOINT", None)
 STORE_USER = ("MINIO_ROOT_USER", None)
 STORE_PASSWORD = ("MINIO_ROOT_PASSWORD", None)
 DB_HOST = ("WAREHOUSE_HOST", "localhost")
@@ -49,8 +48,10 @@ class Settings:
         return self._of(LOG_TOPIC)
 
     def spark_conf(self) -> dict[str, str]:
-        """Object store access; keys stay unset when the cluster supplies credentials itself."""
+        """Object store access; nothing without an endpoint, so a cluster's own settings hold."""
         endpoint = self._of(STORE_ENDPOINT)
+        if endpoint is None:
+            return {}
         return object_store_conf(
             endpoint, self._of(STORE_USER), self._of(STORE_PASSWORD), tls=endpoint.startswith("https")
         )
@@ -58,7 +59,3 @@ class Settings:
     def warehouse(self) -> Warehouse:
         url = f"jdbc:postgresql://{self._of(DB_HOST)}:{self._of(DB_PORT)}/{self._of(DB_NAME)}"
         return Warehouse(url, self._of(DB_USER), self._of(DB_PASSWORD))
-
-    @staticmethod
-    def layers() -> Layers:
-        return Layers(BRONZE, SILVER, GOLD)
