@@ -1,6 +1,7 @@
 import json
 from datetime import datetime, timedelta, timezone
 
+from barlake.plans import jobs
 from barlake.sources import lake
 from barlake.streaming import bronze, throughput
 
@@ -65,3 +66,24 @@ def test_throughput_appends_closed_minutes(spark, tmp_path):
     assert got == {("A", 0): 3, ("B", 0): 1, ("A", 1): 1}
     got = arrive(("A", 5), ("A", 900))  # far too late: its minute is closed
     assert got == {("A", 0): 3, ("B", 0): 1, ("A", 1): 1, ("A", 6): 1}
+
+
+def test_batch_refines_what_the_stream_wrote(spark, tmp_path):
+    """The sink's commit log decides which files count; repeated events end up once in silver."""
+    events = [message(i, symbol=f"S{i % 2}", close=-1.0 if i % 10 == 0 else 2.0) for i in range(40)]
+    append(spark, f"{tmp_path}/log", events)
+    run(spark, tmp_path)
+    layers = jobs.Layers(f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/gold")
+    report = jobs.run_batch(spark, layers, run_date="2026-07-28", names={"S0": "Zero"})
+    assert report["silver"] == {"bronze": 36, "silver": 6}
+    assert report["gold"] == {"fact_daily_prices": 6, "dim_date": 3, "undated": 0}
+
+    append(spark, f"{tmp_path}/log", [message(60, symbol="S9"), message(61, symbol="S1", close=2.5)])
+    run(spark, tmp_path)
+    report = jobs.run_batch(spark, layers, run_date="2026-07-30", names={"S0": "Zero"}, dates=["2026-07-28", "2026-07-29"])
+    assert report["silver"] == {"bronze": 26, "silver": 5}
+    star = jobs.read_star(spark, layers)
+    assert star.fact.count() == 7
+    assert star.ticker.where("symbol = 'S9' AND is_current").count() == 1
+    latest = spark.read.parquet(layers.silver).where("symbol = 'S1' AND date = '2026-07-29'").first()
+    assert (latest.close, latest.kafka_offset) == (2.5, 61)
