@@ -17,7 +17,7 @@ from barlake.operators.facts import fact_daily
 from barlake.operators.tickers import Names, current_attrs
 from barlake.plans.analytics import Star
 from barlake.schemas import COMPANY_NAMES, FACT, GOLD_TABLES, NATURAL_KEY, ddl
-from barlake.session import ensure_checkpoint_dir, shuffles_sized_for
+from barlake.session import ensure_checkpoint_dir, tasks_sized_for
 from barlake.sources import lake
 from barlake.sources.jdbc import Warehouse, load_table
 
@@ -51,7 +51,7 @@ def refine_silver(
     """
     dates = None if dates is None else list(dates)
     bronze = lake.read(spark, layers.bronze, dates)
-    with shuffles_sized_for(spark, lake.stored_bytes(spark, layers.bronze, dates)):
+    with tasks_sized_for(spark, lake.stored_bytes(spark, layers.bronze, dates)):
         written = lake.write_partitions(
             clean(bronze), layers.silver, "date", NATURAL_KEY, only=dates
         )
@@ -100,7 +100,7 @@ def build_gold(
     undated = stored.where(on.isNull()).count()
     recent = stale = stored.where(on.isNotNull())
     existing = read_dim_ticker(spark, layers)
-    keys = None
+    keys = changed = None
     if dates is not None and existing is not None:
         changed = sorted(date for date in dates if _is_date(date))
         first = changed[0] if changed else day
@@ -108,11 +108,12 @@ def build_gold(
         stale = stored.where(on.isin([dt.date.fromisoformat(d) for d in changed]) | (on >= F.lit(day).cast("date")))
         keys = [date.replace("-", "") for date in changed]
 
-    attrs = current_attrs(recent, names).checkpoint()
+    with tasks_sized_for(spark, lake.stored_bytes(spark, layers.silver, changed)):
+        attrs = current_attrs(recent, names).checkpoint()
     dimension = scd2.initial(attrs, day) if existing is None else scd2.merge(existing, attrs, day)
     lake.write_snapshot(dimension, layers.dim_ticker)
 
-    with shuffles_sized_for(spark, lake.stored_bytes(spark, layers.silver, keys and changed)):
+    with tasks_sized_for(spark, lake.stored_bytes(spark, layers.silver, changed)):
         rows = fact_daily(stale, read_dim_ticker(spark, layers))
         # Days before the first load have no ticker key, so measures help to tell rows apart.
         apart = ["ticker_key", "avg_close", "total_volume"]

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
@@ -51,19 +52,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 @contextmanager
-def shuffles_sized_for(
-    spark: SparkSession, input_bytes: int, task_bytes: int = 512 << 20, most: int = 100_000
-) -> Iterator[int]:
-    """Raise the shuffle partition count so that a shuffle of the input fits in memory task by task.
+def tasks_sized_for(
+    spark: SparkSession, input_bytes: int, task_bytes: int = 512 << 20,
+    most_readers: int = 100_000, most_shuffled: int = 40_000,
+) -> Iterator[tuple[int, int]]:
+    """Fit scan splits and shuffle partitions to the input; yields ``(split bytes, partitions)``.
 
     Adaptive execution merges partitions that turn out small but cannot cut those of an aggregation,
-    so the count has to follow the input. It is never lowered below the session's own setting.
+    so their count follows the input. The limits keep the number of shuffle blocks, one per reader and
+    partition, in reach for inputs of many terabytes: splits grow instead, and partitions spill. The
+    session's own settings are lower bounds.
     """
     conf = spark.conf
-    before = conf.get(SHUFFLE_PARTITIONS)
-    count = max(int(before), min(most, -(-input_bytes // task_bytes)))
-    conf.set(SHUFFLE_PARTITIONS, str(count))
+    before = {name: conf.get(name) for name in (SPLIT_BYTES, SHUFFLE_PARTITIONS)}
+    own_split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[SPLIT_BYTES])
+    split = max(own_split, -(-input_bytes // most_readers))
+    partitions = min(most_shuffled, -(-input_bytes // task_bytes))
+    partitions = max(int(before[SHUFFLE_PARTITIONS]), partitions)
     try:
-        yield count
+        conf.set(SPLIT_BYTES, f"{split}b")
+        conf.set(SHUFFLE_PARTITIONS, str(partitions))
+        yield split, partitions
     finally:
-        conf.set(SHUFFLE_PARTITIONS, before)
+        for name, value in before.items():
+            conf.set(name, value)

@@ -9,7 +9,7 @@ from barlake.operators import scd2
 from barlake.operators.validation import split_valid, to_envelope, validate
 from barlake.plans import jobs
 from barlake.plans.analytics import QUERIES
-from barlake.session import shuffles_sized_for
+from barlake.session import SHUFFLE_PARTITIONS, SPLIT_BYTES, tasks_sized_for
 from barlake.sources import lake
 from barlake.sources.jdbc import Warehouse, load_table
 
@@ -147,21 +147,24 @@ def small_tasks(spark, partitions):
         spark.conf.set(name, value)
 
 
-def test_shuffles_follow_the_size_of_the_scan(spark, tmp_path):
+def test_tasks_follow_the_size_of_the_input(spark, tmp_path):
     rows = spark.range(90_000).selectExpr("id", "CAST(id % 3 AS STRING) AS date")
     rows.write.partitionBy("date").parquet(f"{tmp_path}/t")
     size = lake.stored_bytes(spark, f"{tmp_path}/t")
     dates = [lake.stored_bytes(spark, f"{tmp_path}/t", [d]) for d in "012"]
     assert size > 100_000 and size * 0.9 < sum(dates) <= size * 1.1
     assert lake.stored_bytes(spark, f"{tmp_path}/t", ["9"]) == 0
-    with shuffles_sized_for(spark, size, task_bytes=10_000) as count:
-        assert count == -(-size // 10_000)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == str(count)
-    with shuffles_sized_for(spark, size, task_bytes=10_000, most=7) as count:
-        assert count == 7
-    with shuffles_sized_for(spark, size) as count:
-        assert count == 4
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    before = spark.conf.get(SPLIT_BYTES), spark.conf.get(SHUFFLE_PARTITIONS)
+    with tasks_sized_for(spark, size, task_bytes=10_000) as (split, partitions):
+        assert (split, partitions) == (128 << 20, -(-size // 10_000))
+        assert spark.conf.get(SHUFFLE_PARTITIONS) == str(partitions)
+    with tasks_sized_for(spark, 100 << 40) as (split, partitions):
+        assert (split, partitions) == (1099511628, 40_000)
+        assert spark.conf.get(SPLIT_BYTES) == "1099511628b"
+        assert spark.read.parquet(f"{tmp_path}/t").count() == 90_000
+    with tasks_sized_for(spark, size) as (split, partitions):
+        assert (split, partitions) == (128 << 20, 4)
+    assert (spark.conf.get(SPLIT_BYTES), spark.conf.get(SHUFFLE_PARTITIONS)) == before
 
 
 def test_snapshots(spark, tmp_path):
