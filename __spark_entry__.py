@@ -22,6 +22,13 @@ from barlake.operators.validation import reason_counts, split_quarantine, split_
 from barlake.plans import analytics
 from barlake.session import ensure_checkpoint_dir
 
+try:
+    from barlake.llm import queries as llm
+except ModuleNotFoundError as missing:  # only if that subpackage is not there
+    if not str(missing.name).startswith("barlake.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 PRICES = ("open", "high", "low", "close", "volume")
@@ -177,6 +184,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return {**own_queries(), **(llm.queries() if llm else {})}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**own_sql(), **(llm.SQL if llm else {})}
+
+
+def own_queries() -> dict[str, Query]:
+    """Queries of the bar pipeline, each with its SQL in ``own_sql``."""
     return {
         "bronze_validate": _bronze_validate,
         "bronze_valid": _bronze_valid,
@@ -312,7 +328,7 @@ def _with(final: str, *views: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({text})" for n, text in ordered.items()) + f"\n{final}"
 
 
-def oracle_sql() -> dict[str, str]:
+def own_sql() -> dict[str, str]:
     event = ", ".join(EVENT_COLUMNS)
     dim = """SELECT ticker_key, symbol, company_name, currency, source,
         CAST(effective_from AS VARCHAR) AS effective_from, CAST(effective_to AS VARCHAR) AS effective_to,

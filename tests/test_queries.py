@@ -12,13 +12,13 @@ def tables():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", registry.own_queries())
 def test_query_equals_its_sql(spark, tables, name):
     assert differences(spark, tables, name, SF) == []
 
 
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert registry.own_queries().keys() == registry.own_sql().keys()
 
 
 def test_entry(spark):
@@ -26,7 +26,7 @@ def test_entry(spark):
 
 
 def test_no_python_and_no_cross_join(spark):
-    for name, query in registry.queries().items():
+    for name, query in registry.own_queries().items():
         plan = query(spark, SF)._jdf.queryExecution().toString()
         for operator in ("EvalPython", "ArrowEval", "MapInPandas", "CartesianProduct", "NestedLoop"):
             assert operator not in plan, name
