@@ -145,7 +145,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(
-    docs: DataFrame, per_language: int = 4000, grams_per_language: int = 2000, languages: int = 256, seed: int = 42,
+    docs: DataFrame, per_language: int = 4000, grams_per_language: int = 800, languages: int = 256, seed: int = 42,
 ) -> LanguageFilter:
     """Learn from ``docs(doc_id, text, lang)``, without held-out documents and null languages.
 
