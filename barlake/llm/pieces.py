@@ -6,13 +6,15 @@ none is left. Symbols outside the vocabulary become bytes or the unknown piece.
 
 Most texts repeat their words. No piece has a space mark behind another character, and some characters
 are in no longer piece, so no merge crosses the places where a run of space marks begins or such a
-character stands: texts are cut there, and every chunk is merged once per worker and kept for a while.
+character stands: texts are cut there, and within words between characters that are side by side in no
+piece. What is left is merged once per worker and kept for a while.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -49,8 +51,7 @@ class Vocabulary:
         self.texts = [p.piece for p in proto.pieces]
         self.types = [p.type for p in proto.pieces]
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type in (NORMAL, UNUSED)}
-        self.scores = {p.piece: p.score for p in proto.pieces if p.type in (NORMAL, UNUSED)}
-        self.unused = {p.piece for p in proto.pieces if p.type == UNUSED}
+        self.unused = {i for i, p in enumerate(proto.pieces) if p.type == UNUSED}
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == UNKNOWN)
         self.byte_ids = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.unknown_text = proto.trainer_spec.unk_surface or " ⁇ "
@@ -58,68 +59,153 @@ class Vocabulary:
             self.byte_ids = {}
 
         longer = [p for p in self.ids if len(p) > 1]
+        self._number_pairs(longer, {p.piece: p.score for p in proto.pieces})
+        # Pairs of characters side by side in some piece, by hash: a pair missing here is in no piece.
+        self.adjacent = np.zeros(1 << 20, bool)
+        for piece in longer:
+            codes = np.frombuffer(piece.encode("utf-32-le"), "<u4")
+            self.adjacent[self._pair_hash(codes)] = True
         self.merging = set("".join(longer)) - {SPACE_MARK}
         inside = any(SPACE_MARK in p[1:] and p.strip(SPACE_MARK) for p in longer)
         chars = "".join(re.escape(c) for c in sorted(self.merging))
         words = f"{SPACE_MARK}*[{chars}]+|" if chars else ""
         self.chunks = re.compile("(?s:.+)" if inside else f"{words}{SPACE_MARK}+|(?s:.)")
 
+    def _number_pairs(self, longer: list[str], scores: dict[str, float]) -> None:
+        """Number the symbols that can merge, and list for every pair of them the order of its merge
+        (best score first, the same for equal scores) and the number of the result.
+
+        Symbols are numbered by their piece; characters that are only parts of pieces come after them.
+        """
+        self.symbols = dict(self.ids)
+        for piece in longer:
+            for char in piece:
+                self.symbols.setdefault(char, len(self.texts) + len(self.symbols))
+        turn = {score: i for i, score in enumerate(sorted({scores[p] for p in longer}, reverse=True))}
+        self.pairs: dict[int, tuple[int, int]] = {}
+        for piece in longer:
+            for cut in range(1, len(piece)):
+                left, right = self.symbols.get(piece[:cut]), self.symbols.get(piece[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left << 20 | right] = (turn[scores[piece]], self.ids[piece])
+
+    @staticmethod
+    def _pair_hash(codes: np.ndarray) -> np.ndarray:
+        return (codes[:-1] * np.uint32(0x9E3779B1) + codes[1:] * np.uint32(0x85EBCA77)) >> np.uint32(12)
+
+    def parts(self, chunks: list[str]) -> tuple[list[str], np.ndarray]:
+        """The chunks cut between characters that stand side by side in no piece, since no merge crosses
+        there; and for each chunk the number of parts up to its end. All chunks are cut in one go."""
+        joined = "".join(chunks)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        cut = np.append(~self.adjacent[self._pair_hash(codes)], True)[: len(codes)]
+        ends = np.cumsum([len(c) for c in chunks], dtype=np.int64)
+        cut[ends - 1] = True
+        bounds = np.flatnonzero(cut) + 1
+        stops = bounds.tolist()
+        parts = [joined[a:b] for a, b in zip([0, *stops[:-1]], stops)]
+        return parts, np.searchsorted(bounds, ends) + 1
+
     def merge(self, chunk: str) -> list[int]:
-        """Ids of a chunk in which spaces are space marks."""
-        symbols = list(chunk)
-        before = list(range(-1, len(symbols) - 1))
-        after = [*range(1, len(symbols)), -1]
-        agenda: list[tuple[float, int, int, int]] = []
-        made_of: dict[str, tuple[str, str]] = {}
-
-        def offer(left: int, right: int) -> None:
-            if left < 0 or right < 0:
-                return
-            piece = symbols[left] + symbols[right]
-            score = self.scores.get(piece)
-            if score is not None:
-                heapq.heappush(agenda, (-score, left, right, len(piece)))
-                if piece in self.unused:
-                    made_of[piece] = (symbols[left], symbols[right])
-
-        for left in range(len(symbols) - 1):
-            offer(left, left + 1)
+        """Ids of a chunk in which spaces are space marks.
+
+        An entry of the agenda is one number: the order of the pair's merge, then its place, then its
+        length, so the smallest entry is the best pair, leftmost among equals. A pair one of whose symbols
+        has been merged since has another length and is passed over.
+        """
+        n, pairs, unused = len(chunk), self.pairs, self.unused
+        symbols = [self.symbols.get(c, -1) for c in chunk]
+        sizes, after, before = [1] * n, list(range(1, n + 1)), list(range(-1, n - 1))
+        after[-1] = -1
+        shift = n.bit_length()
+        twice, mask = 2 * shift, (1 << shift) - 1
+        made_of: dict[int, tuple[int, int]] = {}
+        agenda = []
+        for place in range(n - 1):
+            pair = pairs.get(symbols[place] << 20 | symbols[place + 1])
+            if pair:
+                agenda.append(pair[0] << twice | place << shift | 2)
+                if pair[1] in unused:
+                    made_of[pair[1]] = symbols[place], symbols[place + 1]
+        heapq.heapify(agenda)
+        pop, push = heapq.heappop, heapq.heappush
         while agenda:
-            _, left, right, size = heapq.heappop(agenda)
-            if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
-                continue  # one of them has been merged since
-            symbols[left] += symbols[right]
-            symbols[right] = ""
-            after[left] = after[right]
-            if after[right] >= 0:
-                before[after[right]] = left
-            offer(before[left], left)
-            offer(left, after[left])
+            entry = pop(agenda)
+            left = entry >> shift & mask
+            right = after[left]
+            if right < 0 or not sizes[left] or sizes[left] + sizes[right] != entry & mask:
+                continue
+            merged = pairs[symbols[left] << 20 | symbols[right]][1]
+            symbols[left] = merged
+            sizes[left] += sizes[right]
+            sizes[right] = 0
+            following = after[left] = after[right]
+            if following >= 0:
+                before[following] = left
+                pair = pairs.get(merged << 20 | symbols[following])
+                if pair:
+                    push(agenda, pair[0] << twice | left << shift | sizes[left] + sizes[following])
+                    if pair[1] in unused:
+                        made_of[pair[1]] = merged, symbols[following]
+            ahead = before[left]
+            if ahead >= 0:
+                pair = pairs.get(symbols[ahead] << 20 | merged)
+                if pair:
+                    push(agenda, pair[0] << twice | ahead << shift | sizes[ahead] + sizes[left])
+                    if pair[1] in unused:
+                        made_of[pair[1]] = symbols[ahead], merged
 
         out: list[int] = []
-        for symbol in filter(None, symbols):
-            self._emit(symbol, made_of, out)
+        place, known = 0, len(self.texts)
+        while place >= 0:
+            symbol = symbols[place]
+            if symbol in made_of:
+                self._parts(symbol, made_of, out)
+            elif 0 <= symbol < known:
+                out.append(symbol)
+            elif self.byte_ids:
+                out.extend(self.byte_ids[b] for b in chunk[place].encode())
+            elif not out or out[-1] != self.unknown:
+                out.append(self.unknown)  # a run of unknown symbols is one piece
+            place = after[place]
         return out
 
-    def _emit(self, symbol: str, made_of: dict[str, tuple[str, str]], out: list[int]) -> None:
+    def _parts(self, symbol: int, made_of: dict[int, tuple[int, int]], out: list[int]) -> None:
+        """An unused piece gives way to what it was merged from."""
         if symbol in made_of:
             for part in made_of[symbol]:
-                self._emit(part, made_of, out)
-        elif symbol in self.ids:
-            out.append(self.ids[symbol])
-        elif self.byte_ids:
-            out.extend(self.byte_ids[b] for b in symbol.encode())
-        elif not out or out[-1] != self.unknown:
-            out.append(self.unknown)  # a run of unknown symbols is one piece
+                self._parts(part, made_of, out)
+        else:
+            out.append(symbol)
+
+
+class Memory(dict):
+    """A dictionary of bounded size: when ``limit`` entries are new, those not asked for lately go."""
+
+    def __init__(self, limit: int):
+        self.limit, self.old = limit, {}
+
+    def find(self, keys: set[str]) -> set[str]:
+        """Bring entries back that are about to go; returns the keys that are unknown."""
+        missing = keys.difference(self)
+        back = missing.intersection(self.old)
+        for key in back:
+            self[key] = self.old[key]
+        return missing - back
+
+    def trim(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
 
 
 class Codec:
-    """Encoder and decoder for Arrow batches, with a bounded memory of chunks."""
+    """Encoder and decoder for Arrow batches, with a bounded memory of chunks and their parts."""
 
-    def __init__(self, model: bytes, remembered: int = 200_000, longest: int = 64):
+    def __init__(self, model: bytes, remembered: int = 120_000, longest: int = 64):
         self.vocabulary = Vocabulary(model)
-        self.remembered, self.longest = remembered, longest
-        self.known: dict[str, bytes] = {}
+        self.longest = longest
+        self.known, self.known_parts = Memory(remembered), Memory(remembered)
         self._library = None
         pieces = []
         for text, kind in zip(self.vocabulary.texts, self.vocabulary.types):
@@ -142,7 +228,7 @@ class Codec:
     def encode(self, texts: Iterable[str], check: str = "chunks") -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers.
 
-        ``check``: ``chunks`` compares every newly merged chunk with the library, ``texts`` every whole
+        ``check``: ``chunks`` compares whatever is newly merged with the library, ``texts`` every whole
         text, ``none`` nothing. A difference raises.
         """
         texts = list(texts)
@@ -151,27 +237,38 @@ class Codec:
             vocabulary.chunks.findall(vocabulary.prefix + text.replace(" ", SPACE_MARK)) if text else []
             for text in texts
         ]
-        new = {chunk for chunks in cut for chunk in set(chunks)} - known.keys()
-        if len(known) + len(new) > self.remembered:
-            known.clear()
-            new = {chunk for chunks in cut for chunk in set(chunks)}
-        fresh = {chunk: np.array(vocabulary.merge(chunk), "<i4").tobytes() for chunk in new}
-        if check == "chunks":
-            self._compare_chunks(fresh)
-        seen = known
-        known.update((c, ids) for c, ids in fresh.items() if len(c) <= self.longest)
-        if len(fresh) != len(new) or any(len(c) > self.longest for c in fresh):
-            seen = known | fresh
+        new = list(known.find(set().union(*cut)))
+        if new:
+            known.update(zip(new, self._merged(new, check == "chunks")))
+        out = [b"".join([known[c] for c in chunks]) for chunks in cut]
         if not vocabulary.byte_ids:
-            out = [self._joined_unknown([seen[c] for c in chunks]) for chunks in cut]
-        else:
-            out = [b"".join([seen[c] for c in chunks]) for chunks in cut]
+            out = [self._joined_unknown(ids) for ids in out]
+        for chunk in [c for c in new if len(c) > self.longest]:
+            del known[chunk]
+        known.trim()
         if check == "texts":
             self._compare_texts(texts, out)
         return out
 
-    def _joined_unknown(self, parts: list[bytes]) -> bytes:
-        ids = np.frombuffer(b"".join(parts), "<i4")
+    def _merged(self, chunks: list[str], check: bool) -> list[bytes]:
+        memory = self.known_parts
+        parts, ends = self.vocabulary.parts(chunks)
+        fresh = {part: self.vocabulary.merge(part) for part in memory.find(set(parts))}
+        if check:
+            self._compare_parts(fresh)
+        memory.update((part, array("i", ids).tobytes()) for part, ids in fresh.items())
+        out, start = [], 0
+        for end in ends.tolist():
+            one = end == start + 1
+            out.append(memory[parts[start]] if one else b"".join([memory[p] for p in parts[start:end]]))
+            start = end
+        for part in [p for p in fresh if len(p) > self.longest]:
+            del memory[part]
+        memory.trim()
+        return out
+
+    def _joined_unknown(self, row: bytes) -> bytes:
+        ids = np.frombuffer(row, "<i4")
         again = np.r_[False, (ids[1:] == ids[:-1]) & (ids[1:] == self.vocabulary.unknown)][: len(ids)]
         return ids[~again].tobytes()
 
@@ -183,20 +280,18 @@ class Codec:
             self._library = sentencepiece.SentencePieceProcessor(model_proto=self.vocabulary.model)
         return self._library
 
-    def _compare_chunks(self, fresh: dict[str, bytes]) -> None:
-        """Each chunk behind a character that never merges, through the library in one call."""
+    def _compare_parts(self, fresh: dict[str, list[int]]) -> None:
+        """Each part behind a character that never merges, through the library in one call."""
         lead = next((c for c in "\n\t\0" if c not in self.vocabulary.merging), None)
         if lead is None or not self.vocabulary.byte_ids:
-            return self._compare_texts([c.replace(SPACE_MARK, " ") for c in fresh], None)
-        chunks = [c for c in fresh if len(c) <= self.longest]
+            raise ValueError("this vocabulary can be compared by whole texts only")
         ahead = len(self.library.encode(lead))
-        theirs = self.library.encode([lead + c.replace(SPACE_MARK, " ") for c in chunks], num_threads=1)
-        for chunk, ids in zip(chunks, theirs):
-            if np.array(ids[ahead:], "<i4").tobytes() != fresh[chunk]:
-                raise ValueError(f"the library encodes {chunk!r} differently")
+        theirs = self.library.encode([lead + p.replace(SPACE_MARK, " ") for p in fresh], num_threads=1)
+        for (part, ids), other in zip(fresh.items(), theirs):
+            if other[ahead:] != ids:
+                raise ValueError(f"the library encodes {part!r} differently")
 
-    def _compare_texts(self, texts: list[str], ours: list[bytes] | None) -> None:
-        ours = self.encode(texts, check="none") if ours is None else ours
+    def _compare_texts(self, texts: list[str], ours: list[bytes]) -> None:
         for text, mine, theirs in zip(texts, ours, self.library.encode(texts, num_threads=1)):
             if np.array(theirs, "<i4").tobytes() != mine:
                 raise ValueError(f"the library encodes {text[:80]!r} differently")
