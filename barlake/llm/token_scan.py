@@ -24,9 +24,13 @@ from barlake.llm.pieces import codec
 WIDTHS = {2: "<u2", 4: "<u4"}
 
 
+#: Documents of a token file, unless its partition ends before: what a task reads as one value.
+DOCS_PER_FILE = 4096
+
+
 def write_token_files(docs: DataFrame, path: str, model_path: str, width: int = 2, batch: int = 256) -> int:
-    """Write the texts of ``docs(text)`` as flat token files, one per partition; returns the
-    end-of-document id, which the model must have and no text can hold.
+    """Write the texts of ``docs(text)`` as flat token files, ``DOCS_PER_FILE`` documents each; returns
+    the end-of-document id, which the model must have and no text can hold.
 
     The text writer puts its line separator behind each row; here a row is a document's ids as bytes,
     and the separator is the end-of-document id. A null text is a document without tokens.
@@ -55,26 +59,30 @@ def write_token_files(docs: DataFrame, path: str, model_path: str, width: int =
 
     tokens = rows.mapInArrow(work, "tokens binary")
     mark = end.to_bytes(width, "little").decode("ascii")
-    tokens.select(F.col("tokens").cast("string").alias("value")).write.option("lineSep", mark).text(path)
+    writer = tokens.select(F.col("tokens").cast("string").alias("value")).write
+    writer.option("lineSep", mark).option("maxRecordsPerFile", DOCS_PER_FILE).text(path)
     return end
 
 
-def _scan(end: int, width: int):
-    """Closed documents of each block, the last row being what follows the last of them."""
+def _scan(end: int, width: int, block_tokens: int):
+    """Closed documents of each block of each file, the last row being what follows the last of them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids = np.frombuffer(batch.column(2)[i].as_buffer(), WIDTHS[width])
-                found = np.flatnonzero(ids == end)
-                starts = np.r_[0, found + 1]
-                sizes = np.r_[found, len(ids)] - starts
-                n = len(sizes)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([batch.column(0)[i].as_py()] * n, pa.string()),
-                    pa.array(np.full(n, batch.column(1)[i].as_py(), np.int64)),
-                    pa.array(np.arange(n)), pa.array(sizes), pa.array(np.full(n, n - 1)),
-                ], ["file", "block", "nth", "tokens", "closed"])
+                file, content = batch.column(0)[i].as_py(), batch.column(1)[i].as_buffer()
+                if content.size % width:
+                    raise ValueError(f"not a whole number of ids: {file}")
+                whole = np.frombuffer(content, WIDTHS[width])
+                for block, start in enumerate(range(0, len(whole), block_tokens)):
+                    ids = whole[start:start + block_tokens]
+                    found = np.flatnonzero(ids == end)
+                    sizes = np.r_[found, len(ids)] - np.r_[0, found + 1]
+                    n = len(sizes)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([file] * n, pa.string()), pa.array(np.full(n, block, np.int64)),
+                        pa.array(np.arange(n)), pa.array(sizes), pa.array(np.full(n, n - 1)),
+                    ], ["file", "block", "nth", "tokens", "closed"])
 
     return work
 
@@ -88,22 +96,15 @@ def count_tokens(
     included. What follows a file's last mark is a document of its own if it holds a token. A file whose
     size is no multiple of ``width`` raises. A file without bytes has no document.
 
-    A task reads one file at a time and cuts it into blocks; only counts leave the task. The scan over
-    blocks sees one row per block; those of a file are in one task.
+    A task takes one file at a time and looks at it block by block; only counts leave the task. The
+    scan over blocks sees one row per block; those of a file are in one task.
     """
     ship(spark)
     files = spark.read.format("binaryFile").load(path)
-    size = block_tokens * width
-    length = F.col("length")
-    fits = F.when(length % width == 0, length).otherwise(
-        F.raise_error(F.concat(F.lit("not a whole number of ids: "), F.col("path"))).cast("bigint")
-    )
-    last = F.greatest(F.floor((fits - 1) / size), F.lit(0)).cast("bigint")
-    blocks = files.where("length > 0").select(
-        "path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("block"), "content"
-    ).select("path", "block", F.substring(F.col("content"), (F.col("block") * size + 1).cast("int"), F.lit(size)).alias("ids"))
     scratch = Scratch(spark, "token-scan")
-    pieces = blocks.mapInArrow(_scan(end, width), "file string, block bigint, nth bigint, tokens bigint, closed bigint")
+    pieces = files.where("length > 0").select("path", "content").mapInArrow(
+        _scan(end, width, block_tokens), "file string, block bigint, nth bigint, tokens bigint, closed bigint"
+    )
     pieces = scratch.save(pieces, "pieces")
 
     # Prefix scan. A block without a mark hands on what it was handed, plus itself: the tokens carried
@@ -142,7 +143,7 @@ def count_tokens(
 def document_token_counts(docs: DataFrame, model_path: str, width: int = 2) -> DataFrame:
     """``docs(doc_id, text)`` written as token files, scanned, and counted: one row per row of ``docs``.
 
-    Columns: ``doc_id``, ``file_no``, ``doc_no`` (place in the file), ``first_token``, ``n_tokens``. The
+    Columns: ``doc_id``, ``file``, ``doc_no`` (place in the file), ``first_token``, ``n_tokens``. The
     files hold no ids of documents; a row's file and place follow from the partition it was read in, so
     ``docs`` must be read the same way twice, as a plain scan of stored files is. A null or empty text
     has no tokens. Repeated rows are documents of their own; other columns are ignored.
@@ -151,12 +152,16 @@ def document_token_counts(docs: DataFrame, model_path: str, width: int = 2) -> D
     scratch = Scratch(spark, "token-files")
     end = write_token_files(docs, scratch.path("tokens"), model_path, width)
     counts = count_tokens(spark, scratch.path("tokens"), end, width)
-    number = F.regexp_extract("file", r"part-(\d+)-", 1).cast("bigint")
+    # part-<partition>-<job>-c<file>: the files of a partition follow each other.
+    part = F.regexp_extract("file", r"part-(\d+)-[^/]*$", 1).cast("bigint")
+    nth_file = F.regexp_extract("file", r"-c(\d+)[^/]*$", 1).cast("bigint")
+    counts = counts.withColumn("part", part).withColumn("row", nth_file * DOCS_PER_FILE + F.col("doc_no"))
     place = F.monotonically_increasing_id()  # partition in the upper 31 bits, row below them
     ids = docs.select("doc_id", place.alias("_place"))
     ids = ids.select(
-        "doc_id", F.shiftright("_place", 33).alias("file_no"), F.col("_place").bitwiseAND((1 << 33) - 1).alias("doc_no")
+        "doc_id", F.shiftright("_place", 33).alias("part"), F.col("_place").bitwiseAND((1 << 33) - 1).alias("row")
     )
-    return ids.join(counts.withColumn("file_no", number), ["file_no", "doc_no"], "left").select(
-        "doc_id", "file_no", "doc_no", "first_token", "n_tokens"
+    file_name = F.regexp_extract("file", r"([^/]*)$", 1).alias("file")
+    return ids.join(counts, ["part", "row"], "left").select(
+        "doc_id", file_name, "doc_no", "first_token", "n_tokens"
     )
