@@ -202,7 +202,7 @@ class Memory(dict):
 class Codec:
     """Encoder and decoder for Arrow batches, with a bounded memory of chunks and their parts."""
 
-    def __init__(self, model: bytes, remembered: int = 120_000, longest: int = 64):
+    def __init__(self, model: bytes, remembered: int = 150_000, longest: int = 64):
         self.vocabulary = Vocabulary(model)
         self.longest = longest
         self.known, self.known_parts = Memory(remembered), Memory(remembered)
