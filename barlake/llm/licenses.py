@@ -67,9 +67,9 @@ class Scanner:
         return best
 
     def scan(self, text: str) -> Iterator[tuple[str, float, str, int, int]]:
-        """``(license, dice, unit, first, last)`` for every unit that matches; a unit that is all of a
-        larger matching unit is left out."""
-        spans, seen = [("text", 0, len(text))], set()
+        """``(license, dice, unit, first, last)`` of the units that match, in their order. Units lie
+        within each other; of those that match and do, the best one stays, the largest of equals."""
+        spans = [("text", 0, len(text))]
         start = 0
         for gap in _PARAGRAPH.finditer(text):
             spans.append(("paragraph", start, gap.start()))
@@ -77,6 +77,7 @@ class Scanner:
         spans.append(("paragraph", start, len(text)))
         spans += [("line", m.start(), m.end()) for m in _LINE.finditer(text)]
         longest = self.sizes[-1] / self.bound + 1 if self.sizes else 0
+        matches = []
         for unit, first, last in spans:
             words = _WORD.findall(text[first:last].lower()) if last > first else []
             if not 2 <= len(words) <= longest + 1:
@@ -84,16 +85,20 @@ class Scanner:
             found = self.compare(words)
             body = text[first:last]
             lead = len(body) - len(body.lstrip())
-            span = (first + lead, first + len(body.rstrip()))
-            if found and span not in seen:
-                seen.add(span)
-                yield found[1], found[0], unit, *span
+            if found:
+                matches.append((found[1], found[0], unit, first + lead, first + len(body.rstrip())))
+        kept: list[tuple[str, float, str, int, int]] = []
+        for match in sorted(matches, key=lambda m: (-m[1], m[3] - m[4])):
+            if all(match[4] <= k[3] or k[4] <= match[3] for k in kept):
+                kept.append(match)
+        yield from sorted(kept, key=lambda m: m[3])
 
 
 def scan_licenses(
     docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, least: float = 0.8,
 ) -> DataFrame:
-    """One row per passage of ``docs(doc_id, text)`` whose best template reaches ``least``.
+    """One row per passage of ``docs(doc_id, text)`` whose best template reaches ``least``. Passages of a
+    text do not overlap.
 
     Columns: ``doc_id``, ``license``, ``dice``, ``unit`` (text, paragraph or line), the half-open
     character span, and the passage. Null and empty texts have none; repeated rows each have their own;

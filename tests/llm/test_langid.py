@@ -1,0 +1,74 @@
+import random
+import zlib
+
+import numpy as np
+
+from barlake.llm.langid import LanguageFilter, fit, identify, predict, trigrams, understood
+from tests.llm.conftest import LONG
+
+SYLLABLES = {"aa": "la lo mi ren tu", "bb": "schu ber zock heit ung", "cc": "çõ ñe quã rrí ável"}
+
+
+def corpus(documents, count=240):
+    rng, rows = random.Random(1), []
+    for i in range(count):
+        lang = rng.choice(list(SYLLABLES))
+        parts = SYLLABLES[lang].split()
+        words = ["".join(rng.choices(parts, k=rng.randrange(1, 4))) for _ in range(30)]
+        rows.append((i, " ".join(words), lang, "s"))
+    return documents(*rows)
+
+
+def test_held_out_accuracy(documents):
+    docs = corpus(documents)
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    rows = identify(docs).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert all(r.lang_pred == truth[r.doc_id] and 0 <= r.score <= 1 for r in rows if r.held_out)
+    assert sum(r.held_out for r in rows) > 30
+
+
+def test_held_out_labels_teach_nothing(documents):
+    docs = corpus(documents)
+    spoiled = docs.selectExpr("doc_id", "text", "IF(crc32(CAST(doc_id AS STRING)) % 4 = 2, 'zz', lang) AS lang")
+    assert "zz" not in fit(spoiled).languages
+
+
+def test_odd_rows(documents, odd):
+    docs = corpus(documents).unionByName(odd)
+    rows = [r for r in identify(docs).collect() if r.doc_id is None or r.doc_id < 10]
+    model = fit(corpus(documents))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in predict(odd, model).collect() if r.doc_id is not None}
+    for i in (1, 2, 3, 9):
+        assert got[i] == ("und", 0.0)
+    assert got[4][0] in SYLLABLES and len(rows) > len(got)
+    assert predict(odd, model).count() == odd.count() and predict(odd.limit(0), model).count() == 0
+    unknown = documents((1, "漢字漢字"), (2, "!"))
+    assert {r.doc_id: r.lang_pred for r in predict(unknown, model).collect()} == {1: model.default, 2: "und"}
+    nothing = identify(odd)  # no labels at all
+    assert {r.lang_pred for r in nothing.collect()} == {"und"}
+    assert identify(odd.limit(0)).count() == 0
+
+
+def test_understood_keeps_columns_and_clean_texts(documents, odd):
+    docs = corpus(documents)
+    assert understood(docs).count() == docs.count() and understood(docs).columns == docs.columns
+    mixed = docs.unionByName(documents((9001, "漢字漢字"), (9002, None), (9003, "77")))
+    assert {r.doc_id for r in understood(mixed).where("doc_id > 9000").collect()} == set()
+
+
+def test_filter_against_sets():
+    """Counts corrected for false positives come near those of exact sets; more than 64 languages work."""
+    rng = np.random.default_rng(3)
+    grams = {f"l{i:03d}": rng.integers(0, 1 << 60, 300).tolist() for i in range(70)}
+    model = LanguageFilter.build(grams, "l000", bits_per_gram=4)
+    asked = np.array(grams["l069"][:200] + rng.integers(0, 1 << 60, 800).tolist(), np.int64).view(np.uint64)
+    counts = dict(zip(model.languages, model.counts(asked)))
+    assert abs(counts["l069"] - 200) < 25 and max(n for lang, n in counts.items() if lang != "l069") < 25
+    assert (model.counts(asked[:200])[69] - 200) < 1e-6
+
+
+def test_long_texts_in_chunks():
+    model = LanguageFilter.build({"x": trigrams("never ending")[0].view(np.int64).tolist()}, "x")
+    whole, pieces = model.predict(LONG), model.predict(LONG, chunk=1000)
+    assert whole[0] == pieces[0] == "x" and abs(whole[1] - pieces[1]) < 0.01

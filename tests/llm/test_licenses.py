@@ -1,0 +1,44 @@
+from collections import Counter
+
+from barlake.llm.license_texts import TEMPLATES
+from barlake.llm.licenses import _WORD, Scanner, scan_licenses
+
+
+def dice(a, b):
+    a, b = (_WORD.findall(x.lower()) for x in (a, b))
+    a, b = Counter(zip(a, a[1:])), Counter(zip(b, b[1:]))
+    return 2 * (a & b).total() / max(1, a.total() + b.total())
+
+
+def test_bounds_lose_nothing():
+    """Against every template, whatever its size."""
+    scanner = Scanner(TEMPLATES, 0.8)
+    texts = [t for own in TEMPLATES.values() for t in own]
+    texts += [" ".join(t.split()[: max(2, len(t.split()) * n // 10)]) for t in texts for n in (5, 6, 7, 8, 9)]
+    texts += [t + " and some more words here" for t in texts] + ["x", "", "released under", "mit license the under released"]
+    for text in texts:
+        best = max((dice(text, t), name) for name, own in TEMPLATES.items() for t in own)[0]
+        found = scanner.compare(_WORD.findall(text.lower()))
+        assert (found[0] if found else 0) == (best if best >= 0.8 else 0), text
+
+
+def test_passages(documents):
+    mit = TEMPLATES["MIT"][2]
+    rows = scan_licenses(documents(
+        (1, "Prose before.\nReleased  under the *MIT* License!\nProse after."), (2, mit),
+        (3, "Words.\n\n" + mit.replace("software and", "software\nand") + "\n\nMore words."), (4, "released under protest"),
+    )).collect()
+    assert [(r.doc_id, r.license, r.unit) for r in sorted(rows, key=lambda r: r.doc_id)] == [
+        (1, "MIT", "line"), (2, "MIT", "text"), (3, "MIT", "paragraph"),
+    ]
+    one = next(r for r in rows if r.doc_id == 1)
+    assert one.dice == 1.0 and one.passage == "Released  under the *MIT* License!" and one.first_char == 14
+    assert one.last_char == 14 + len(one.passage)
+
+
+def test_odd_rows(odd, documents):
+    assert scan_licenses(odd).count() == 0
+    assert scan_licenses(odd.limit(0)).count() == 0
+    twice = documents((1, "Released under the MIT License."), (1, "Released under the MIT License."), (None, "Released under the MIT License."))
+    assert scan_licenses(twice).count() == 3
+    assert scan_licenses(twice, {}).count() == 0
