@@ -87,11 +87,13 @@ class Scanner:
             lead = len(body) - len(body.lstrip())
             if found:
                 matches.append((found[1], found[0], unit, first + lead, first + len(body.rstrip())))
-        kept: list[tuple[str, float, str, int, int]] = []
-        for match in sorted(matches, key=lambda m: (-m[1], m[3] - m[4])):
-            if all(match[4] <= k[3] or k[4] <= match[3] for k in kept):
-                kept.append(match)
-        yield from sorted(kept, key=lambda m: m[3])
+        kept: list[tuple[int, int, str, float, str]] = []  # disjoint, by their first character
+        for name, dice, unit, first, last in sorted(matches, key=lambda m: (-m[1], m[3] - m[4])):
+            at = bisect_left(kept, (first,))
+            if (at == 0 or kept[at - 1][1] <= first) and (at == len(kept) or last <= kept[at][0]):
+                kept.insert(at, (first, last, name, dice, unit))
+        for first, last, name, dice, unit in kept:
+            yield name, dice, unit, first, last
 
 
 def scan_licenses(
