@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import re
 
 from pyspark.sql import SparkSession
 
@@ -14,13 +15,15 @@ from barlake.streaming import bronze
 
 
 def stream(spark: SparkSession, settings: Settings, args: argparse.Namespace) -> None:
+    if args.checkpoints is None and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise SystemExit("--checkpoints must name a folder that outlives this machine")
     options = kafka.source_options(
         settings.servers, settings.topic,
         min_partitions=args.min_partitions, max_offsets_per_trigger=args.max_offsets,
     )
     trigger = {"processingTime": args.every} if args.every else None
     log = kafka.read_stream(spark, options)
-    bronze.start(log, args.bronze, args.quarantine, args.checkpoints, trigger)
+    bronze.start(log, args.bronze, args.quarantine, args.checkpoints or CHECKPOINTS, trigger)
     spark.streams.awaitAnyTermination()
 
 
@@ -49,7 +52,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         parser.add_argument(f"--{layer}", default=path, help=f"path of the {layer} layer")
     parser.add_argument("--dates", nargs="*", help="only these dates got new events")
     parser.add_argument("--run-date", help="day on which ticker versions close and open")
-    parser.add_argument("--checkpoints", default=CHECKPOINTS, help="root of the stream checkpoints")
+    parser.add_argument("--checkpoints", help="root of the stream checkpoints; may be left out in local mode")
     parser.add_argument("--every", help="trigger interval of the stream, such as '1 minute'")
     parser.add_argument("--min-partitions", type=int)
     parser.add_argument("--max-offsets", type=int)

@@ -49,9 +49,11 @@ def merge(existing: DataFrame, incoming: DataFrame, run_date: RunDate = None) ->
 
     Fresh versions get keys above the highest existing one, in symbol order. Closed history is kept.
     Numbering reads ``incoming`` more than once: pass it stored (checkpoint or table), not as a plan
-    over all of silver.
+    over all of silver. A run date before the newest version would turn intervals around; it raises.
     """
-    day = _day(run_date)
+    newest = existing.agg(F.max("effective_from")).scalar()
+    backdated = F.raise_error(F.lit("the run date lies before the newest version")).cast("date")
+    day = F.when(newest > _day(run_date), backdated).otherwise(_day(run_date))
     old = existing.where("is_current").select(
         F.col("symbol"), F.struct(*DIM_TICKER).alias("old")
     )

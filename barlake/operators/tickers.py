@@ -28,16 +28,22 @@ def incoming_attrs(silver: DataFrame, names: Names = COMPANY_NAMES) -> DataFrame
     return _named(silver.select("symbol", "currency", "source").distinct(), names)
 
 
-def current_attrs(silver: DataFrame, names: Names = COMPANY_NAMES) -> DataFrame:
-    """The latest ``(currency, source)`` per symbol: exactly one row per symbol.
+def seen_attrs(silver: DataFrame, *by: str) -> DataFrame:
+    """``(*by, symbol, currency, source, seen)``: the newest event time, in microseconds, of every pair.
 
-    The big pass groups by all three attributes and keeps the newest event time as microseconds. That
-    buffer has a fixed width, so it is a hash aggregate that collapses each map task to a handful of
-    rows; the choice of the latest pair then runs on that small result.
+    The big pass: its buffer has a fixed width, so it is a hash aggregate that collapses each map task
+    to a handful of rows. Kept ``by`` date, it can be brought up to date one date at a time.
     """
     seen = F.unix_micros(F.col("timestamp").try_cast("timestamp"))
-    pairs = silver.groupBy("symbol", "currency", "source").agg(F.max(seen).alias("_seen"))
-    latest = pairs.groupBy("symbol").agg(
-        F.max(F.struct("_seen", "currency", "source")).alias("_latest")
-    )
+    return silver.groupBy(*by, "symbol", "currency", "source").agg(F.max(seen).alias("seen"))
+
+
+def latest_attrs(pairs: DataFrame, names: Names = COMPANY_NAMES) -> DataFrame:
+    """The latest ``(currency, source)`` per symbol of ``seen_attrs``: exactly one row per symbol."""
+    latest = pairs.groupBy("symbol").agg(F.max(F.struct("seen", "currency", "source")).alias("_latest"))
     return _named(latest.select("symbol", "_latest.currency", "_latest.source"), names)
+
+
+def current_attrs(silver: DataFrame, names: Names = COMPANY_NAMES) -> DataFrame:
+    """The latest ``(currency, source)`` per symbol in all of silver."""
+    return latest_attrs(seen_attrs(silver), names)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from barlake.operators import scd2
 from barlake.operators.calendar import dim_date
 from barlake.operators.dedup import clean
 from barlake.operators.facts import fact_daily
-from barlake.operators.tickers import Names, current_attrs
+from barlake.operators.tickers import Names, latest_attrs, seen_attrs
 from barlake.plans.analytics import Star
 from barlake.schemas import COMPANY_NAMES, FACT, GOLD_TABLES, NATURAL_KEY, ddl
 from barlake.session import ensure_checkpoint_dir, tasks_sized_for
@@ -40,6 +41,31 @@ class Layers:
     def fact(self) -> str:
         return f"{self.gold}/fact_daily_prices"
 
+    @property
+    def attributes(self) -> str:
+        """Ticker attributes seen on each date."""
+        return f"{self.gold}/ticker_attributes"
+
+    @property
+    def fact_state(self) -> str:
+        """Highest ticker key that the whole fact takes into account."""
+        return f"{self.gold}/fact_state"
+
+
+def checked_dates(spark: SparkSession, layers: Layers, dates: Iterable[str] | None) -> list[str] | None:
+    """``dates`` as a list. A text that is no ISO date (yyyy-mm-dd) is a mistake, unless a bronze or
+    silver partition has just that name."""
+    if dates is None:
+        return None
+    dates = list(dates)
+    for date in dates:
+        stored = any(
+            lake.exists(spark, lake.partition_path(spark, layer, "date", date)) for layer in (layers.bronze, layers.silver)
+        )
+        if not stored and not _is_date(date):
+            raise ValueError(f"{date!r} is neither a date (yyyy-mm-dd) nor a stored partition")
+    return dates
+
 
 def refine_silver(
     spark: SparkSession, layers: Layers, dates: Iterable[str] | None = None
@@ -49,7 +75,7 @@ def refine_silver(
     The natural key contains the event time and so the date: a date is cleaned from its own bronze
     partition alone, and refreshing the dates that got new events equals the full rebuild.
     """
-    dates = None if dates is None else list(dates)
+    dates = checked_dates(spark, layers, dates)
     bronze = lake.read(spark, layers.bronze, dates)
     with tasks_sized_for(spark, lake.stored_bytes(spark, layers.bronze, dates)):
         written = lake.write_partitions(
@@ -82,53 +108,81 @@ def build_gold(
 ) -> dict[str, int]:
     """Write the star schema of all of silver, or bring it up to date after some dates changed.
 
-    Silver is scanned twice: four columns for the ticker attributes, six for the fact. The small
-    results are stored before they are used again: attributes as a checkpoint, the dimension as a
-    snapshot that the fact reads back, and the calendar from the days of the written fact. Rows
-    whose date is unusable stay out of gold and are counted as ``undated``.
+    Silver is scanned twice: four columns for the ticker attributes, six for the fact. Results are
+    stored before they are used again: attributes by date, the dimension as a snapshot that the fact
+    reads back, the calendar from the days of the written fact. Rows whose date is unusable stay out
+    of gold and are counted as ``undated``.
 
-    With ``dates`` only part of silver is read, and the outcome equals the full build as long as
-    times are UTC, as the contract has them, and ``names`` stay the same:
-
-    * attributes from the first changed date on: a symbol not seen since then has not changed
-    * facts of the changed dates and of days from ``run_date`` on: a merge closes and opens versions
-      on ``run_date``, so no earlier day can get another version
+    With ``dates`` only those dates of silver are read for the attributes; the latest pair is then taken
+    over all dates of the small attribute table, so a symbol that left a date falls back to what was
+    seen before. Facts are refreshed for the changed dates, for days from ``run_date`` on, and for days
+    from the first version on that was opened since the fact was last completed, which covers runs that
+    failed in between. ``names`` apply to all symbols. A ``run_date`` before the newest version raises.
     """
     ensure_checkpoint_dir(spark)
     day = str(run_date or spark.sql("SELECT current_date() AS d").first()["d"])
+    dates = checked_dates(spark, layers, dates)
     stored, on = lake.read(spark, layers.silver), calendar_date(F.col("date"))
     undated = stored.where(on.isNull()).count()
-    recent = stale = stored.where(on.isNotNull())
+    dated = stored.where(on.isNotNull())
     existing = read_dim_ticker(spark, layers)
-    keys = changed = None
-    if dates is not None and existing is not None:
-        changed = sorted(date for date in dates if _is_date(date))
-        first = changed[0] if changed else day
-        recent = stored.where(on >= F.lit(first).cast("date"))
-        stale = stored.where(on.isin([dt.date.fromisoformat(d) for d in changed]) | (on >= F.lit(day).cast("date")))
-        keys = [date.replace("-", "") for date in changed]
-
-    with tasks_sized_for(spark, lake.stored_bytes(spark, layers.silver, changed)):
-        attrs = current_attrs(recent, names).checkpoint()
+    if existing is not None:
+        newest = existing.agg(F.max("effective_from").alias("d")).first()["d"]
+        if newest is not None and str(newest) > day:
+            raise ValueError(f"run date {day} lies before the newest version of {newest}")
+    partial = dates is not None and existing is not None and lake.exists(spark, layers.attributes)
+
+    with tasks_sized_for(spark, lake.stored_bytes(spark, layers.silver, dates if partial else None)):
+        seen = seen_attrs(dated.where(F.col("date").isin(*dates)) if partial else dated, "date")
+        pair = ["symbol", "currency", "source"]
+        lake.write_partitions(seen, layers.attributes, "date", pair, only=dates if partial else None)
+    # With its schema, so a layer without rows can be read too.
+    attributes = spark.read.schema(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in seen.schema)).parquet(layers.attributes)
+    attrs = latest_attrs(attributes, names).checkpoint()
     dimension = scd2.initial(attrs, day) if existing is None else scd2.merge(existing, attrs, day)
     lake.write_snapshot(dimension, layers.dim_ticker)
-
-    with tasks_sized_for(spark, lake.stored_bytes(spark, layers.silver, changed)):
-        rows = fact_daily(stale, read_dim_ticker(spark, layers))
+    dimension = read_dim_ticker(spark, layers)
+
+    known = _known_key(spark, layers)
+    keys, stale, sized = None, dated, None
+    if partial and known is not None:
+        opened = dimension.where(F.col("ticker_key") > known).agg(F.min("effective_from").alias("d")).first()["d"]
+        since = min(day, str(opened)) if opened is not None else day
+        days = _calendar_days(spark, dates)
+        keys = [d.strftime("%Y%m%d") for d in days]
+        stale = dated.where(on.isin(days) | (on >= F.lit(since).cast("date")))
+        later = stored.select("date").where(on >= F.lit(since).cast("date")).distinct()
+        sized = sorted({r["date"] for r in later.collect()} | set(dates))  # dates, not data
+    with tasks_sized_for(spark, lake.stored_bytes(spark, layers.silver, sized)):
+        rows = fact_daily(stale, dimension)
         # Days before the first load have no ticker key, so measures help to tell rows apart.
         apart = ["ticker_key", "avg_close", "total_volume"]
         fact = lake.write_partitions(rows, layers.fact, "date_key", apart, only=keys)
+    top = dimension.agg(F.coalesce(F.max("ticker_key"), F.lit(0)).alias("ticker_key"))
+    lake.write_snapshot(top, layers.fact_state)
 
-    days = read_fact(spark, layers).select(
+    in_fact = read_fact(spark, layers).select(
         F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("date")
     )
-    calendar = lake.write(dim_date(days), layers.dim_date)
+    calendar = lake.write(dim_date(in_fact), layers.dim_date)
     return {"fact_daily_prices": fact["rows"], "dim_date": calendar["rows"], "undated": undated}
 
 
+def _known_key(spark: SparkSession, layers: Layers) -> int | None:
+    path = lake.latest_snapshot(spark, layers.fact_state)
+    return None if path is None else spark.read.parquet(path).first()["ticker_key"]
+
+
+def _calendar_days(spark: SparkSession, dates: Iterable[str]) -> list[dt.date]:
+    """The days that date texts stand for in silver, read as Spark reads them."""
+    texts = [F.lit(date).try_cast("date") for date in dates]
+    found = spark.range(1).select(F.array(*texts).alias("d")).first()["d"] if texts else []
+    return sorted({d for d in found if d is not None})
+
+
 def _is_date(text: str) -> bool:
     try:
-        return bool(dt.date.fromisoformat(text))
+        return bool(re.fullmatch(r"\d{4}-\d{2}-\d{2}", text) and dt.date.fromisoformat(text))
     except ValueError:
         return False
 
@@ -147,7 +201,7 @@ def run_batch(
 ) -> dict[str, dict[str, int]]:
     """Silver, gold and, if a warehouse is given, the load. Each step may be repeated safely.
 
-    ``dates`` limits the run to bronze dates that got new events since the last one.
+    ``dates`` limits the run to bronze dates that changed since the last run that ended well.
     """
     dates = None if dates is None else list(dates)
     report = {"silver": refine_silver(spark, layers, dates)}

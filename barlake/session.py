@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -45,7 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="barlake-checkpoints-")
     context.setCheckpointDir(shared)

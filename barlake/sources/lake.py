@@ -8,6 +8,7 @@ from typing import Any
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _fs(spark: SparkSession, path: str):
@@ -21,9 +22,31 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read(spark: SparkSession, path: str, dates: Iterable[str] | None = None) -> DataFrame:
-    """A layer, or only the given ``date`` partitions of it (pruned before any file is opened)."""
+    """A layer, or only the given ``date`` partitions of it (pruned before any file is opened).
+
+    ``date`` is text as it stands in the folder names, whatever type Spark would infer from them: so
+    2026-7-3 and 2026-07-03 stay apart, and folders that are all digits do not become numbers.
+    """
     frame = spark.read.parquet(path)
-    return frame if dates is None else frame.where(F.col("date").cast("string").isin(*dates))
+    if frame.schema["date"].dataType != T.StringType():
+        fields = [T.StructField("date", T.StringType()) if f.name == "date" else f for f in frame.schema]
+        frame = spark.read.schema(T.StructType(fields)).parquet(path)
+    return frame if dates is None else frame.where(F.col("date").isin(*dates))
+
+
+def partition_path(spark: SparkSession, path: str, column: str, value: str) -> str:
+    """Folder of a partition; Spark escapes characters that paths cannot hold."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{path}/{column}={escape(value)}"
+
+
+def _data_files(spark: SparkSession, path: str) -> set[str]:
+    """Names of the data files right below ``path``; none if it does not exist."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return set()
+    names = {status.getPath().getName() for status in fs.listStatus(target) if status.isFile()}
+    return {name for name in names if not name.startswith(("_", "."))}
 
 
 def stored_bytes(spark: SparkSession, path: str, dates: Iterable[str] | None = None) -> int:
@@ -31,7 +54,7 @@ def stored_bytes(spark: SparkSession, path: str, dates: Iterable[str] | None = N
     if dates is None:
         scan = spark.read.parquet(path)
         return int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    parts = [_fs(spark, f"{path}/date={date}") for date in dates]
+    parts = [_fs(spark, partition_path(spark, path, "date", date)) for date in dates]
     return sum(fs.getContentSummary(part).getLength() for fs, part in parts if fs.exists(part))
 
 
@@ -51,7 +74,8 @@ def observed(metrics: Observation, otherwise: Callable[[], dict[str, Any]]) -> d
     """Metrics of a finished action.
 
     When adaptive execution finds at run time that the result is empty, it cuts the plan down to an
-    empty relation and the observation goes with it; ``otherwise`` supplies the metrics then.
+    empty relation and the observation goes with it; ``otherwise`` then finds the metrics in what was
+    written, without taking the lost observation as a sign of anything.
     """
     try:
         return metrics.get
@@ -67,23 +91,37 @@ def write_partitions(
 
     ``keys`` tell the rows of one value apart. The count is observed in the writing stage itself, so
     there is no second pass and a task that is run again still counts once.
+
+    A value in ``only`` that got no rows loses its partition. Files carry the name of the job that wrote
+    them, so a folder that holds the same files as before the write got none; nothing else is dropped.
     """
-    rows = Observation()
-    metrics = [F.count("*").alias("rows")]
-    if only is not None:
-        metrics.append(F.collect_set(F.col(column).cast("string")).alias("values"))
-    counted = in_ranges(frame, column, *keys).observe(rows, *metrics)
+    spark, rows = frame.sparkSession, Observation()
+    asked = {} if only is None else {str(v): partition_path(spark, path, column, str(v)) for v in only}
+    before = {folder: _data_files(spark, folder) for folder in asked.values()}
+    counted = in_ranges(frame, column, *keys).observe(rows, F.count("*").alias("rows"))
     writer = counted.write.mode("overwrite").partitionBy(column)
     writer.option("partitionOverwriteMode", "static" if only is None else "dynamic").parquet(path)
-    written = observed(rows, lambda: {"rows": 0, "values": []})
-    if only is not None:
-        for value in set(map(str, only)) - set(written["values"]):
-            drop_partition(frame.sparkSession, path, column, value)  # refreshed to nothing
-    return {"rows": written["rows"]}
 
+    for folder, files in before.items():
+        if files and _data_files(spark, folder) == files:
+            drop(spark, folder)
+    return observed(rows, lambda: {"rows": _written_rows(frame, path, column, before)})
+
+
+def _written_rows(frame: DataFrame, path: str, column: str, before: dict[str, set[str]]) -> int:
+    """Rows of a table that was just written, or of the folders that were written anew."""
+    spark = frame.sparkSession
+    if before:
+        fresh = [f for f, files in before.items() if _data_files(spark, f) - files]
+    else:
+        fs, target = _fs(spark, path)
+        fresh = [s.getPath().toString() for s in fs.listStatus(target) if s.isDirectory()]
+    kinds = T.StructType([f for f in frame.schema if f.name != column])
+    return spark.read.schema(kinds).parquet(*fresh).count() if fresh else 0
 
-def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
-    fs, target = _fs(spark, f"{path}/{column}={value}")
+
+def drop(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
     fs.delete(target, True)
 
 
@@ -92,7 +130,12 @@ def write(frame: DataFrame, path: str) -> dict[str, int]:
     rows = Observation()
     counted = frame.observe(rows, F.count("*").alias("rows"))
     counted.write.mode("overwrite").parquet(path)
-    return observed(rows, lambda: {"rows": 0})
+    return observed(rows, lambda: {"rows": frame.sparkSession.read.schema(frame.schema).parquet(path).count()})
+
+
+#: Completed snapshots that stay: the live one and those that running readers may still hold.
+SNAPSHOTS_KEPT = 3
+_DONE = "_COMPLETE"
 
 
 def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
@@ -105,20 +148,31 @@ def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
     for status in fs.listStatus(target):
         name = status.getPath().getName()
         if name.startswith("snapshot="):
-            done = fs.exists(path_of(status.getPath(), "_SUCCESS"))
+            done = any(fs.exists(path_of(status.getPath(), mark)) for mark in (_DONE, "_SUCCESS"))
             found.append((int(name.partition("=")[2]), done))
     return sorted(found)
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> str | None:
-    """Path of the newest complete snapshot; None only if there is no snapshot at all."""
-    complete = [number for number, done in _snapshots(spark, root) if done]
+    """Path of the newest complete snapshot; None only if there is no snapshot at all. Snapshots none of
+    which is complete raise: to take them for a first load would give keys anew."""
+    found = _snapshots(spark, root)
+    complete = [number for number, done in found if done]
+    if found and not complete:
+        raise RuntimeError(f"{root} holds snapshots, but none is complete; remove them to load it anew")
     return f"{root}/snapshot={complete[-1]}" if complete else None
 
 
 def write_snapshot(frame: DataFrame, root: str) -> str:
-    """Write a new snapshot next to the one ``frame`` may read from; readers switch on ``_SUCCESS``."""
-    taken = [number for number, _ in _snapshots(frame.sparkSession, root)]
+    """Write a new snapshot next to the one ``frame`` may read from, mark it complete, and drop complete
+    ones before the last ``SNAPSHOTS_KEPT``. Readers take the newest complete one."""
+    spark = frame.sparkSession
+    taken = [number for number, _ in _snapshots(spark, root)]
     path = f"{root}/snapshot={max(taken, default=0) + 1}"
     write(frame.hint("rebalance"), path)  # the parts of a merge are many and small
+    fs, mark = _fs(spark, f"{path}/{_DONE}")
+    fs.create(mark, True).close()
+    complete = [number for number, done in _snapshots(spark, root) if done]
+    for number in complete[:-SNAPSHOTS_KEPT]:
+        drop(spark, f"{root}/snapshot={number}")
     return path
