@@ -32,7 +32,7 @@ except ModuleNotFoundError as missing:  # only if that subpackage is not there
 Query = Callable[[SparkSession, str], DataFrame]
 
 PRICES = ("open", "high", "low", "close", "volume")
-EVENT_COLUMNS = ("kafka_partition", "kafka_offset", "symbol", "timestamp", *PRICES)
+EVENT_COLUMNS = ("kafka_partition", "kafka_offset", "symbol", "timestamp", *PRICES, "currency", "source")
 
 
 def _text(frame: DataFrame, *columns: str) -> DataFrame:
@@ -157,6 +157,21 @@ def _avg_latency_5m(spark: SparkSession, sf: str) -> DataFrame:
     return _text(latency, "window_start")
 
 
+def _avg_latency_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    latency = counters.average_latency(
+        _samples(spark, sf), "fetch_sum", "fetch_count", step="1 minute", tie="event_id"
+    )
+    return _text(latency, "window_start")
+
+
+def _star_from_events(spark: SparkSession, sf: str) -> DataFrame:
+    return _text(fx.derived_star(spark, sf).run("daily_summary"), "full_date")
+
+
+def _derived_versions(spark: SparkSession, sf: str) -> DataFrame:
+    return _text(fx.derived_star(spark, sf).ticker, "effective_from", "effective_to")
+
+
 def _totals_or_zero(spark: SparkSession, sf: str) -> DataFrame:
     return counters.totals_or_zero(
         _samples(spark, sf), ["fetch_count", "fetch_failures"], tie="event_id"
@@ -208,6 +223,8 @@ def own_queries() -> dict[str, Query]:
         "scd2_violations": _scd2_violations,
         "daily_ohlcv": _daily_ohlcv,
         "fact_daily": _fact_daily,
+        "star_from_events": _star_from_events,
+        "derived_versions": _derived_versions,
         "q_daily_summary": _analytics("daily_summary", "full_date"),
         "q_top_avg_close": _top_avg_close,
         "q_volume_by_dow": _analytics("volume_by_dow"),
@@ -221,6 +238,7 @@ def own_queries() -> dict[str, Query]:
         "counter_increases": _counter_increases,
         "counter_rate": _counter_rate,
         "avg_latency_5m": _avg_latency_5m,
+        "avg_latency_sliding": _avg_latency_sliding,
         "totals_or_zero": _totals_or_zero,
         "layer_counts": _layer_counts,
     }
@@ -229,14 +247,14 @@ def own_queries() -> dict[str, Query]:
 # Checking SQL ---------------------------------------------------------------------------------
 
 _PARSED = ", ".join(
-    f"CASE WHEN form = 'json' THEN {c} END AS {c}" for c in ("symbol", "timestamp", *PRICES)
+    f"CASE WHEN form = 'json' THEN {c} END AS {c}" for c in ("symbol", "timestamp", *PRICES, "currency", "source")
 )
 _VIEWS = {
     **{
         name: getattr(fx, name.upper()).format(**{t: t for t in fx.TABLES})
         for name in (
             "quotes", "versions", "supplier_bars", "user_bars", "listings", "listing_names",
-            "existing", "samples",
+            "existing", "samples", "symbol_names",
         )
     },
     "checked": f"""
@@ -263,6 +281,27 @@ _VIEWS = {
                CAST(sum(volume) AS BIGINT) AS total_volume FROM silver GROUP BY symbol, date) f
         LEFT JOIN versions v ON f.symbol = v.symbol
          AND CAST(f.date AS DATE) >= v.effective_from AND CAST(f.date AS DATE) < v.effective_to""",
+    "early_attrs": """
+        SELECT symbol, company_name, currency, source
+        FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC, currency DESC, source DESC) AS rn
+              FROM silver WHERE date < '2024-01-16') s
+        LEFT JOIN symbol_names USING (symbol) WHERE rn = 1""",
+    "late_attrs": """
+        SELECT symbol, company_name, currency, source
+        FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC, currency DESC, source DESC) AS rn
+              FROM silver) s
+        LEFT JOIN symbol_names USING (symbol) WHERE rn = 1""",
+    "derived": f"""
+        SELECT CAST(row_number() OVER (ORDER BY e.symbol) AS INT) AS ticker_key, e.symbol, e.company_name, e.currency,
+         e.source, DATE '{fx.FIRST_LOAD}' AS effective_from, CASE WHEN l.source = e.source AND l.currency = e.currency
+          THEN DATE '9999-12-31' ELSE DATE '{fx.SECOND_LOAD}' END AS effective_to,
+         l.source = e.source AND l.currency = e.currency AS is_current
+        FROM early_attrs e JOIN late_attrs l ON e.symbol = l.symbol
+        UNION ALL
+        SELECT CAST(row_number() OVER (ORDER BY l.symbol) + (SELECT count(*) FROM early_attrs) AS INT), l.symbol,
+         l.company_name, l.currency, l.source, DATE '{fx.SECOND_LOAD}', DATE '9999-12-31', true
+        FROM late_attrs l LEFT JOIN early_attrs e ON e.symbol = l.symbol
+        WHERE e.symbol IS NULL OR l.source <> e.source OR l.currency <> e.currency""",
     "calendar": """
         SELECT CAST(replace(date, '-', '') AS INT) AS date_key, date AS full_date,
          CAST(year(CAST(date AS DATE)) AS INT) AS year, CAST(month(CAST(date AS DATE)) AS INT) AS month,
@@ -306,6 +345,9 @@ _NEEDS = {
     "silver": ("checked",),
     "fact": ("silver", "versions"),
     "calendar": ("silver",),
+    "early_attrs": ("silver", "symbol_names"),
+    "late_attrs": ("silver", "symbol_names"),
+    "derived": ("early_attrs", "late_attrs"),
     "attrs": ("listings", "listing_names"),
     "affected": ("attrs", "existing"),
     "merged": ("affected",),
@@ -385,6 +427,15 @@ def own_sql() -> dict[str, str]:
             JOIN calendar c ON f.date_key = c.date_key ORDER BY v.symbol, c.full_date""",
             "fact", "calendar",
         ),
+        "star_from_events": _with(
+            """SELECT v.symbol, v.company_name, f.date AS full_date, max(f.high) AS day_high, min(f.low) AS day_low,
+             avg(f.close) AS avg_close, CAST(sum(f.volume) AS BIGINT) AS total_volume
+            FROM silver f JOIN derived v ON f.symbol = v.symbol
+             AND CAST(f.date AS DATE) >= v.effective_from AND CAST(f.date AS DATE) < v.effective_to
+            GROUP BY v.symbol, v.company_name, f.date""",
+            "derived",
+        ),
+        "derived_versions": _with(dim.format("derived"), "derived"),
         "q_top_avg_close": _with(
             """SELECT v.company_name, f.avg_close FROM fact f JOIN versions v ON f.ticker_key = v.ticker_key
             ORDER BY f.avg_close DESC, v.company_name, f.date_key LIMIT 1""",
@@ -442,6 +493,13 @@ def own_sql() -> dict[str, str]:
             FROM deltas GROUP BY 1""",
             "deltas",
         ),
+        "avg_latency_sliding": _with(
+            """SELECT CAST(date_trunc('minute', ts) - to_minutes(i) AS VARCHAR) AS window_start,
+            sum(CASE WHEN metric = 'fetch_sum' THEN delta END)
+             / nullif(sum(CASE WHEN metric = 'fetch_count' THEN delta END), 0) AS avg_latency
+            FROM deltas, (SELECT unnest([0, 1, 2, 3, 4]) AS i) steps GROUP BY 1""",
+            "deltas",
+        ),
         "totals_or_zero": _with(
             """SELECT m.metric, coalesce(sum(l.value), 0.0) AS total
             FROM (SELECT unnest(['fetch_count', 'fetch_failures']) AS metric) m

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.operators import scd2
 from barlake.operators.calendar import dim_date
 from barlake.operators.dedup import clean
 from barlake.operators.facts import fact_daily
+from barlake.operators.tickers import current_attrs
 from barlake.operators.validation import split_valid, to_envelope, validate
 from barlake.plans.analytics import Star
 from barlake.session import ensure_checkpoint_dir
@@ -32,6 +34,8 @@ SELECT event_id AS kafka_offset, CAST(user_id % 4 AS INT) AS kafka_partition, ev
  CAST(CASE WHEN event_id % 50 = 7 THEN -1.0 ELSE floor(value * 4) / 4 + 1 END AS DOUBLE) AS close,
  CAST(CASE WHEN event_id % 50 = 13 THEN -5 WHEN event_id % 50 = 29 THEN NULL
   ELSE (event_id % 1000) * 100 END AS BIGINT) AS volume,
+ CASE WHEN user_id % 20 = 7 THEN 'EUR' ELSE 'USD' END AS currency,
+ CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-16' AND user_id % 2 = 0 THEN 'feed_b' ELSE 'feed_a' END AS source,
  CASE WHEN event_id % 50 = 19 THEN 'not json' WHEN event_id % 50 = 37 THEN 'tombstone' ELSE 'json' END AS form
 FROM {events}
 """
@@ -49,6 +53,12 @@ SELECT CAST(n + 21 AS INT), concat('S', lpad(CAST(n AS STRING), 2, '0')), concat
 FROM (SELECT DISTINCT user_id % 20 AS n FROM {events}) u
 """
 
+# One symbol has no name.
+SYMBOL_NAMES = """
+SELECT concat('S', lpad(CAST(n AS STRING), 2, '0')) AS symbol, concat('Company ', CAST(n AS STRING)) AS company_name
+FROM (SELECT DISTINCT user_id % 20 AS n FROM {events}) u WHERE n <> 3
+"""
+
 SUPPLIER_BARS = """
 SELECT concat('P', CAST(l_suppkey AS STRING)) AS symbol, CAST(CAST(l_shipdate AS DATE) AS STRING) AS date,
  CAST(floor(l_extendedprice / l_quantity) + 1 AS DOUBLE) AS high,
@@ -116,7 +126,7 @@ def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes as log messages, with the time at which each one arrived."""
     quotes = derive(spark, sf_dir, QUOTES)
-    fields = ("symbol", "timestamp", "open", "high", "low", "close", "volume")
+    fields = ("symbol", "timestamp", "open", "high", "low", "close", "volume", "currency", "source")
     payload = (
         F.when(F.col("form") == "not json", "not json")
         .when(F.col("form") == "json", F.to_json(F.struct(*fields)))
@@ -155,3 +165,19 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     rows = silver(spark, sf_dir).select("symbol", "date", "high", "low", "close", "volume")
     rows, versions = rows.checkpoint(), derive(spark, sf_dir, VERSIONS)
     return Star(fact_daily(rows, versions), versions, dim_date(rows))
+
+
+FIRST_LOAD, SECOND_LOAD = "2024-01-08", "2024-01-20"
+
+
+def derived_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star whose ticker dimension comes from the same silver as the fact, loaded on two days: the
+    first load sees events up to the middle of January, the second one all of them."""
+    ensure_checkpoint_dir(spark)
+    rows = silver(spark, sf_dir)
+    rows = rows.select("symbol", "date", "timestamp", "high", "low", "close", "volume", "currency", "source").checkpoint()
+    names = derive(spark, sf_dir, SYMBOL_NAMES)
+    early = current_attrs(rows.where("date < '2024-01-16'"), names).checkpoint()
+    first = scd2.initial(early, FIRST_LOAD).checkpoint()
+    versions = scd2.merge(first, current_attrs(rows, names).checkpoint(), SECOND_LOAD).checkpoint()
+    return Star(fact_daily(rows, versions), versions, dim_date(rows))

@@ -43,7 +43,7 @@ def _chunked(
     """
     order = ["_t", *([tie] if tie else []), value]
     time = F.col("_t")
-    timed = samples.where(F.col(value).isNotNull())
+    timed = samples.where(F.col(value).isNotNull() & ~F.isnan(value))  # NaN marks a series as gone
     timed = timed.withColumn("_chunk", F.expr(f"(_t - pmod(_t, {chunk}L)) div {chunk}L"))
     in_tail = time >= (F.col("_chunk") + 1) * chunk - window
 
@@ -138,18 +138,24 @@ def average_latency(
     """Mean of a histogram over time windows: increase of its sum / increase of its count, all series.
 
     Both increases are taken over the same window, so its length cancels out. NULL where nothing was
-    counted. ``samples`` is long: one row per metric, series and time.
+    counted. ``samples`` is long: one row per metric, series and time. With ``step``, windows slide: what
+    was gained is summed per step first, and only these sums go into several windows. The window has
+    to be a multiple of the step.
     """
     both = samples.where(F.col("metric").isin(sum_metric, count_metric))
     deltas = increases(both, ["metric", *by], ts, value, tie)
 
-    def total(metric: str) -> Column:
-        return F.sum(F.when(F.col("metric") == metric, F.col("delta")))
-
-    span = F.window(ts, window, step) if step else F.window(ts, window)
-    return deltas.groupBy(span.alias("_span")).agg(
-        F.try_divide(total(sum_metric), total(count_metric)).alias("avg_latency")
-    ).select(F.col("_span.start").alias("window_start"), "avg_latency")
+    def gained(metric: str) -> Column:
+        return F.when(F.col("metric") == metric, F.col("delta"))
+
+    totals = F.sum(gained(sum_metric)).alias("_sum"), F.sum(gained(count_metric)).alias("_count")
+    sums = deltas.groupBy(F.window(ts, step or window).alias("_span")).agg(*totals)
+    sums = sums.select(F.col("_span.start").alias("window_start"), "_sum", "_count")
+    if step:
+        spans = F.window("window_start", window, step).alias("_span")
+        sums = sums.groupBy(spans).agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
+        sums = sums.withColumn("window_start", F.col("_span.start"))
+    return sums.select("window_start", F.try_divide("_sum", "_count").alias("avg_latency"))
 
 
 def totals_or_zero(

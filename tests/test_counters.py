@@ -148,3 +148,14 @@ def test_records_per_minute(spark):
     frame = spark.createDataFrame(rows, "symbol string, ts timestamp")
     got = {(r.symbol, r.minute.minute): r.records for r in records_per_minute(frame).collect()}
     assert got == {("A", 0): 2, ("A", 1): 1, ("B", 0): 1}
+
+
+def test_nan_samples_count_as_missing(spark):
+    """The mark of a series that went away changes no rate, whatever the length of a chunk."""
+    rows = [("A", t, t, float(t)) for t in range(0, 4000, 10)]
+    holes = [("A", 25, 9001, float("nan")), ("A", 1995, 9002, None)]
+    want = brute_force(rows, 60)[1]
+    for chunk in (60, 600, None):
+        frame = spark.createDataFrame(rows + holes, SAMPLES)
+        rated = counter_rate(frame, ["symbol"], 60, tie="id", chunk_seconds=chunk).collect()
+        assert {r.id: pytest.approx(r.rate) for r in rated} == want
