@@ -347,21 +347,24 @@ def _lossy(raw: bytes) -> str:
 _codecs: dict[tuple, Codec] = {}
 
 
-def codec(model: bytes) -> Codec:
+def codec(model: bytes, remembered: int = 150_000) -> Codec:
     """The worker's codec for a model; kept between tasks."""
-    key = (len(model), hash(model))
+    key = (len(model), hash(model), remembered)
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec(model)
+        _codecs[key] = Codec(model, remembered)
     return _codecs[key]
 
 
-def round_trip(docs: DataFrame, model_path: str, check: str = "chunks", batch: int = 256) -> DataFrame:
+def round_trip(
+    docs: DataFrame, model_path: str, check: str = "chunks", batch: int = 256, remembered: int = 150_000,
+) -> DataFrame:
     """``docs(doc_id, text)`` with ``ids`` (array of int) and ``decoded`` (the text these ids decode to).
 
     No begin or end ids. A null text is empty: no ids, an empty text. Bytes that are not UTF-8 are read
     as U+FFFD. Other columns are ignored, repeated rows stay. The model file (some hundred KB) is read
-    by the driver and sent to the workers; texts stay within their partitions, ``batch`` at a time.
+    by the driver and sent to the workers; texts stay within their partitions, ``batch`` at a time. A worker
+    remembers ``remembered`` chunks twice over, some 100 MB for each 250,000; the result is the same.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -371,7 +374,7 @@ def round_trip(docs: DataFrame, model_path: str, check: str = "chunks", batch: i
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model.value)
+        own = codec(model.value, remembered)
         for whole in batches:
             for start in range(0, whole.num_rows, batch):
                 part = whole.slice(start, batch)

@@ -50,7 +50,7 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3(spark: SparkSession, sf: str) -> DataFrame:
-    return digests(pieces.round_trip(_table(spark, sf, "documents"), model_path()))
+    return digests(pieces.round_trip(_table(spark, sf, "documents"), model_path(), batch=1024, remembered=400_000))
 
 
 def digests(coded: DataFrame) -> DataFrame:
