@@ -62,7 +62,7 @@ if __name__ == "__main__":
     })
     spark.sparkContext.setLogLevel("ERROR")
     con = database(sf)
-    for query in only or registry.queries():
+    for query in only or registry.oracle_sql():
         begun = time.time()
         try:
             result = differences(spark, con, query, sf)
