@@ -10,10 +10,11 @@ the documents that cross a boundary.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -140,28 +141,52 @@ def count_tokens(
     return found.where(ended).select("file", "doc_no", "first_token", "n_tokens")
 
 
+@contextmanager
+def same_splits(spark: SparkSession) -> Iterator[None]:
+    """Within the block, scans of the same files are cut into the same partitions. Otherwise small inputs
+    are cut by the number of cores, which changes as executors come and go."""
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, before or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+
+
+def file_place(file: Column) -> tuple[Column, Column]:
+    """Partition and number of the file within it, from the name ``part-<partition>-<job>-c<number>.txt``.
+
+    The job is a UUID, which can hold ``-c`` and digits as well, so the number ends at the extension.
+    """
+    part, number = r"part-(\d+)-[^/]*$", r"-c(\d+)\.[^/]*$"
+    return tuple(F.regexp_extract(file, pattern, 1).cast("bigint") for pattern in (part, number))
+
+
 def document_token_counts(docs: DataFrame, model_path: str, width: int = 2) -> DataFrame:
     """``docs(doc_id, text)`` written as token files, scanned, and counted: one row per row of ``docs``.
 
     Columns: ``doc_id``, ``file``, ``doc_no`` (place in the file), ``first_token``, ``n_tokens``. The
     files hold no ids of documents; a row's file and place follow from the partition it was read in, so
-    ``docs`` must be read the same way twice, as a plain scan of stored files is. A null or empty text
-    has no tokens. Repeated rows are documents of their own; other columns are ignored.
+    ``docs`` must be a plain scan of stored files. It is scanned twice, with the same splits, before this
+    returns; a row that has no count raises. A null or empty text has no tokens. Repeated rows are
+    documents of their own; other columns are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "token-files")
-    end = write_token_files(docs, scratch.path("tokens"), model_path, width)
+    place = F.monotonically_increasing_id()  # partition in the upper 31 bits, row below them
+    with same_splits(spark):
+        end = write_token_files(docs, scratch.path("tokens"), model_path, width)
+        ids = scratch.save(docs.select("doc_id", place.alias("_place")), "ids")
     counts = count_tokens(spark, scratch.path("tokens"), end, width)
-    # part-<partition>-<job>-c<file>: the files of a partition follow each other.
-    part = F.regexp_extract("file", r"part-(\d+)-[^/]*$", 1).cast("bigint")
-    nth_file = F.regexp_extract("file", r"-c(\d+)[^/]*$", 1).cast("bigint")
+    part, nth_file = file_place(F.col("file"))  # the files of a partition follow each other
     counts = counts.withColumn("part", part).withColumn("row", nth_file * DOCS_PER_FILE + F.col("doc_no"))
-    place = F.monotonically_increasing_id()  # partition in the upper 31 bits, row below them
-    ids = docs.select("doc_id", place.alias("_place"))
     ids = ids.select(
         "doc_id", F.shiftright("_place", 33).alias("part"), F.col("_place").bitwiseAND((1 << 33) - 1).alias("row")
     )
     file_name = F.regexp_extract("file", r"([^/]*)$", 1).alias("file")
+    counted = F.coalesce("n_tokens", F.raise_error(F.lit("a document has no count")).cast("bigint"))
     return ids.join(counts, ["part", "row"], "left").select(
-        "doc_id", file_name, "doc_no", "first_token", "n_tokens"
+        "doc_id", file_name, "doc_no", "first_token", counted.alias("n_tokens")
     )

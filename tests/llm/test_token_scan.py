@@ -42,3 +42,27 @@ def test_documents(spark, odd, tmp_path, monkeypatch):
     assert sorted(map(str, ((r.doc_id, r.n_tokens) for r in got))) == sorted(map(str, want))
     docs.limit(0).write.parquet(f"{tmp_path}/none")
     assert token_scan.document_token_counts(spark.read.parquet(f"{tmp_path}/none"), model_path()).count() == 0
+
+
+def test_place_of_a_file_whose_job_looks_like_a_number(spark):
+    names = ["part-00007-c12a4e10-c345-4c67-89ab-c99999999999-c003.txt", "part-00000-0a-c000.txt"]
+    files = spark.createDataFrame([(f"file:/a/part-00001-c5.d/{n}",) for n in names], "file string")
+    found = files.select(*token_scan.file_place(files.file)).collect()
+    assert [tuple(r) for r in found] == [(7, 3), (0, 0)]
+
+
+def test_counts_do_not_depend_on_later_splits(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_scan, "DOCS_PER_FILE", 5)
+    rows = spark.range(400).selectExpr("id AS doc_id", "repeat('word ', cast(id % 17 AS int)) AS text")
+    rows.repartition(12).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    want = {r.doc_id: len(LIBRARY.encode(r.text)) for r in docs.collect()}
+    conf = {"spark.sql.files.minPartitionNum": "2", "spark.sql.files.openCostInBytes": "1"}
+    for first in (True, False):
+        got = token_scan.document_token_counts(docs, model_path())
+        if first:
+            for name, value in conf.items():
+                spark.conf.set(name, value)
+        assert {r.doc_id: r.n_tokens for r in got.collect()} == want
+    for name in conf:
+        spark.conf.unset(name)
