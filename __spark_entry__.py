@@ -164,6 +164,15 @@ def _avg_latency_sliding(spark: SparkSession, sf: str) -> DataFrame:
     return _text(latency, "window_start")
 
 
+def _records_rate(spark: SparkSession, sf: str) -> DataFrame:
+    sent = _samples(spark, sf).where("metric = 'fetch_count'")
+    return _text(counters.records_rate(sent, tie="event_id"), "window_start")
+
+
+def _missing_bars(spark: SparkSession, sf: str) -> DataFrame:
+    return bars.missing_bars(fx.silver(spark, sf), step_seconds=3_600)
+
+
 def _star_from_events(spark: SparkSession, sf: str) -> DataFrame:
     return _text(fx.derived_star(spark, sf).run("daily_summary"), "full_date")
 
@@ -239,6 +248,8 @@ def own_queries() -> dict[str, Query]:
         "counter_rate": _counter_rate,
         "avg_latency_5m": _avg_latency_5m,
         "avg_latency_sliding": _avg_latency_sliding,
+        "records_rate_1m": _records_rate,
+        "missing_bars": _missing_bars,
         "totals_or_zero": _totals_or_zero,
         "layer_counts": _layer_counts,
     }
@@ -500,6 +511,20 @@ def own_sql() -> dict[str, str]:
             FROM deltas, (SELECT unnest([0, 1, 2, 3, 4]) AS i) steps GROUP BY 1""",
             "deltas",
         ),
+        "records_rate_1m": _with(
+            """SELECT CAST(time_bucket(INTERVAL 15 SECOND, ts, TIMESTAMP '1970-01-01') - to_seconds(15 * i) AS VARCHAR)
+             AS window_start, symbol, sum(delta) AS records_per_minute
+            FROM deltas, (SELECT unnest([0, 1, 2, 3]) AS i) steps WHERE metric = 'fetch_count' GROUP BY 1, 2""",
+            "deltas",
+        ),
+        "missing_bars": _with(
+            """SELECT symbol, concat(date, 'T', lpad(CAST(unnest(range(hour + 1, following)) AS VARCHAR), 2, '0'), ':00:00Z')
+             AS timestamp
+            FROM (SELECT *, lead(hour) OVER (PARTITION BY symbol, date ORDER BY hour) AS following
+                  FROM (SELECT DISTINCT symbol, date, CAST(substr(timestamp, 12, 2) AS BIGINT) AS hour FROM silver) s) n
+            WHERE following > hour + 1""",
+            "silver",
+        ),
         "totals_or_zero": _with(
             """SELECT m.metric, coalesce(sum(l.value), 0.0) AS total
             FROM (SELECT unnest(['fetch_count', 'fetch_failures']) AS metric) m

@@ -130,6 +130,26 @@ def counted_per_minute(
     return gained.select(F.col("_span.start").alias("minute"), *per, "records")
 
 
+def records_rate(
+    samples: DataFrame, by: Sequence[str] = ("symbol",), per: Sequence[str] = ("symbol",),
+    window_seconds: int = 60, step_seconds: int = 15, ts: str = "ts", value: str = "value", tie: str | None = None,
+) -> DataFrame:
+    """Records per minute over sliding windows: one row per window and ``per`` group that gained samples.
+
+    ``by`` and ``per`` as in ``counted_per_minute``; a window reaches from ``window_start`` to just before
+    its end, and every ``step_seconds`` one begins. What was gained is summed per step before it goes into
+    several windows, so samples are not multiplied. The window has to be a multiple of the step.
+    """
+    if window_seconds % step_seconds:
+        raise ValueError("the window has to be a multiple of the step")
+    deltas = increases(samples, by, ts, value, tie)
+    steps = deltas.groupBy(F.window(ts, f"{step_seconds} seconds").alias("_step"), *per)
+    steps = steps.agg(F.sum("delta").alias("_gained")).withColumn("_start", F.col("_step.start"))
+    spans = F.window("_start", f"{window_seconds} seconds", f"{step_seconds} seconds").alias("_span")
+    sums = steps.groupBy(spans, *per).agg((F.sum("_gained") * 60 / window_seconds).alias("records_per_minute"))
+    return sums.select(F.col("_span.start").alias("window_start"), *per, "records_per_minute")
+
+
 def average_latency(
     samples: DataFrame, sum_metric: str, count_metric: str, by: Sequence[str] = ("symbol",),
     window: str = "5 minutes", step: str | None = None, ts: str = "ts", value: str = "value",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions import calendar_date
 from barlake.operators import scd2
+from barlake.operators.bars import latest_bar, shape_contract, to_event_json
 from barlake.operators.calendar import dim_date
 from barlake.operators.dedup import clean
 from barlake.operators.facts import fact_daily
@@ -194,6 +195,11 @@ def load_warehouse(spark: SparkSession, layers: Layers, warehouse: Warehouse) ->
     return {name: load_table(frame, name, warehouse) for name, frame in tables.items()}
 
 
+def latest_events(bars: DataFrame, zone: str | None = None) -> DataFrame:
+    """Keyed log messages of the latest bar of each symbol of ``bars(symbol, ts, open, ..., volume)``."""
+    return to_event_json(shape_contract(latest_bar(bars), zone=zone))
+
+
 def run_batch(
     spark: SparkSession, layers: Layers, warehouse: Warehouse | None = None,
     run_date: dt.date | str | None = None, names: Names = COMPANY_NAMES,

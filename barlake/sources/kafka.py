@@ -1,4 +1,4 @@
-"""Keyed event log: stream and batch source, batch and stream sink."""
+"""Keyed event log: stream source, batch sink."""
 
 from __future__ import annotations
 

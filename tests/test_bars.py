@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.functions import round_cents
-from barlake.operators.bars import latest_bar, shape_contract, to_event_json
+from barlake.operators.bars import latest_bar, missing_bars, shape_contract, to_event_json
 from barlake.schemas import EVENT
 from barlake.sources import kafka
 
@@ -106,3 +106,22 @@ def test_log_options():
     assert kafka.sink_options("h:9092", "t") == {
         "kafka.bootstrap.servers": "h:9092", "topic": "t", "kafka.acks": "all", "kafka.retries": "5",
     }
+
+
+def test_missing_bars_equal_a_walk_over_each_day(spark):
+    rng = random.Random(5)
+    held = {(s, 1_700_000_000 - 1_700_000_000 % 300 + 300 * rng.randrange(900)) for s in "PQR" for _ in range(150)}
+    rows = [(s, datetime.fromtimestamp(t + rng.randrange(300), timezone.utc).isoformat()) for s, t in held]
+    rows += rows[:20] + [("P", None), (None, rows[0][1]), ("Q", "no time"), ("Z", rows[0][1])]
+    days = {}
+    for symbol, t in held:
+        days.setdefault((symbol, t // 86_400), set()).add(t)
+    want = sorted(
+        (symbol, datetime.fromtimestamp(t, timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"))
+        for (symbol, _), times in days.items() for t in range(min(times), max(times), 300) if t not in times
+    )
+    frame = spark.createDataFrame(rows, "symbol string, timestamp string")
+    assert sorted(tuple(r) for r in missing_bars(frame, 300).collect()) == want
+    assert missing_bars(frame.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        missing_bars(frame, 7)

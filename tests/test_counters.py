@@ -5,6 +5,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from barlake.operators import counters
 from barlake.operators.counters import (
     _ticks, average_latency, counted_per_minute, counter_rate, increases, records_per_minute, totals_or_zero,
 )
@@ -159,3 +160,28 @@ def test_nan_samples_count_as_missing(spark):
         frame = spark.createDataFrame(rows + holes, SAMPLES)
         rated = counter_rate(frame, ["symbol"], 60, tie="id", chunk_seconds=chunk).collect()
         assert {r.id: pytest.approx(r.rate) for r in rated} == want
+
+
+def test_sliding_records_rate_equals_brute_force(spark):
+    rng = random.Random(8)
+    series = {(s, p): sorted(rng.sample(range(4_000), 120)) for s in "AB" for p in (1, 2)}
+    rows, gained = [], []
+    for (symbol, producer), times in series.items():
+        count = None
+        for t in times:
+            new = rng.randrange(5) if count is None or rng.random() < 0.1 else count + rng.randrange(9)
+            gained.append((symbol, t, 0 if count is None else new if new < count else new - count))
+            rows.append((symbol, producer, datetime.fromtimestamp(t, timezone.utc), float(new)))
+            count = new
+    want = {}
+    for symbol, t, delta in gained:
+        for start in range(t // 20 * 20 - 40, t // 20 * 20 + 1, 20):
+            want[symbol, start] = want.get((symbol, start), 0) + delta
+    samples = spark.createDataFrame(rows, "symbol string, producer int, ts timestamp, value double")
+    got = counters.records_rate(samples, ["symbol", "producer"], window_seconds=60, step_seconds=20).selectExpr(
+        "symbol", "unix_seconds(window_start) AS start", "records_per_minute"
+    ).collect()
+    assert {(r.symbol, r.start): r.records_per_minute for r in got} == want
+    assert len(got) == len(want)
+    with pytest.raises(ValueError):
+        counters.records_rate(samples, window_seconds=60, step_seconds=25)

@@ -1,7 +1,11 @@
 import json
 from datetime import datetime, timedelta, timezone
 
+import pytest
+
+from barlake import __main__ as commands
 from barlake.plans import jobs
+from barlake.settings import Settings
 from barlake.sources import lake
 from barlake.streaming import bronze, throughput
 
@@ -87,3 +91,34 @@ def test_batch_refines_what_the_stream_wrote(spark, tmp_path):
     assert star.ticker.where("symbol = 'S9' AND is_current").count() == 1
     latest = spark.read.parquet(layers.silver).where("symbol = 'S1' AND date = '2026-07-29'").first()
     assert (latest.close, latest.kafka_offset) == (2.5, 61)
+
+
+def test_commands_from_bars_to_minutes(spark, tmp_path, monkeypatch):
+    """``publish`` and ``throughput`` with files in the log's place."""
+    bars = "symbol string, ts timestamp_ntz, open double, high double, low double, close double, volume double"
+    rows = [(s, datetime(2026, 3, 2, 14, m), 4.0, 5.0, 3.0, 4.5 + m, 70.0) for s in ("U", "V") for m in (3, 1, 2)]
+    spark.createDataFrame(rows, bars).write.parquet(f"{tmp_path}/bars")
+    messages = []
+    monkeypatch.setattr(commands.kafka, "write_batch", lambda frame, options: messages.append((frame.collect(), options)))
+    args = commands.arguments(["publish", "--bars", f"{tmp_path}/bars", "--zone", "America/Chicago"])
+    commands.publish(spark, Settings({"KAFKA_TOPIC": "t"}), args)
+    [(sent, options)] = messages
+    assert options["topic"] == "t" and options["kafka.acks"] == "all"
+    assert {r.key: (json.loads(r.value)["timestamp"], json.loads(r.value)["close"]) for r in sent} == {
+        "U": ("2026-03-02T20:03:00Z", 7.5), "V": ("2026-03-02T20:03:00Z", 7.5),
+    }
+    with pytest.raises(SystemExit):
+        commands.publish(spark, Settings({}), commands.arguments(["publish"]))
+
+    noon = datetime(2026, 3, 2, 12, tzinfo=timezone.utc)
+    log = [(r.key.encode(), r.value.encode(), "t", 0, i, noon) for i, r in enumerate(sent)]
+    log += [(b"U", b"not json", "t", 0, 9, noon), (b"V", None, "t", 0, 10, noon + timedelta(hours=1))]
+    append(spark, f"{tmp_path}/log", log)
+    stream = spark.readStream.schema(LOG).parquet(f"{tmp_path}/log")
+    paths = ["--minutes", f"{tmp_path}/minutes", "--checkpoints", f"{tmp_path}/ck"]
+    for _ in range(2):  # the second run closes what the first one's watermark has passed
+        [query] = commands.start(stream, commands.arguments(["throughput", "--every", "1 second", *paths]))
+        query.processAllAvailable()
+        query.stop()
+    found = spark.read.parquet(f"{tmp_path}/minutes").collect()
+    assert {(r.symbol, r.records) for r in found} == {("U", 2), ("V", 1)}
