@@ -1,5 +1,8 @@
+import re
 from collections import Counter
 
+import pytest
+
 from barlake.llm.license_texts import TEMPLATES
 from barlake.llm.licenses import _WORD, Scanner, scan_licenses
 
@@ -42,3 +45,43 @@ def test_odd_rows(odd, documents):
     twice = documents((1, "Released under the MIT License."), (1, "Released under the MIT License."), (None, "Released under the MIT License."))
     assert scan_licenses(twice).count() == 3
     assert scan_licenses(twice, {}).count() == 0
+
+
+#: Notices of the table that name no licence that the templates know; none so far.
+UNKNOWN: set[str] = set()
+
+
+def test_every_notice_of_the_table_has_a_row(spark):
+    """Against a plain search for lines that speak of a licence."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {}
+    for r in scan_licenses(docs).collect():
+        found.setdefault(r.doc_id, []).append(r.passage)
+    notices = [
+        (r.doc_id, line) for r in docs.collect() for line in (r.text or "").splitlines()
+        if re.search("licen[sc]e", line, re.I) and line not in UNKNOWN
+    ]
+    assert len(notices) > 30
+    assert [n for n in notices if not any(p in n[1] or n[1] in p for p in found.get(n[0], []))] == []
+
+
+@pytest.mark.parametrize("line, name", [
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0-only"),
+    ("Licensed under the GPLv3 or later", "GPL-3.0-or-later"),
+    ("// SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1-or-later"),
+    ("Released under the GNU Affero General Public License, version 3.", "AGPL-3.0-only"),
+    ("Licensed under CC BY-NC 2.0.", "CC-BY-NC-2.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+])
+def test_usual_one_line_forms(line, name):
+    assert Scanner(TEMPLATES, 0.8).compare(_WORD.findall(line.lower())) == (1.0, name)
+
+
+def test_templates_differ():
+    """No text stands under two names."""
+    names = {}
+    for name, own in TEMPLATES.items():
+        for text in own:
+            names.setdefault(tuple(_WORD.findall(text.lower())), set()).add(name)
+    assert all(len(n) == 1 for n in names.values())
