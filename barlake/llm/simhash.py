@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.llm import jaccard
 from barlake.llm.common import Scratch, ship, without_ids
 from barlake.llm.components import components
 
@@ -273,8 +274,9 @@ def near_duplicates(
     return marked.join(labels, prints).select("doc_id", *prints, "component_id")
 
 
-def representatives(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its class's smallest; all columns stay. Rows that repeat
-    that id are all kept, and so are rows without an id."""
-    found = near_duplicates(docs, **settings)
+def representatives(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is its class's smallest; all columns stay. Classes join the texts
+    whose shingles have at least the Jaccard coefficient ``similarity``, exactly (``jaccard.classes``); no
+    fingerprint decides. Rows that repeat that id are all kept, and so are rows without an id."""
+    found = jaccard.classes(docs, words, similarity)
     return without_ids(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))

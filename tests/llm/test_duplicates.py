@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from barlake.llm import simhash
+from barlake.llm import jaccard, simhash
 from barlake.llm.trie_dedup import Owner, OwnerTrie, exact_groups, kept_documents
 from pyspark.sql import functions as F
 
@@ -134,3 +134,28 @@ def test_near_copies_by_jaccard(documents):
     assert left >= {2 * b for b in range(60)} | {2 * b + 1 for b in range(30, 60)}
     assert len(left) <= 90 + 3
     assert simhash.representatives(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("common", [0, 200_000])
+def test_representatives_are_exact_at_the_limit(documents, monkeypatch, common):
+    """Pairs on both sides of 0.8, chains, a large group, a common passage: as brute force says."""
+    monkeypatch.setattr(jaccard, "COMMON", common)
+    rng, rows = random.Random(5), []
+    passage = [f"p{i}" for i in range(40)]
+    for base in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([4, 60, 200]))] + passage * (base % 2)
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(25 if base == 7 else rng.choice([1, 1, 3])):
+            for at in rng.sample(range(len(words)), max(1, len(words) * rng.choice([1, 2, 3]) // 100)):
+                words[at] = f"y{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    rng.shuffle(rows)
+    sets = {i: jaccard.shingles(t.encode(), 5) for i, t in rows}
+    values = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    assert any(0.8 <= v < 0.83 for v in values.values()) and any(0.77 < v < 0.8 for v in values.values())
+    root = {i: i for i in sets}
+    for a, b in (p for p, v in values.items() if v >= 0.8):
+        low, high = sorted((root[a], root[b]))
+        root = {i: low if r == high else r for i, r in root.items()}
+    left = {r.doc_id for r in simhash.representatives(documents(*rows).repartition(4)).collect()}
+    assert left == {i for i, r in root.items() if i == r}
