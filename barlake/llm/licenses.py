@@ -1,8 +1,11 @@
 """Licence scans: passages of a text against licence templates, by Dice coefficient of word bigrams.
 
 Text is normalised: lower case, words of letters and digits only. Units of comparison are the whole
-text, its paragraphs and its lines. A unit with a bigrams and a template with b reach a coefficient of
-at least t only if t / (2 - t) <= a / b <= (2 - t) / t; sorted template sizes leave a slice to compare.
+text, its paragraphs and its lines, and windows of words wherever they begin and end. A unit with a bigrams
+and a template with b reach a coefficient of at least t only if t / (2 - t) <= a / b <= (2 - t) / t; sorted
+template sizes leave a slice to compare. For the same reason, a unit that matches holds t / (2 - t) * b of the
+template's bigrams within (2 - t) / t * b positions: a text without such a cluster has no match of any kind, and
+windows are tried only where there is one.
 """
 
 from __future__ import annotations
@@ -21,7 +24,12 @@ from barlake.llm.license_texts import TEMPLATES
 
 _WORD = re.compile(r"[^\W_]+")
 _LINE = re.compile(r"[^\r\n]+")
-_PARAGRAPH = re.compile(r"\r?\n[^\S\n]*\r?\n")
+#: Lines without a letter or digit part paragraphs: blank ones, and comment marks alone.
+_PARAGRAPH = re.compile(r"\n(?:[^\w\n]|_)*\n")
+_UNITS = ("text", "paragraph", "line", "window")
+#: Bigrams of the smallest template that windows are compared with, and of the smallest that a window may be
+#: shorter than: a piece of a short one can end before the word that tells the licence.
+LEAST_WINDOW, LONG = 3, 16
 
 FOUND = "license string, dice double, unit string, first_char bigint, last_char bigint, passage string"
 
@@ -44,7 +52,10 @@ class Scanner:
         self.sizes = [r[0] for r in rows]
         self.names = [r[1] for r in rows]
         self.grams = [r[2] for r in rows]
-        self.known = {gram for grams in self.grams for gram in grams}
+        self.known: dict[tuple[str, str], list[int]] = {}  # the templates of each bigram
+        for i, grams in enumerate(self.grams):
+            for gram in grams:
+                self.known.setdefault(gram, []).append(i)
         self.least = least
         self.bound = least / (2 - least)
 
@@ -56,19 +67,85 @@ class Scanner:
         if size < 1 or low >= high:
             return None
         own = Counter(gram for gram in zip(words, words[1:]) if gram in self.known)
-        if not own:
-            return None
-        best = None
+        most, best = own.total(), None
         for i in range(low, high):
+            if 2 * most < self.least * (size + self.sizes[i]):
+                break  # sizes grow
             shared = sum(min(n, own[gram]) for gram, n in self.grams[i].items() if gram in own)
             dice = 2 * shared / (size + self.sizes[i])
             if dice >= self.least and (best is None or (-dice, self.names[i]) < (-best[0], best[1])):
                 best = (dice, self.names[i])
         return best
 
+    def clusters(self, words: Sequence[str]) -> Iterator[tuple[int, list[tuple[int, tuple[str, str]]]]]:
+        """``(template, hits)``: runs of positions and bigrams among which a match has to lie."""
+        hits: dict[int, list[tuple[int, tuple[str, str]]]] = {}
+        for at, gram in enumerate(zip(words, words[1:])):
+            for i in self.known.get(gram, ()):
+                hits.setdefault(i, []).append((at, gram))
+        for i, found in hits.items():
+            need, widest = self.sizes[i] * self.bound - 1e-9, self.sizes[i] / self.bound + 1e-9
+            if len(found) < need:
+                continue
+            grams, inside, shared, left = self.grams[i], Counter(), 0, 0
+            start, end = 0, -1  # of the run that is being gathered, as places in found
+            for right, (at, gram) in enumerate(found):
+                inside[gram] += 1
+                shared += inside[gram] <= grams[gram]
+                while at - found[left][0] + 1 > widest:
+                    old = found[left][1]
+                    shared -= inside[old] <= grams[old]
+                    inside[old] -= 1
+                    left += 1
+                if shared >= need:
+                    if left > end and end >= 0:
+                        yield i, found[start:end + 1]
+                    start, end = (left if left > end else start), right
+            if end >= 0:
+                yield i, found[start:end + 1]
+
+    def windows(self, template: int, hits: Sequence[tuple[int, tuple[str, str]]], bigrams: int) -> Iterator[tuple[float, int, int]]:
+        """``(dice, first, last)``: for each hit the best window of the text's ``bigrams`` that begins with
+        it, as places of its first and last bigram."""
+        size, grams = self.sizes[template], self.grams[template]
+        widest = size / self.bound + 1e-9
+        for k, (first, _) in enumerate(hits):
+            inside, shared, best = Counter(), 0, None
+            for last, gram in hits[k:]:
+                if last - first + 1 > widest:
+                    break
+                inside[gram] += 1
+                if inside[gram] > grams[gram]:
+                    continue
+                shared += 1
+                wide = last - first + 1 if size >= LONG else max(size, last - first + 1)
+                dice = 2 * shared / (wide + size)
+                if dice >= self.least and (best is None or dice > best[0]):
+                    best = (dice, first, last, wide)
+            if best:
+                dice, first, last, wide = best
+                last = max(last, min(first + wide, bigrams) - 1)
+                first = min(first, last - wide + 1)
+                if first >= 0:
+                    yield dice, first, last
+
     def scan(self, text: str) -> Iterator[tuple[str, float, str, int, int]]:
         """``(license, dice, unit, first, last)`` of the units that match, in their order. Units lie
         within each other; of those that match and do, the best one stays, the largest of equals."""
+        lowered = text.lower()
+        if len(lowered) != len(text):  # a letter whose lower case is longer
+            lowered = "".join(c.lower()[0] for c in text)
+        words = _WORD.findall(lowered)
+        clusters = list(self.clusters(words))
+        if not clusters:
+            return
+        matches = []
+        if any(self.sizes[i] >= LEAST_WINDOW for i, _ in clusters):
+            places = [m.span() for m in _WORD.finditer(lowered)]
+            for i, hits in clusters:
+                if self.sizes[i] >= LEAST_WINDOW:
+                    for dice, first, last in self.windows(i, hits, len(words) - 1):
+                        matches.append((self.names[i], dice, "window", places[first][0], places[last + 1][1]))
         spans = [("text", 0, len(text))]
         start = 0
         for gap in _PARAGRAPH.finditer(text):
@@ -77,9 +154,8 @@ class Scanner:
         spans.append(("paragraph", start, len(text)))
         spans += [("line", m.start(), m.end()) for m in _LINE.finditer(text)]
         longest = self.sizes[-1] / self.bound + 1 if self.sizes else 0
-        matches = []
         for unit, first, last in spans:
-            words = _WORD.findall(text[first:last].lower()) if last > first else []
+            words = _WORD.findall(lowered[first:last]) if last > first else []
             if not 2 <= len(words) <= longest + 1:
                 continue
             found = self.compare(words)
@@ -87,8 +163,9 @@ class Scanner:
             lead = len(body) - len(body.lstrip())
             if found:
                 matches.append((found[1], found[0], unit, first + lead, first + len(body.rstrip())))
+        matches.sort(key=lambda m: (-m[1], m[3] - m[4], _UNITS.index(m[2]), m[3], m[0]))
         kept: list[tuple[int, int, str, float, str]] = []  # disjoint, by their first character
-        for name, dice, unit, first, last in sorted(matches, key=lambda m: (-m[1], m[3] - m[4])):
+        for name, dice, unit, first, last in matches:
             at = bisect_left(kept, (first,))
             if (at == 0 or kept[at - 1][1] <= first) and (at == len(kept) or last <= kept[at][0]):
                 kept.insert(at, (first, last, name, dice, unit))
@@ -102,7 +179,7 @@ def scan_licenses(
     """One row per passage of ``docs(doc_id, text)`` whose best template reaches ``least``. Passages of a
     text do not overlap.
 
-    Columns: ``doc_id``, ``license``, ``dice``, ``unit`` (text, paragraph or line), the half-open
+    Columns: ``doc_id``, ``license``, ``dice``, ``unit`` (text, paragraph, line or window), the half-open
     character span, and the passage. Null and empty texts have none; repeated rows each have their own;
     other columns are ignored. Templates are a policy of bounded size and travel with the code. There
     is no shuffle.

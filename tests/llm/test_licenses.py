@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -85,3 +86,48 @@ def test_templates_differ():
         for text in own:
             names.setdefault(tuple(_WORD.findall(text.lower())), set()).add(name)
     assert all(len(n) == 1 for n in names.values())
+
+
+def found(text):
+    return [(name, unit, text[first:last]) for name, _, unit, first, last in Scanner(TEMPLATES, 0.8).scan(text)]
+
+
+def test_notices_within_other_words():
+    prose = "Some words of prose stand here. "
+    assert found(prose + "Released under the MIT License. And more of them follow, in the same line.") == [
+        ("MIT", "window", "Released under the MIT License")
+    ]
+    header = TEMPLATES["MIT"][8].split()
+    lines = [" ".join(header[i:i + 11]) for i in range(0, len(header), 11)]
+    for mark in (" * ", "# ", "// "):
+        block = "\n".join(mark + line for line in ["Copyright 2020 Somebody, all of a long line of names", "", *lines, "", "import os, sys and more", *["do this and that"] * 60])
+        assert [f[0] for f in found(block)] == ["MIT"]
+        assert "Permission is" in found(block)[0][2][:20] and "IN THE SOFTWARE" in found(block)[0][2][-20:]
+    apache = TEMPLATES["Apache-2.0"][-1]
+    assert [f[:2] for f in found(f"{prose * 40}{apache} {prose * 40}Released under the BSD 3-Clause License. {prose}")] == [
+        ("Apache-2.0", "window"), ("BSD-3-Clause", "window"),
+    ]
+
+
+def test_pieces_of_short_templates_are_no_notice():
+    assert found("We say: SPDX-License-Identifier: Zlib, as they do") == []
+    assert found("It was Licensed under the Apache License, Version 7.5 for years") == []
+    assert found("of the " * 3000 + "under the " * 3000) == []
+
+
+def test_windows_equal_brute_force():
+    """Every run of words against a long template: the best coefficient is the one found."""
+    rng = random.Random(3)
+    grant = TEMPLATES["MIT"][2]
+    scanner = Scanner({"MIT": (grant,)}, 0.8)
+    for lost in (0, 3, 6, 12):
+        words = grant.split()
+        for at in rng.sample(range(len(words)), lost):
+            words[at] = "x"
+        text = " ".join(["before"] * 20 + words + ["after"] * 20)
+        every = _WORD.findall(text.lower())
+        best = max(
+            (dice(" ".join(every[a:b]), grant) for a in range(len(every)) for b in range(a + 30, min(len(every), a + 110) + 1)),
+        )
+        got = [m[1] for m in scanner.scan(text)]
+        assert (max(got) if got else 0) == (best if best >= 0.8 else 0)
