@@ -7,8 +7,10 @@ import shutil
 import string
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,11 +67,23 @@ class Scratch:
 SENT_IDS = 1_000_000
 
 
-def without_ids(docs: DataFrame, gone: DataFrame, sent: int = SENT_IDS) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``gone``; rows with a null doc_id stay."""
-    gone = Scratch(docs.sparkSession, "gone").save(gone.select("doc_id").where("doc_id IS NOT NULL").distinct(), "ids")
+def without_rows(
+    docs: DataFrame, gone: DataFrame, key: Callable[[bytes], bytes | str], kind: str, sent: int = SENT_IDS,
+) -> DataFrame:
+    """Rows of ``docs`` whose doc_id stands in ``gone(doc_id, key)`` with the key of their own text are left
+    out, so other texts of a repeated id stay; rows with a null doc_id stay too. ``kind`` is the key's type."""
+    gone = gone.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.collect_set("key").alias("_keys"))
+    gone = Scratch(docs.sparkSession, "gone").save(gone, "ids")
     few = gone.count() <= sent
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
+
+    def keys(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if text is None else key(bytes(text)) for text in texts], dtype=object)
+
+    joined = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left")
+    asked = F.when(F.col("_keys").isNotNull(), F.coalesce(F.col("text").cast("binary"), F.lit(b"")))  # others are not read
+    own = F.pandas_udf(keys, kind)(asked)
+    stays = F.col("_keys").isNull() | ~F.array_contains("_keys", own)
+    return joined.where(stays).select(docs.columns)
 
 
 def ascii_lower(text: Column) -> Column:

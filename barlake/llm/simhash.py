@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.llm import jaccard
-from barlake.llm.common import Scratch, ship, without_ids
+from barlake.llm.common import Scratch, ship, without_rows
 from barlake.llm.components import components
 
 SEED = 42
@@ -277,6 +277,9 @@ def near_duplicates(
 def representatives(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` whose doc_id is its class's smallest; all columns stay. Classes join the texts
     whose shingles have at least the Jaccard coefficient ``similarity``, exactly (``jaccard.classes``); no
-    fingerprint decides. Rows that repeat that id are all kept, and so are rows without an id."""
+    fingerprint decides. Rows that repeat that id with the same words are all kept, and so are rows without
+    an id; a repeated id with other words is another document."""
     found = jaccard.classes(docs, words, similarity)
-    return without_ids(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    ship(docs.sparkSession)
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return without_rows(docs, gone, jaccard.text_key, "binary")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from barlake.llm.common import Scratch, ship, without_ids
+from barlake.llm.common import Scratch, ship, without_rows
 
 #: Bytes of text that a trie holds before it spills.
 MEMORY = 48 << 20
@@ -156,6 +156,10 @@ class OwnerTrie:
                 yield from below.owners()
 
 
+def _digest(text: bytes) -> str:
+    return hashlib.sha256(text.lower()).hexdigest()
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, digests = [], []
@@ -289,6 +293,8 @@ def _owners(raw: DataFrame, keep: str, memory: int, wanted) -> DataFrame:
 
 def kept_documents(docs: DataFrame, keep: str = "min") -> DataFrame:
     """The rows of ``docs`` that stay, one per group of equal texts, with all their columns. Rows with
-    the same id and equal texts are one document; rows with a null id stay."""
+    the same id and equal texts are one document; the same id with another text is another document. Rows
+    with a null id stay."""
     groups = exact_groups(docs, keep)
-    return without_ids(docs, groups.where(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id"))))
+    gone = groups.where(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return without_rows(docs, gone.withColumnRenamed("text_sha256", "key"), _digest, "string")

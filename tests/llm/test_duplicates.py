@@ -159,3 +159,11 @@ def test_representatives_are_exact_at_the_limit(documents, monkeypatch, common):
         root = {i: low if r == high else r for i, r in root.items()}
     left = {r.doc_id for r in simhash.representatives(documents(*rows).repartition(4)).collect()}
     assert left == {i for i, r in root.items() if i == r}
+
+
+def test_a_repeated_id_loses_only_the_text_that_has_an_equal(documents):
+    docs = documents((5, "a"), (5, "b"), (9, "A"), (None, "a"), (7, None), (8, ""))
+    left = {(r.doc_id, r.text) for r in kept_documents(docs, "max").collect()}
+    assert left == {(5, "b"), (9, "A"), (None, "a"), (8, "")}
+    docs = documents((5, "a a"), (5, "b"), (3, "A  a"), (None, "b"))
+    assert {(r.doc_id, r.text) for r in simhash.representatives(docs).collect()} == {(5, "b"), (3, "A  a"), (None, "b")}
