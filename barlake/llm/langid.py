@@ -210,11 +210,19 @@ def identify(docs: DataFrame, **settings) -> DataFrame:
 
 def understood(docs: DataFrame, least: float = 0.05, **settings) -> DataFrame:
     """The rows of ``docs`` whose language could be told: letters there, and at least ``least`` of their
-    trigrams known. All columns stay."""
+    trigrams known. All columns stay.
+
+    If nothing could be learned (no row with a label, or all of them held out), every text with letters
+    stays. A text in a script that no label covers goes, like any text of which next to nothing is known.
+    """
     ship(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, **settings))
+    model = fit(docs, **settings)
+    learned = bool(model.languages)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def verdict(texts: pd.Series) -> pd.Series:
+        if not learned:
+            return pd.Series([trigrams(text or "")[1] > 0 for text in texts], dtype=bool)
         found = (sent.value.predict(text) for text in texts)
         return pd.Series([lang != UNDETERMINED and score >= least for lang, score in found], dtype=bool)
 

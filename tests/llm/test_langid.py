@@ -72,3 +72,8 @@ def test_long_texts_in_chunks():
     model = LanguageFilter.build({"x": trigrams("never ending")[0].view(np.int64).tolist()}, "x")
     whole, pieces = model.predict(LONG), model.predict(LONG, chunk=1000)
     assert whole[0] == pieces[0] == "x" and abs(whole[1] - pieces[1]) < 0.01
+
+
+def test_understood_without_labels_keeps_texts_with_letters(documents):
+    rows = [(2, "some words"), (3, "漢字漢字"), (4, None), (5, "77 !"), (6, "")]
+    assert {r.doc_id for r in understood(documents(*rows)).collect()} == {2, 3}
