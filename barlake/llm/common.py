@@ -63,16 +63,25 @@ class Scratch:
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-#: Ids that are sent to every task (some 20 bytes each); more of them are joined through a shuffle.
-SENT_IDS = 1_000_000
+#: Ids that are sent to every task (some 40 bytes each); more of them are joined through a shuffle.
+SENT_IDS = 300_000
+
+
+def free_name(columns: list[str], wanted: str) -> str:
+    """``wanted``, or that with underscores behind it until no column has the name."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
 
 
 def without_rows(
-    docs: DataFrame, gone: DataFrame, key: Callable[[bytes], bytes | str], kind: str, sent: int = SENT_IDS,
+    docs: DataFrame, gone: DataFrame, key: Callable[[bytes], object], kind: str, sent: int = SENT_IDS,
 ) -> DataFrame:
     """Rows of ``docs`` whose doc_id stands in ``gone(doc_id, key)`` with the key of their own text are left
     out, so other texts of a repeated id stay; rows with a null doc_id stay too. ``kind`` is the key's type."""
-    gone = gone.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.collect_set("key").alias("_keys"))
+    listed = free_name(docs.columns, "_keys")
+    gone = gone.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.collect_set("key").alias(listed))
     gone = Scratch(docs.sparkSession, "gone").save(gone, "ids")
     few = gone.count() <= sent
 
@@ -80,9 +89,9 @@ def without_rows(
         return pd.Series([None if text is None else key(bytes(text)) for text in texts], dtype=object)
 
     joined = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left")
-    asked = F.when(F.col("_keys").isNotNull(), F.coalesce(F.col("text").cast("binary"), F.lit(b"")))  # others are not read
+    asked = F.when(F.col(listed).isNotNull(), F.coalesce(F.col("text").cast("binary"), F.lit(b"")))  # others are not read
     own = F.pandas_udf(keys, kind)(asked)
-    stays = F.col("_keys").isNull() | ~F.array_contains("_keys", own)
+    stays = F.col(listed).isNull() | ~F.array_contains(listed, own)
     return joined.where(stays).select(docs.columns)
 
 

@@ -71,8 +71,8 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6(spark: SparkSession, sf: str) -> DataFrame:
-    found = simhash.near_duplicates(_table(spark, sf, "documents"), words=4, longs=1, differing=4)
-    return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+    found = simhash.near_duplicates(_table(spark, sf, "documents"), words=4, differing=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op7(spark: SparkSession, sf: str) -> DataFrame:

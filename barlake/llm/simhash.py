@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm import jaccard
 from barlake.llm.common import Scratch, ship, without_rows
 from barlake.llm.components import components
 
@@ -42,55 +41,41 @@ def signed(value: int) -> int:
 
 # Fingerprints
 
-def fingerprint(text: bytes, words: int, longs: int = 1, chunk: int = 1 << 16) -> list[int]:
-    """Fingerprint of a text as ``longs`` signed 64-bit numbers, all 0 if it has no word.
+def fingerprint(text: bytes, words: int, chunk: int = 1 << 16) -> int:
+    """Fingerprint of a text as a signed 64-bit number, 0 if it has no word.
 
-    The first number comes from the hashes themselves, the others from hashes of these hashes. The
-    shingles are hashed ``chunk`` at a time, so a long text needs no more memory than its words.
+    The shingles are hashed ``chunk`` at a time, so a long text needs no more memory than its words.
     """
     tokens = text.lower().split()  # bytes: lowers A-Z only, splits at the six ASCII spaces
     if not tokens:
-        return [0] * longs
+        return 0
     joined = b" ".join(tokens)
     sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
     ends = np.cumsum(sizes + 1) - 1
     k = min(words, len(tokens))
     first, last = (ends - sizes)[: len(tokens) - k + 1], ends[k - 1:]
-    counts = np.zeros((longs, 64), np.int64)
+    counts = np.zeros(64, np.int64)
     hashed = xxhash.xxh64_intdigest
     for at in range(0, len(first), chunk):
         spans = zip(first[at:at + chunk].tolist(), last[at:at + chunk].tolist())
-        values = np.array([hashed(joined[a:b], SEED) for a, b in spans], np.uint64)
-        for i in range(longs):
-            bits = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            counts[i] += bits.sum(axis=0, dtype=np.int64)
-            values = _scramble(values)
-    chosen = np.packbits(counts * 2 > len(first), axis=1, bitorder="little")
-    return chosen.view("<i8").ravel().tolist()
+        values = np.array([hashed(joined[a:b], SEED) for a, b in spans], "<u8")
+        bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(first), bitorder="little").view("<i8")[0])
 
 
-def _scramble(x: np.ndarray) -> np.ndarray:
-    """Another hash of a hash (the finishing steps of splitmix64)."""
-    x = x + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprints(docs: DataFrame, words: int, longs: int = 1) -> DataFrame:
-    """``docs(doc_id, text)`` with ``f0``, ``f1``, ... Null texts have no words."""
+def fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """``docs(doc_id, text)`` with their ``fingerprint``. Null texts have no words."""
     ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    names = [f"f{i}" for i in range(longs)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text.as_py(), words, longs) for text in batch.column(1)]
-            columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(longs)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names])
+            found = pa.array([fingerprint(text.as_py(), words) for text in batch.column(1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["doc_id", "fingerprint"])
 
-    return rows.mapInArrow(work, f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in names))
+    return rows.mapInArrow(work, f"doc_id {kind}, fingerprint bigint")
 
 
 # Links
@@ -137,20 +122,15 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         parent[np.maximum(a, b)] = np.minimum(a, b)
 
 
-def link_rows(group: np.ndarray, prints: np.ndarray, differing: int, wide: int | None) -> np.ndarray:
-    """For each row the smallest row it is connected with in its group.
-
-    ``prints`` has a column of 64 bits each; rows are sorted by group and distance to the first pivot.
-    Links differ in at most ``differing`` bits of the first column and, if ``wide`` is given, in at
-    most ``wide`` bits of all.
-    """
-    first = prints[:, 0]
-    table = [np.bitwise_count(first ^ np.uint64(p)).astype(np.int8) for p in PIVOTS]
-    parent = np.arange(len(first))
-    active, step = np.arange(len(first)), 0
+def link_rows(group: np.ndarray, prints: np.ndarray, differing: int) -> np.ndarray:
+    """For each row the smallest row it is connected with in its group. Rows are sorted by group and
+    distance to the first pivot; links differ in at most ``differing`` bits."""
+    table = [np.bitwise_count(prints ^ np.uint64(p)).astype(np.int8) for p in PIVOTS]
+    parent = np.arange(len(prints))
+    active, step = np.arange(len(prints)), 0
     while len(active):
         step += 1
-        active = active[active < len(first) - step]
+        active = active[active < len(prints) - step]
         near = (group[active + step] == group[active]) & (table[0][active + step] - table[0][active] <= differing)
         active = active[near]
         a, b = active, active + step
@@ -159,25 +139,20 @@ def link_rows(group: np.ndarray, prints: np.ndarray, differing: int, wide: int |
                 break
             close = np.abs(distances[a] - distances[b]) <= differing
             a, b = a[close], b[close]
-        alike = np.bitwise_count(first[a] ^ first[b]) <= differing
-        a, b = a[alike], b[alike]
-        if wide is not None and len(a):
-            apart = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1, dtype=np.int64)
-            a, b = a[apart <= wide], b[apart <= wide]
-        if len(a):
-            _unite(parent, a, b)
-    return _find(parent, np.arange(len(first)))
+        alike = np.bitwise_count(prints[a] ^ prints[b]) <= differing
+        if alike.any():
+            _unite(parent, a[alike], b[alike])
+    return _find(parent, np.arange(len(prints)))
 
 
-def _link_tiles(longs: int, differing: int, wide: int | None, at_once: int = 1 << 15):
+def _link_tiles(differing: int, at_once: int = 1 << 15):
     """Edges of sorted tiles. Tiles are handed on in batches; one that is cut off waits for its rest."""
     keys = ["mask", "bucket", "tile"]
 
     def edges(table: pa.Table) -> pa.RecordBatch:
         columns = [table[c].to_numpy() for c in keys]
         group = np.cumsum(np.r_[False, np.any([c[1:] != c[:-1] for c in columns], axis=0)])
-        prints = np.stack([table[f"f{i}"].to_numpy() for i in range(longs)], axis=1).view(np.uint64)
-        root = link_rows(group, prints, differing, wide)
+        root = link_rows(group, table["fingerprint"].to_numpy().view(np.uint64), differing)
         joined = np.flatnonzero(root != np.arange(len(root)))
         nodes = table["node"].to_numpy()
         return pa.RecordBatch.from_arrays(
@@ -203,16 +178,15 @@ def _link_tiles(longs: int, differing: int, wide: int | None, at_once: int = 1 <
     return work
 
 
-def links(nodes: DataFrame, longs: int, differing: int, wide: int | None, scratch: Scratch) -> DataFrame:
-    """Edges ``(a, b)`` between the ``node`` numbers of ``nodes(node, f0, ...)`` that connect what links
+def links(nodes: DataFrame, differing: int, scratch: Scratch) -> DataFrame:
+    """Edges ``(a, b)`` between the ``node`` numbers of ``nodes(node, fingerprint)`` that connect what links
     connect. ``nodes`` is a stored table with distinct fingerprints."""
-    prints = [f"f{i}" for i in range(longs)]
     masks = bucket_masks(nodes.count(), differing)
     keys = F.array(*(
-        F.struct(F.lit(i).alias("mask"), F.col("f0").bitwiseAND(F.lit(signed(m))).alias("bucket"))
+        F.struct(F.lit(i).alias("mask"), F.col("fingerprint").bitwiseAND(F.lit(signed(m))).alias("bucket"))
         for i, m in enumerate(masks)
     ))
-    dealt = nodes.select("node", *prints, F.inline(keys))
+    dealt = nodes.select("node", "fingerprint", F.inline(keys))
 
     # Buckets beyond a tile are cut by a hash; every two parts meet in a tile of their own.
     sizes = dealt.groupBy("mask", "bucket").count().where(F.col("count") > TILE)
@@ -226,25 +200,19 @@ def links(nodes: DataFrame, longs: int, differing: int, wide: int | None, scratc
         pairs = F.transform(others, lambda j: F.least(j, "_part").cast("bigint") * parts + F.greatest(j, "_part"))
         tiled = dealt.join(sizes, ["mask", "bucket"], "left").withColumn("_part", own)
         tiled = tiled.withColumn("tile", F.explode(F.when(parts > 1, pairs).otherwise(F.array(F.lit(0).cast("bigint")))))
-    distance = F.bit_count(F.col("f0").bitwiseXOR(F.lit(signed(PIVOTS[0])))).alias("d0")
-    tiled = tiled.select("mask", "bucket", "tile", distance, "node", *prints)
+    distance = F.bit_count(F.col("fingerprint").bitwiseXOR(F.lit(signed(PIVOTS[0])))).alias("d0")
+    tiled = tiled.select("mask", "bucket", "tile", distance, "node", "fingerprint")
     tiled = tiled.repartition("mask", "bucket", "tile").sortWithinPartitions("mask", "bucket", "tile", "d0")
-    return tiled.mapInArrow(_link_tiles(longs, differing, wide), "a bigint, b bigint")
+    return tiled.mapInArrow(_link_tiles(differing), "a bigint, b bigint")
 
 
 # Classes
 
-def near_duplicates(
-    docs: DataFrame, words: int = 5, longs: int = 4, similarity: float = 0.8, differing: int | None = None,
-) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: ``doc_id``, its fingerprint ``f0``, ... and
-    ``component_id``, the smallest doc_id of its class.
+def near_duplicates(docs: DataFrame, words: int = 4, differing: int = 4) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: ``doc_id``, its ``fingerprint`` and ``component_id``, the
+    smallest doc_id of its class.
 
-    A-Z are lower-cased; words are split at ASCII space. With one long, links differ in at most
-    ``differing`` bits of 64. With more, a pair is a candidate if the first 64 bits differ in at most
-    ``differing`` (10 unless given) and a link if the estimate from all bits reaches ``similarity``: of
-    two texts whose shingles have the Jaccard coefficient J, bits differ with probability
-    arccos(2J / (1 + J)) / pi.
+    A-Z are lower-cased; words are split at ASCII space. Links differ in at most ``differing`` bits of 64.
 
     A null or wordless text has the fingerprint 0 and links like any other. Rows with a null doc_id have
     a class too; it is null only if all its ids are. Repeated rows fall into one class. An empty table
@@ -254,32 +222,27 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "simhash")
-    if differing is None:
-        differing = 10
-    angle = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    wide = None if longs == 1 else math.floor(64 * longs * angle)
-    prints = [f"f{i}" for i in range(longs)]
-    marked = scratch.save(fingerprints(docs, words, longs), "fingerprints")
+    marked = scratch.save(fingerprints(docs, words), "fingerprints")
     # Documents of one fingerprint are one node, named by a number of its own.
-    nodes = marked.groupBy(*prints).agg(F.min("doc_id").alias("least_id"))
+    nodes = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"))
     nodes = scratch.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    edges = scratch.save(links(nodes, longs, differing, wide, scratch), "edges")
+    edges = scratch.save(links(nodes, differing, scratch), "edges")
     classes = scratch.save(components(edges, scratch), "classes")
     joined = nodes.select("node", "least_id").join(classes, "node")
     least = joined.groupBy("root").agg(F.min("least_id").alias("class_id"))
     named = classes.join(least, "root").select("node", "class_id")
     labels = nodes.join(named, "node", "left").select(
-        *prints, F.coalesce("class_id", "least_id").alias("component_id")
+        "fingerprint", F.coalesce("class_id", "least_id").alias("component_id")
     )
-    return marked.join(labels, prints).select("doc_id", *prints, "component_id")
+    return marked.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def representatives(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its class's smallest; all columns stay. Classes join the texts
-    whose shingles have at least the Jaccard coefficient ``similarity``, exactly (``jaccard.classes``); no
-    fingerprint decides. Rows that repeat that id with the same words are all kept, and so are rows without
-    an id; a repeated id with other words is another document."""
-    found = jaccard.classes(docs, words, similarity)
-    ship(docs.sparkSession)
+def representatives(docs: DataFrame, words: int = 4, differing: int = 4) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is its class's smallest (``near_duplicates``); all columns stay.
+    Rows that repeat that id in the class are all kept, and so are rows without an id; a repeated id with a
+    text of another class is another document."""
+    found = near_duplicates(docs, words, differing)
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return without_rows(docs, gone, jaccard.text_key, "binary")
+    return without_rows(
+        docs, gone.withColumnRenamed("fingerprint", "key"), lambda text: fingerprint(text, words), "bigint"
+    )

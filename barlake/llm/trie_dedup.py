@@ -160,6 +160,10 @@ def _digest(text: bytes) -> str:
     return hashlib.sha256(text.lower()).hexdigest()
 
 
+def _short_digest(text: bytes) -> bytes:
+    return hashlib.sha256(text.lower()).digest()[:16]
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, digests = [], []
@@ -297,4 +301,5 @@ def kept_documents(docs: DataFrame, keep: str = "min") -> DataFrame:
     with a null id stay."""
     groups = exact_groups(docs, keep)
     gone = groups.where(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    return without_rows(docs, gone.withColumnRenamed("text_sha256", "key"), _digest, "string")
+    key = F.unhex(F.substr("text_sha256", F.lit(1), F.lit(32))).alias("key")
+    return without_rows(docs, gone.select("doc_id", key), _short_digest, "binary")

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from barlake.llm.mixing import due_at, mix, training_order
+from barlake.llm.mixing import SLICES, due_at, in_training_order, mix, passes, training_order
 from pyspark.sql import functions as F
 
 
@@ -75,6 +75,54 @@ def test_inverse_of_the_demand(spark, phases, cases):
         assert got == pytest.approx(at)
 
 
+def test_rows_in_training_order(documents):
+    """Each row as often as it is read, in the order of its positions; extra columns keep their values."""
+    rng = random.Random(9)
+    rows = [(i, f"t{i} " + "w " * rng.randrange(1, 40), None, rng.choice(["a", "b", "c", None])) for i in range(300)]
+    docs = documents(*rows, (900, None, None, "a"), (901, " ", None, "b"))
+    docs = docs.selectExpr("*", "doc_id * 2 AS _size", "doc_id * 3 AS _content", "doc_id * 5 AS _place", "'q' AS positions")
+    want = sorted((p, r.doc_id) for r in mix(docs).collect() for p in r.positions)
+    found = in_training_order(docs)
+    got = found.collect()
+    assert found.columns == docs.columns and [r.doc_id for r in got] == [i for _, i in want]
+    assert all((r["_size"], r["_content"], r["_place"], r.positions) == (2 * r.doc_id, 3 * r.doc_id, 5 * r.doc_id, "q") for r in got)
+    texts = {r[0]: r[1] for r in rows}
+    assert all(r.text == texts[r.doc_id] for r in got)
+
+
+def test_repeated_rows_and_missing_ids_are_spread(documents):
+    """Rows without an id, or with one id, differ in their texts and so in their slices; rows that repeat
+    as a whole are one row with a number of copies, whose words are taken one behind the other."""
+    rows = [(None, f"text number {i}", None, "a") for i in range(400)] + [(7, f"text number {i}", None, "a") for i in range(400)]
+    rows += [(9, "again and again", None, "a")] * 500 + [(10, "other words", None, "b")]
+    found = passes(documents(*rows))
+    assert found.count() == 802
+    counted = found.withColumn("slice", F.pmod(F.xxhash64("doc_id", "source", "content", F.lit(42)), F.lit(SLICES)))
+    assert counted.groupBy("source", "slice").count().agg(F.max("count")).first()[0] <= 6
+    mixed = mix(documents(*rows))
+    assert mixed.count() == len(rows)
+    a = mixed.where("source = 'a'").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).first()
+    assert 0 <= a.target - a.taken < 1
+    again = mixed.where("doc_id = 9").select("positions").collect()
+    assert len({tuple(r.positions) for r in again}) == 500
+    copies = in_training_order(documents(*rows)).where("doc_id = 9").count()
+    assert copies % 500 == 0 and copies > 0
+
+
+@pytest.mark.parametrize("weights", [(0, 1, 2), (0, 0, 1), (0, 0)])
+def test_sources_without_weight(documents, weights):
+    docs = documents(*[(i, "w " * 9, None, "abc"[i % 3]) for i in range(90)])
+    found = {r.source: (r.target, r.taken) for r in mix(docs, weights=weights).groupBy("source").agg(
+        F.max("target").alias("target"), F.sum("taken").alias("taken")).collect()}
+    for place, s in enumerate("abc"):
+        weight = weights[place % len(weights)]
+        others = {t: w for t, w in zip("abc", (weights * 3)[:3]) if w}
+        want = min(540, 1.5 * 810 * weight / sum(others.values())) if weight else 0
+        if weights == (0, 1, 2):
+            want = {"a": 0, "b": 540, "c": 540}[s]
+        assert found[s] == (pytest.approx(want), pytest.approx(want, abs=1))
+
+
 def test_empty_tables_and_texts(odd, documents):
     assert mix(odd.limit(0)).count() == 0
     assert mix(odd).count() == odd.count()

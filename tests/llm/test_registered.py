@@ -1,11 +1,15 @@
 """Registered queries against SQL, and the pipeline against a version in plain Python."""
 
+import math
+
 import pytest
 
 import __spark_entry__ as registry
 import corpus_pipeline
-from barlake.llm import queries
+from barlake.llm import mixing, queries
 from tests.conftest import SF
+from tests.llm.test_duplicates import brute_print
+from tests.llm.test_mixing import brute_targets, words
 from tests.oracle_check import database, differences
 
 
@@ -55,19 +59,29 @@ def test_pipeline_equals_plain_steps(spark):
 
     near = corpus_pipeline.STAGES[2][1](spark, exact, SF)
     left = {r.doc_id for r in near.collect()}
-
-    def shingles(text):
-        words = text.encode().lower().split()
-        return {b" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
-
-    prints = {i: shingles(rows[i].text) for i in last.values()}
-    for gone in set(last.values()) - left:  # each has a text alike among those before it
-        assert max(len(prints[gone] & p) / len(prints[gone] | p) for i, p in prints.items() if i < gone) > 0.6
-    for i in left:  # and none of those left has one very much alike
-        assert max((len(prints[i] & prints[j]) / len(prints[i] | prints[j]) for j in left if j != i), default=0) < 0.97
+    prints = {i: brute_print(rows[i].text, 4) for i in last.values()}
+    root = {i: i for i in prints}
+    for a, b in ((a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4):
+        low, high = sorted((root[a], root[b]))
+        root = {i: low if r == high else r for i, r in root.items()}
+    assert left == {i for i, r in root.items() if i == r}
 
     mixed = corpus_pipeline.STAGES[3][1](spark, near, SF)
-    assert mixed.columns == columns and {r.doc_id for r in mixed.collect()} <= left
+    assert mixed.columns == columns
+    sizes = {}
+    for i in left:
+        sizes[rows[i].source] = sizes.get(rows[i].source, 0) + words(rows[i].text)
+    target, order = brute_targets(sizes), [r.doc_id for r in mixed.collect()]
+    assert set(order) <= left
+    copies = {i: order.count(i) for i in left}
+    for source in sizes:  # all its documents as often as whole passes need, or once more, and the sum comes near
+        of = [i for i in left if rows[i].source == source and words(rows[i].text)]
+        whole = math.floor(math.floor(target[source]) / sizes[source])
+        assert {copies[i] for i in of} <= {whole, whole + 1}
+        read = sum(copies[i] * words(rows[i].text) for i in of)
+        assert 0 <= read - math.floor(target[source]) < max(words(rows[i].text) for i in of)
+    places = sorted((p, r.doc_id) for r in mixing.mix(near).collect() for p in r.positions)
+    assert order == [i for _, i in places]
 
     final = corpus_pipeline.STAGES[4][1](spark, mixed, SF)
     library = sentencepiece.SentencePieceProcessor(model_file=queries.model_path())
