@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm import langid, mixing, pieces, queries, simhash, trie_dedup
-from barlake.llm.common import Scratch, n_words
+from barlake.llm.common import Scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,20 +25,15 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are alike (five-word shingles, similarity 0.8), the one with the smallest doc_id."""
-    return simhash.representatives(docs)
+    """Of texts whose fingerprints (four-word shingles) are linked by steps of at most four bits, the one with
+    the smallest doc_id."""
+    return simhash.representatives(docs, words=4, differing=4)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix reads it, also where the last pass ends within it; documents
-    that it never reads go. Rows with the same id, source and size are read equally often."""
-    sized = docs.withColumn("_size", n_words(F.col("text")))
-    mixed = mixing.mix(docs).groupBy("doc_id", "source", "size").agg(F.max(F.size("positions")).alias("_passes"))
-    mixed = mixed.where("_passes > 0").alias("m")
-    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source"))
-    read = sized.alias("d").join(mixed, same & (F.col("d._size") == F.col("m.size")))
-    copies = F.explode(F.sequence(F.lit(1), F.col("m._passes"))).alias("_pass")
-    return read.select("d.*", copies).select(docs.columns)
+    """Every document once for each pass in which the mix reads it, in the order of training; documents
+    that it never reads go."""
+    return mixing.in_training_order(docs)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
