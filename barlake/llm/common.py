@@ -12,6 +12,7 @@ from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barlake.session import ensure_checkpoint_dir
@@ -63,6 +64,24 @@ class Scratch:
         target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def numbered(rows: DataFrame, name: str, scratch: Scratch, table: str) -> DataFrame:
+    """``rows``, stored, with a column ``name`` that counts them from 1 without gaps, in no particular order.
+
+    Each task numbers its own rows as it writes them; what the tasks before it have written is added, which
+    is one row per task.
+    """
+    spot, part = free_name(rows.columns, "_spot"), free_name(rows.columns, "_part")
+    stored = scratch.save(rows.withColumn(spot, F.monotonically_increasing_id()), f"{table}-unnumbered")
+    stored = stored.withColumn(part, F.shiftright(spot, 33))  # the task; its rows stand in the lower bits
+    sizes = stored.groupBy(part).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(part, before.alias("_before"))
+    number = F.col("_before") + F.col(spot).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    found = scratch.save(stored.join(F.broadcast(starts), part).select(*rows.columns, number.alias(name)), table)
+    scratch.drop(f"{table}-unnumbered")
+    return found
+
+
 #: Ids that are sent to every task (some 40 bytes each); more of them are joined through a shuffle.
 SENT_IDS = 300_000
 

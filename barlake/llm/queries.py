@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import langid, licenses, mixing, pieces, simhash, token_scan, topk, trie_dedup, url_filter, warc
+from barlake.llm import (
+    collocations, fertility, langid, licenses, mixing, pieces, simhash, spelling, token_scan, topk, trie_dedup,
+    url_filter, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +97,21 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return token_scan.document_token_counts(_table(spark, sf, "documents"), model_path())
 
 
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf, "documents"), least=10, share=50, top=2000)
+
+
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf, "documents"), shortest=7, least=2, factor=10, every=31)
+
+
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabularies = [model_path(), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")]
+    return fertility.judge(_table(spark, sf, "documents"), vocabularies, public_tokenizers.PATTERN)
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -112,6 +130,9 @@ def queries() -> dict[str, Query]:
         "op8_language_filters": op8,
         "op9_curriculum_mix": op9,
         "op10_token_counts": op10,
+        "op11_collocations": op11,
+        "op12_spelling_variants": op12,
+        "op13_tokeniser_fertility": op13,
         "pipeline": pipeline,
     }
 
@@ -186,4 +207,28 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
          doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
         FROM texts WINDOW same AS (PARTITION BY text)""",
+    "op11_collocations": f"""
+        WITH pieces AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_sql_lower("coalesce(text, '')")},
+           '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents) p),
+        met AS (SELECT lang, unnest(w) AS phrase FROM pieces
+          UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) FROM pieces
+          UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i:
+           concat(w[i], ' ', w[i + 1], ' ', w[i + 2]))) FROM pieces),
+        f AS (SELECT lang, phrase, count(*) AS a FROM met GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        often AS (SELECT lang, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE a >= 10),
+        cut AS (SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r,
+           CAST(1000000::HUGEINT * c.a * c.a // (x.a::HUGEINT * y.a) AS BIGINT) AS score, c.k
+          FROM (SELECT *, unnest(range(1, len(w))) AS k FROM often WHERE len(w) > 1) c
+          JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.k], ' ')
+          JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+        lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inside AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer
+          FROM (SELECT *, unnest([1, 2]) AS i FROM often WHERE len(w) = 3) t GROUP BY ALL),
+        ranked AS (SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.phrase) AS rank,
+           c.phrase, a, l, r, score
+          FROM lowest c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase
+          WHERE i.longer IS NULL OR 100 * i.longer < 50 * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
