@@ -15,11 +15,12 @@ from barlake import fixtures as fx
 from barlake.operators import bars, counters, scd2
 from barlake.operators.calendar import dim_date
 from barlake.operators.counts import layer_counts
-from barlake.operators.facts import daily_ohlcv
+from barlake.operators.facts import as_of_carry, daily_ohlcv, fact_daily
 from barlake.operators.surrogate import dense_ids
 from barlake.operators.tickers import current_attrs, incoming_attrs
 from barlake.operators.validation import reason_counts, split_quarantine, split_valid
 from barlake.plans import analytics
+from barlake.schemas import EVENT
 from barlake.session import ensure_checkpoint_dir
 
 try:
@@ -31,7 +32,12 @@ except ModuleNotFoundError as missing:  # only if that subpackage is not there
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ENVELOPE_COLUMNS = (
+    "raw_payload", "kafka_key", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "bronze_ingested_at",
+)
 PRICES = ("open", "high", "low", "close", "volume")
+ALL_COLUMNS = (*ENVELOPE_COLUMNS, *EVENT)
+ALL_TIMES = ("kafka_timestamp", "bronze_ingested_at")
 EVENT_COLUMNS = ("kafka_partition", "kafka_offset", "symbol", "timestamp", *PRICES, "currency", "source")
 
 
@@ -181,6 +187,47 @@ def _derived_versions(spark: SparkSession, sf: str) -> DataFrame:
     return _text(fx.derived_star(spark, sf).ticker, "effective_from", "effective_to")
 
 
+def _wide_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return _text(split_valid(fx.checked(spark, sf, fx.WIDE_QUOTES)).select(*ALL_COLUMNS, "date"), *ALL_TIMES)
+
+
+def _wide_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    rejected = split_quarantine(fx.checked(spark, sf, fx.WIDE_QUOTES))
+    return _text(rejected.select(*ALL_COLUMNS, "error_reason", "date"), *ALL_TIMES)
+
+
+def _wide_silver(spark: SparkSession, sf: str) -> DataFrame:
+    return _text(fx.wide_silver(spark, sf).select(*ALL_COLUMNS, "date"), *ALL_TIMES)
+
+
+def _wide_versions(spark: SparkSession, sf: str) -> DataFrame:
+    return _text(fx.wide_star(spark, sf).ticker, "effective_from", "effective_to")
+
+
+def _wide_fact(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.wide_star(spark, sf).fact
+
+
+def _wide(name: str, *dates: str) -> Query:
+    return lambda spark, sf: _text(fx.wide_star(spark, sf).run(name), *dates)
+
+
+def _history(spark: SparkSession, sf: str) -> DataFrame:
+    return scd2.history(fx.derive(spark, sf, fx.OBSERVED))
+
+
+def _scd2_history(spark: SparkSession, sf: str) -> DataFrame:
+    return _text(_history(spark, sf), "effective_from", "effective_to")
+
+
+def _scd2_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
+    return _text(fx.out_of_order(spark, sf).drop("ticker_key"), "effective_from", "effective_to")
+
+
+def _fact_as_of_carry(spark: SparkSession, sf: str) -> DataFrame:
+    return fact_daily(fx.derive(spark, sf, fx.HOT_BARS), _history(spark, sf), as_of_carry)
+
+
 def _totals_or_zero(spark: SparkSession, sf: str) -> DataFrame:
     return counters.totals_or_zero(
         _samples(spark, sf), ["fetch_count", "fetch_failures"], tie="event_id"
@@ -239,6 +286,18 @@ def own_queries() -> dict[str, Query]:
         "q_volume_by_dow": _analytics("volume_by_dow"),
         "q_price_range": _analytics("price_range", "full_date"),
         "q_current_directory": _current_directory,
+        "wide_bronze": _wide_bronze,
+        "wide_quarantine": _wide_quarantine,
+        "wide_silver": _wide_silver,
+        "wide_versions": _wide_versions,
+        "wide_fact": _wide_fact,
+        "wide_daily_summary": _wide("daily_summary", "full_date"),
+        "wide_top_avg_close": _wide("top_avg_close"),
+        "wide_volume_by_dow": _wide("volume_by_dow"),
+        "wide_price_range": _wide("price_range", "full_date"),
+        "scd2_history": _scd2_history,
+        "scd2_out_of_order": _scd2_out_of_order,
+        "fact_as_of_carry": _fact_as_of_carry,
         "latest_bar": _latest_bar,
         "shape_contract": _shaped,
         "to_event_json": _to_event_json,
@@ -257,41 +316,114 @@ def own_queries() -> dict[str, Query]:
 
 # Checking SQL ---------------------------------------------------------------------------------
 
-_PARSED = ", ".join(
-    f"CASE WHEN form = 'json' THEN {c} END AS {c}" for c in ("symbol", "timestamp", *PRICES, "currency", "source")
-)
-_VIEWS = {
-    **{
-        name: getattr(fx, name.upper()).format(**{t: t for t in fx.TABLES})
-        for name in (
-            "quotes", "versions", "supplier_bars", "user_bars", "listings", "listing_names",
-            "existing", "samples", "symbol_names",
-        )
-    },
-    "checked": f"""
-        SELECT kafka_partition, kafka_offset, arrival, {_PARSED},
-         CASE WHEN form <> 'json' THEN 'malformed_json' ELSE concat_ws(',',
+def _parsed(columns: tuple[str, ...]) -> str:
+    return ", ".join(f"CASE WHEN form = 'json' THEN {c} END AS {c}" for c in columns)
+
+
+_REASON = """CASE WHEN form <> 'json' THEN 'malformed_json' ELSE concat_ws(',',
           CASE WHEN symbol IS NULL THEN 'missing_symbol' END,
           CASE WHEN timestamp IS NULL THEN 'missing_timestamp' END,
           CASE WHEN volume IS NULL THEN 'invalid_numeric' END,
           CASE WHEN close <= 0 THEN 'close<=0' END, CASE WHEN volume < 0 THEN 'volume<0' END,
           CASE WHEN high < low THEN 'high<low' END, CASE WHEN high < open THEN 'high<open' END,
           CASE WHEN high < close THEN 'high<close' END, CASE WHEN low > open THEN 'low>open' END,
-          CASE WHEN low > close THEN 'low>close' END) END AS error_reason
-        FROM quotes""",
-    "silver": """
+          CASE WHEN low > close THEN 'low>close' END) END AS error_reason"""
+
+
+def _json_member(name: str) -> str:
+    text = EVENT[name] == "string"
+    return f"""'"{name}":{'"' if text else ''}' || {name} || '{'"' if text else ''}'"""
+
+
+def _silver_sql(checked: str) -> str:
+    return f"""
         SELECT * EXCLUDE (rn), substr(timestamp, 1, 10) AS date
         FROM (SELECT *, row_number() OVER (PARTITION BY symbol, timestamp
                ORDER BY arrival DESC, kafka_offset DESC, kafka_partition DESC) AS rn
-              FROM checked WHERE error_reason = '') v
-        WHERE rn = 1 AND close > 0""",
-    "fact": """
+              FROM {checked} WHERE error_reason = '') v
+        WHERE rn = 1 AND close > 0"""
+
+
+def _fact_sql(silver: str, versions: str) -> str:
+    return f"""
         SELECT CAST(replace(f.date, '-', '') AS INT) AS date_key, v.ticker_key, day_high, day_low,
          avg_close, total_volume
         FROM (SELECT symbol, date, max(high) AS day_high, min(low) AS day_low, avg(close) AS avg_close,
-               CAST(sum(volume) AS BIGINT) AS total_volume FROM silver GROUP BY symbol, date) f
-        LEFT JOIN versions v ON f.symbol = v.symbol
-         AND CAST(f.date AS DATE) >= v.effective_from AND CAST(f.date AS DATE) < v.effective_to""",
+               CAST(sum(volume) AS BIGINT) AS total_volume FROM {silver} GROUP BY symbol, date) f
+        LEFT JOIN {versions} v ON f.symbol = v.symbol
+         AND CAST(f.date AS DATE) >= v.effective_from AND CAST(f.date AS DATE) < v.effective_to"""
+
+
+def _calendar_sql(silver: str) -> str:
+    return f"""
+        SELECT CAST(replace(date, '-', '') AS INT) AS date_key, date AS full_date,
+         CAST(year(CAST(date AS DATE)) AS INT) AS year, CAST(month(CAST(date AS DATE)) AS INT) AS month,
+         CAST(day(CAST(date AS DATE)) AS INT) AS day, dayname(CAST(date AS DATE)) AS day_of_week,
+         dayname(CAST(date AS DATE)) IN ('Saturday', 'Sunday') AS is_weekend
+        FROM (SELECT DISTINCT date FROM {silver}) d"""
+
+
+def _history_sql(observed: str) -> str:
+    """Versions of attributes seen on some days: gaps and islands."""
+    return f"""
+        SELECT CAST(row_number() OVER (ORDER BY date, symbol) AS INT) AS ticker_key, symbol, company_name, currency, source,
+         date AS effective_from, coalesce(lead(date) OVER along, DATE '9999-12-31') AS effective_to,
+         lead(date) OVER along IS NULL AS is_current
+        FROM (SELECT *, row_number() OVER before = 1 OR company_name IS DISTINCT FROM lag(company_name) OVER before
+               OR currency IS DISTINCT FROM lag(currency) OVER before OR source IS DISTINCT FROM lag(source) OVER before AS begins
+              FROM {observed} WINDOW before AS (PARTITION BY symbol ORDER BY date)) o
+        WHERE begins WINDOW along AS (PARTITION BY symbol ORDER BY date)"""
+
+
+_STAR_SQL = {
+    "daily_summary": """SELECT v.symbol, v.company_name, c.full_date, f.day_high, f.day_low, f.avg_close, f.total_volume
+            FROM {fact} f JOIN {versions} v ON f.ticker_key = v.ticker_key
+            JOIN {calendar} c ON f.date_key = c.date_key ORDER BY v.symbol, c.full_date""",
+    "top_avg_close": """SELECT v.company_name, f.avg_close FROM {fact} f JOIN {versions} v ON f.ticker_key = v.ticker_key
+            ORDER BY f.avg_close DESC NULLS FIRST, v.company_name NULLS LAST, f.date_key LIMIT 1""",
+    "volume_by_dow": """SELECT c.day_of_week, CAST(sum(f.total_volume) AS BIGINT) AS total_volume
+            FROM {fact} f JOIN {calendar} c ON f.date_key = c.date_key
+            GROUP BY c.day_of_week ORDER BY total_volume DESC""",
+    "price_range": """SELECT v.symbol, c.full_date, f.day_high - f.day_low AS price_range
+            FROM {fact} f JOIN {versions} v ON f.ticker_key = v.ticker_key
+            JOIN {calendar} c ON f.date_key = c.date_key ORDER BY price_range DESC""",
+}
+_WIDE = {"fact": "wide_fact", "versions": "wide_versions", "calendar": "wide_calendar"}
+
+
+_VIEWS = {
+    **{
+        name: getattr(fx, name.upper()).format(**{t: t for t in fx.TABLES})
+        for name in (
+            "quotes", "versions", "supplier_bars", "user_bars", "listings", "listing_names",
+            "existing", "samples", "symbol_names", "wide_quotes", "wide_names", "hot_bars", "observed", "loaded",
+        )
+    },
+    "checked": f"""
+        SELECT kafka_partition, kafka_offset, arrival, {_parsed(("symbol", "timestamp", *PRICES, "currency", "source"))}, {_REASON}
+        FROM quotes""",
+    "silver": _silver_sql("checked"),
+    "fact": _fact_sql("silver", "versions"),
+    "wide_checked": f"""
+        SELECT arrival, CASE form WHEN 'json' THEN concat('{{', concat_ws(',', {", ".join(map(_json_member, EVENT))}), '}}')
+          WHEN 'not json' THEN form END AS raw_payload,
+         symbol AS kafka_key, 'stock-prices' AS kafka_topic, kafka_partition, kafka_offset,
+         '2024-02-01 12:00:00' AS kafka_timestamp,
+         CAST(TIMESTAMP '2024-02-01 12:00:00' + to_seconds(arrival) AS VARCHAR) AS bronze_ingested_at,
+         {_parsed(tuple(EVENT))}, {_REASON}
+        FROM wide_quotes""",
+    "wide_silver": _silver_sql("wide_checked"),
+    "wide_loaded": " UNION ALL ".join(f"""
+        SELECT symbol, DATE '{day}' AS date, company_name, currency, source
+        FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC, currency DESC, source DESC) AS rn
+              FROM wide_silver WHERE {'true' if before is None else f"date < '{before}'"}) s
+        LEFT JOIN wide_names USING (symbol) WHERE rn = 1""" for before, day in fx.WIDE_LOADS),
+    "wide_versions": _history_sql("wide_loaded"),
+    "wide_fact": _fact_sql("wide_silver", "wide_versions"),
+    "wide_calendar": _calendar_sql("wide_silver"),
+    "history": _history_sql("observed"),
+    "loaded_history": _history_sql("loaded"),
+    "hot_fact": _fact_sql("hot_bars", "history"),
     "early_attrs": """
         SELECT symbol, company_name, currency, source
         FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC, currency DESC, source DESC) AS rn
@@ -313,12 +445,7 @@ _VIEWS = {
          l.company_name, l.currency, l.source, DATE '{fx.SECOND_LOAD}', DATE '9999-12-31', true
         FROM late_attrs l LEFT JOIN early_attrs e ON e.symbol = l.symbol
         WHERE e.symbol IS NULL OR l.source <> e.source OR l.currency <> e.currency""",
-    "calendar": """
-        SELECT CAST(replace(date, '-', '') AS INT) AS date_key, date AS full_date,
-         CAST(year(CAST(date AS DATE)) AS INT) AS year, CAST(month(CAST(date AS DATE)) AS INT) AS month,
-         CAST(day(CAST(date AS DATE)) AS INT) AS day, dayname(CAST(date AS DATE)) AS day_of_week,
-         dayname(CAST(date AS DATE)) IN ('Saturday', 'Sunday') AS is_weekend
-        FROM (SELECT DISTINCT date FROM silver) d""",
+    "calendar": _calendar_sql("silver"),
     "attrs": """
         SELECT symbol, company_name, currency, source
         FROM (SELECT *, row_number() OVER (PARTITION BY symbol
@@ -356,6 +483,15 @@ _NEEDS = {
     "silver": ("checked",),
     "fact": ("silver", "versions"),
     "calendar": ("silver",),
+    "wide_checked": ("wide_quotes",),
+    "wide_silver": ("wide_checked",),
+    "wide_loaded": ("wide_silver", "wide_names"),
+    "wide_versions": ("wide_loaded",),
+    "wide_fact": ("wide_versions",),
+    "wide_calendar": ("wide_silver",),
+    "history": ("observed",),
+    "loaded_history": ("loaded",),
+    "hot_fact": ("hot_bars", "history"),
     "early_attrs": ("silver", "symbol_names"),
     "late_attrs": ("silver", "symbol_names"),
     "derived": ("early_attrs", "late_attrs"),
@@ -464,6 +600,23 @@ def own_sql() -> dict[str, str]:
             JOIN calendar c ON f.date_key = c.date_key ORDER BY price_range DESC""",
             "fact", "calendar",
         ),
+        "wide_bronze": _with(
+            f"SELECT {', '.join(ALL_COLUMNS)}, substr(timestamp, 1, 10) AS date FROM wide_checked WHERE error_reason = ''",
+            "wide_checked",
+        ),
+        "wide_quarantine": _with(
+            f"SELECT {', '.join(ALL_COLUMNS)}, error_reason, '2024-02-01' AS date FROM wide_checked WHERE error_reason <> ''",
+            "wide_checked",
+        ),
+        "wide_silver": _with(f"SELECT {', '.join(ALL_COLUMNS)}, date FROM wide_silver", "wide_silver"),
+        "wide_versions": _with(dim.format("wide_versions"), "wide_versions"),
+        "wide_fact": _with("SELECT * FROM wide_fact", "wide_fact"),
+        **{
+            f"wide_{name}": _with(text.format(**_WIDE), "wide_fact", "wide_calendar") for name, text in _STAR_SQL.items()
+        },
+        "scd2_history": _with(dim.format("history"), "history"),
+        "scd2_out_of_order": _with(dim.format("loaded_history").replace("ticker_key, ", "", 1), "loaded_history"),
+        "fact_as_of_carry": _with("SELECT * FROM hot_fact", "hot_fact"),
         "q_current_directory": _with(
             """SELECT symbol, company_name, currency, CAST(effective_from AS VARCHAR) AS effective_from
             FROM versions WHERE is_current ORDER BY symbol""",
@@ -492,9 +645,11 @@ def own_sql() -> dict[str, str]:
         ),
         "counter_increases": _with("SELECT metric, symbol, event_id, delta FROM deltas", "deltas"),
         "counter_rate": _with(
-            """SELECT metric, symbol, event_id, sum(delta) OVER (PARTITION BY metric, symbol
-            ORDER BY epoch_us(ts) RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW) / 3600 AS rate
-            FROM deltas""",
+            """SELECT s.metric, s.symbol, s.event_id, coalesce(sum(d.delta), 0) / 3600 AS rate
+            FROM deltas s LEFT JOIN (SELECT metric, symbol, ts, delta, lag(ts) OVER (PARTITION BY metric, symbol
+              ORDER BY ts, event_id) AS prior, event_id FROM deltas) d
+             ON d.metric = s.metric AND d.symbol = s.symbol AND d.prior >= s.ts - INTERVAL 1 HOUR AND d.ts <= s.ts
+            GROUP BY ALL""",
             "deltas",
         ),
         "avg_latency_5m": _with(

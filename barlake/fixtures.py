@@ -16,7 +16,8 @@ from barlake.operators.facts import fact_daily
 from barlake.operators.tickers import current_attrs
 from barlake.operators.validation import split_valid, to_envelope, validate
 from barlake.plans.analytics import Star
-from barlake.session import ensure_checkpoint_dir
+from barlake.schemas import EVENT
+from barlake.session import ensure_checkpoint_dir, store
 
 ARRIVAL_EPOCH = 1706788800  # 2024-02-01 12:00 UTC
 RUN_DATE = "2024-02-01"
@@ -114,6 +115,62 @@ UNION ALL
 SELECT 'fetch_sum', event_type, ts, event_id, CAST(event_id % 700 AS DOUBLE) / 4 FROM {events}
 """
 
+# One log message per line of an order: parts as symbols, a fifth of all rows one hot symbol, every field of
+# the contract, and every kind of defect. The feed of a part changes from year to year, for some also the currency.
+WIDE_QUOTES = """
+SELECT (l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey AS kafka_offset, CAST(l_suppkey % 4 AS INT) AS kafka_partition,
+ (l_orderkey + l_linenumber) % 3 AS arrival,
+ CASE WHEN d = 17 THEN NULL WHEN l_orderkey % 5 = 0 THEN 'HOT' ELSE concat('P', CAST(l_partkey AS STRING)) END AS symbol,
+ CASE WHEN d = 23 THEN NULL ELSE concat(day, 'T', CAST(10 + l_linenumber % 3 AS STRING), ':00:00Z') END AS timestamp,
+ price AS open, CASE WHEN d = 11 THEN price - 2 ELSE price + 0.25 * (l_linenumber % 4) END AS high,
+ CASE WHEN d = 31 THEN price + 6 ELSE price - 0.25 * (l_orderkey % 3) END AS low,
+ CASE WHEN d = 7 THEN -1.0 ELSE price END AS close,
+ CASE WHEN d = 13 THEN -5 WHEN d = 29 THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS volume,
+ CASE WHEN (year + l_partkey) % 4 = 0 THEN 'feed_b' ELSE 'feed_a' END AS source, '1h' AS interval,
+ CASE WHEN l_partkey % 7 = 0 AND year >= 1998 THEN 'EUR' ELSE 'USD' END AS currency,
+ concat(day, 'T23:00:0', CAST(l_linenumber AS STRING), 'Z') AS ingested_at,
+ CASE WHEN d = 19 THEN 'not json' WHEN d = 37 THEN 'tombstone' ELSE 'json' END AS form
+FROM (SELECT *, CAST(CAST(l_shipdate AS DATE) AS STRING) AS day, year(l_shipdate) AS year,
+       CAST(floor(l_extendedprice / l_quantity) AS DOUBLE) AS price, (l_orderkey * 8 + l_linenumber + l_partkey) % 97 AS d
+      FROM {lineitem}) l
+"""
+
+WIDE_NAMES = """
+SELECT concat('P', CAST(p_partkey AS STRING)) AS symbol, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_name END AS company_name
+FROM {part}
+"""
+
+# Bars by supplier, a third of them of one hot symbol.
+HOT_BARS = """
+SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'HOT' ELSE concat('S', CAST(l_suppkey AS STRING)) END AS symbol,
+ CAST(CAST(l_shipdate AS DATE) AS STRING) AS date,
+ CAST(floor(l_extendedprice / l_quantity) + 1 AS DOUBLE) AS high,
+ CAST(floor(l_extendedprice / l_quantity) - 1 AS DOUBLE) AS low,
+ CAST(floor(l_extendedprice / l_quantity) AS DOUBLE) AS close, CAST(l_quantity AS BIGINT) AS volume
+FROM {lineitem}
+"""
+
+# Attributes seen day by day, for the symbols of the bars above: the hot one changes on most days.
+OBSERVED = """
+SELECT symbol, date, CASE WHEN symbol LIKE '%7' THEN NULL ELSE concat('Company ', symbol) END AS company_name, currency, source
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY o_orderkey DESC) AS rn
+      FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'HOT' ELSE concat('S', CAST(o_custkey % 150 AS STRING)) END AS symbol,
+             CAST(o_orderdate AS DATE) AS date, o_orderpriority AS currency, o_orderstatus AS source, o_orderkey
+            FROM {orders}) o) d
+WHERE rn = 1
+"""
+
+# What yearly loads see of customers: their last order of the year, so not all of them every time.
+LOADED = """
+SELECT symbol, date, company_name, currency, source
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+      FROM (SELECT concat('C', CAST(o_custkey AS STRING)) AS symbol, make_date(CAST(year(o_orderdate) + 1 AS INT), 1, 1) AS date,
+             CAST(NULL AS STRING) AS company_name, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE 'USD' END AS currency,
+             o_orderstatus AS source, o_orderdate, o_orderkey
+            FROM {orders}) o) d
+WHERE rn = 1
+"""
+
 TABLES = ("customer", "events", "lineitem", "orders", "part", "supplier")
 
 
@@ -123,10 +180,10 @@ def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in names})
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_log(spark: SparkSession, sf_dir: str, text: str = QUOTES) -> DataFrame:
     """Quotes as log messages, with the time at which each one arrived."""
-    quotes = derive(spark, sf_dir, QUOTES)
-    fields = ("symbol", "timestamp", "open", "high", "low", "close", "volume", "currency", "source")
+    quotes = derive(spark, sf_dir, text)
+    fields = [name for name in EVENT if name in quotes.columns]
     payload = (
         F.when(F.col("form") == "not json", "not json")
         .when(F.col("form") == "json", F.to_json(F.struct(*fields)))
@@ -147,8 +204,8 @@ def _arrived() -> Column:
     return F.timestamp_seconds(F.lit(ARRIVAL_EPOCH) + F.col("arrival"))
 
 
-def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate(to_envelope(event_log(spark, sf_dir), F.col("arrived")))
+def checked(spark: SparkSession, sf_dir: str, text: str = QUOTES) -> DataFrame:
+    return validate(to_envelope(event_log(spark, sf_dir, text), F.col("arrived")))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,3 +238,39 @@ def derived_star(spark: SparkSession, sf_dir: str) -> Star:
     first = scd2.initial(early, FIRST_LOAD).checkpoint()
     versions = scd2.merge(first, current_attrs(rows, names).checkpoint(), SECOND_LOAD).checkpoint()
     return Star(fact_daily(rows, versions), versions, dim_date(rows))
+
+
+#: What the loads of the wide star see (events before a day; None: all), and their run dates.
+WIDE_LOADS = (("1997-01-01", "1997-01-02"), ("1999-07-01", "1999-07-02"), (None, "2000-06-01"))
+
+
+def wide_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean(split_valid(checked(spark, sf_dir, WIDE_QUOTES)))
+
+
+def wide_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star of all order lines, with a dimension of all parts that three loads of the same silver leave."""
+    rows = wide_silver(spark, sf_dir)
+    rows = store(rows.select("symbol", "date", "timestamp", "high", "low", "close", "volume", "currency", "source"))
+    names, versions = derive(spark, sf_dir, WIDE_NAMES), None
+    for before, day in WIDE_LOADS:
+        seen = rows if before is None else rows.where(F.col("date") < before)
+        attrs = store(current_attrs(seen, names))
+        versions = store(scd2.initial(attrs, day) if versions is None else scd2.merge(versions, attrs, day))
+    return Star(fact_daily(rows, versions), versions, dim_date(rows))
+
+
+def out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension after yearly loads that come in any order: the middle first, the last before the others."""
+    loads = store(derive(spark, sf_dir, LOADED))
+    days = sorted(r["date"] for r in loads.select("date").distinct().collect())  # a handful of days
+    order = [days[len(days) // 2], days[-1], *days[:len(days) // 2], *days[len(days) // 2 + 1:-1]]
+    dimension, done = None, []
+    for day in order:
+        incoming = loads.where(F.col("date") == F.lit(day)).drop("date")
+        log = loads.where(F.col("date").isin(done)).select("symbol", F.col("date").alias("load_date"))
+        dimension = store(
+            scd2.initial(incoming, str(day)) if dimension is None else scd2.merge_late(dimension, incoming, log, str(day))
+        )
+        done.append(day)
+    return dimension

@@ -95,24 +95,53 @@ def counter_rate(
     samples: DataFrame, by: Sequence[str], window_seconds: int, ts: str = "ts",
     value: str = "value", tie: str | None = None, chunk_seconds: int | None = None,
 ) -> DataFrame:
-    """Samples with ``rate``: increase over the closed window ``[t - window, t]`` per second.
-
-    The increase is the difference of two running sums, one up to ``t`` and one up to just before the
-    window, so the work is linear in the samples however many a window holds.
+    """Samples with ``rate``: increase within the closed window ``[t - window, t]`` per second.
+
+    The increase is what the counter gains from the first to the last sample of the window, resets
+    included. What the first sample gained over the one before it was gained before the window, at least in
+    part, and is left out; nothing is extrapolated to the window's edges.
+
+    Time is cut into blocks as long as the window, so a window is the end of one block and the beginning of
+    the next. Its increase is the sum of two short sums: of what the samples of the first block gained after
+    the first one that lies in the window, added up from the block's end, and of what those of the second
+    block gained up to ``t``. No long running sums are subtracted, so a jump of the counter costs no digits
+    of other windows, and the work is linear in the samples however many a window holds. A chunk holds some
+    whole blocks; ``chunk_seconds`` is rounded up to that.
     """
     time, per_second = _ticks(samples, ts)
     window = window_seconds * per_second
     chunk = max(4 * window, 3_600 * per_second) if chunk_seconds is None else chunk_seconds * per_second
     if chunk < window:
         raise ValueError("a chunk must be at least as long as the window")
+    chunk = -(-chunk // window) * window
     spread, order = _chunked(samples.withColumn("_t", time), by, ts, value, tie, window, chunk)
     deltas = _with_delta(spread, by, order, value)
-    along = W.partitionBy(*by, "_chunk").orderBy("_t")
-    upto = F.sum("delta").over(along.rangeBetween(W.unboundedPreceding, 0))
-    outside = F.sum("delta").over(along.rangeBetween(W.unboundedPreceding, -window - 1))
-    increase = upto - F.coalesce(outside, F.lit(0).cast("double"))
-    rated = deltas.withColumn("rate", increase / window_seconds).where("_own")
-    return rated.select(*samples.columns, "rate")
+
+    # Every sample asks for the first one in its window: a row at the window's left edge. Rows are unfolded in
+    # place, so that all windows below keep to the layout by series and chunk.
+    asking = F.when(F.col("_own"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = deltas.withColumn("_asks", F.explode(asking)).withColumn("_of", F.col("_t"))
+    rows = rows.withColumn("_t", F.when(F.col("_asks"), F.col("_of") - window).otherwise(F.col("_of")))
+    rows = rows.withColumn("delta", F.when(~F.col("_asks"), F.col("delta")))
+    rows = rows.withColumn("_block", F.expr(f"(_t - pmod(_t, {window}L)) div {window}L"))
+
+    block = W.partitionBy(*by, "_chunk", "_block")
+    backward = block.orderBy(F.desc("_t"), "_asks", *[F.desc(c) for c in order[1:]])
+    forward = block.orderBy("_asks", *order)
+    upto = block.orderBy("_t").rangeBetween(W.unboundedPreceding, 0)
+    zero = F.lit(0).cast("double")
+    later = F.coalesce(F.sum("delta").over(backward.rowsBetween(W.unboundedPreceding, -1)), zero)
+    rows = rows.withColumn("_later", F.when(~F.col("_asks"), later))  # gained by the samples behind, in the block
+    rows = rows.withColumn("_head", F.last("_later", ignorenulls=True).over(backward.rowsBetween(W.unboundedPreceding, 0)))
+    rows = rows.withColumn("_first", F.row_number().over(forward) == 1)
+    rows = rows.withColumns({
+        "_upto": F.sum("delta").over(upto),
+        "_inside": F.sum(F.when(F.col("_first"), zero).otherwise(F.col("delta"))).over(upto),
+    })
+    answer = F.max(F.when(F.col("_asks"), F.col("_head"))).over(W.partitionBy(*by, "_chunk", "_of"))
+    rows = rows.withColumn("_answer", answer).where("_own AND NOT _asks")
+    increase = F.coalesce(F.col("_answer") + F.col("_upto"), F.col("_inside"))
+    return rows.withColumn("rate", increase / window_seconds).select(*samples.columns, "rate")
 
 
 def counted_per_minute(

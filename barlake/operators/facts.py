@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barlake.functions import calendar_date, date_key
 
+Lookup = Callable[[DataFrame, DataFrame], DataFrame]
+
 
 def daily_ohlcv(silver: DataFrame) -> DataFrame:
     """High, low, mean close and volume per symbol and usable day.
@@ -44,9 +49,51 @@ def as_of(daily: DataFrame, dim_ticker: DataFrame) -> DataFrame:
     return daily.join(versions, valid, "left").select(*daily.columns, "ticker_key")
 
 
-def fact_daily(silver: DataFrame, dim_ticker: DataFrame) -> DataFrame:
-    """``fact_daily_prices``; days without a valid version keep a NULL ``ticker_key``."""
-    return as_of(daily_ohlcv(silver), dim_ticker).select(
+def as_of_carry(
+    facts: DataFrame, versions: DataFrame, by: str = "symbol", at: str = "date", since: str = "effective_from",
+    until: str = "effective_to", take: Sequence[str] = ("ticker_key",), chunk_days: int = 365,
+) -> DataFrame:
+    """``facts`` with the columns ``take`` of the version that holds at ``at``, as ``as_of`` finds it, by sort and carry.
+
+    Facts and versions are sorted together by symbol and day, and the last version is carried forward. Time is cut
+    into chunks, and each chunk gets the last version of the chunks before, so a hot symbol is spread over as many
+    tasks as it has chunks, and no fact is compared with versions that it does not take: the work is linear
+    however many versions a symbol has. A window over a symbol's chunks sees one row per chunk.
+
+    Versions of a symbol must not overlap; empty ones hold on no day. Facts without a symbol or day, or with no
+    version that holds, get NULL. ``at`` is a date; all facts come back once.
+    """
+    version = F.struct(F.col(until).alias("until"), *[F.col(c).alias(f"take_{i}") for i, c in enumerate(take)])
+    kept = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(facts.columns)])
+    rows = facts.select(F.col(by).alias("_by"), F.col(at).alias("_day"), F.lit(2).alias("_kind"), kept.alias("_row"))
+    usable = versions.where(F.col(by).isNotNull() & (F.col(since) < F.col(until)))
+    held = usable.select(F.col(by).alias("_by"), F.col(since).alias("_day"), F.lit(1).alias("_kind"), version.alias("_version"))
+    chunk = F.floor(F.unix_date("_day") / chunk_days)
+    rows, held = rows.withColumn("_chunk", chunk), held.withColumn("_chunk", chunk)
+
+    # The last version of each chunk, and for chunks with facts what the chunks before end with.
+    last = held.select("_by", "_chunk", F.struct("_day", "_version").alias("_last"))
+    asked = rows.select("_by", "_chunk", F.lit(None).alias("_last")).distinct()
+    ends = last.unionByName(asked).groupBy("_by", "_chunk").agg(F.max("_last").alias("_last"))
+    before = W.partitionBy("_by").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.withColumn("_carry", F.last("_last", ignorenulls=True).over(before)).where("_carry IS NOT NULL")
+    carried = carried.select("_by", "_chunk", F.col("_carry._day").alias("_day"), F.lit(0).alias("_kind"), "_carry._version")
+
+    along = W.partitionBy("_by", "_chunk").orderBy("_day", "_kind", "_version")
+    together = rows.unionByName(held, allowMissingColumns=True).unionByName(carried, allowMissingColumns=True)
+    found = F.last("_version", ignorenulls=True).over(along.rowsBetween(W.unboundedPreceding, 0))
+    matched = together.withColumn("_found", found).where("_kind = 2")
+    holds = F.col("_found.until") > F.col("_day")
+    return matched.select(
+        *[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(facts.columns)],
+        *[F.when(holds, F.col(f"_found.take_{i}")).alias(c) for i, c in enumerate(take)],
+    )
+
+
+def fact_daily(silver: DataFrame, dim_ticker: DataFrame, lookup: Lookup = as_of) -> DataFrame:
+    """``fact_daily_prices``; days without a valid version keep a NULL ``ticker_key``. ``lookup`` is ``as_of``, or
+    ``as_of_carry`` where symbols have many versions."""
+    return lookup(daily_ohlcv(silver), dim_ticker).select(
         date_key(F.col("date")).alias("date_key"),
         "ticker_key",
         "day_high",

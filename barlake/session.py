@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
@@ -52,6 +53,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
+def store(frame: DataFrame) -> DataFrame:
+    """``frame`` computed once and written as a table below the shared checkpoint folder.
+
+    A written table cuts the lineage, and it can be read as often as needed: what reads it needs no executor
+    that helped to make it. Tables stay until the folder is emptied.
+    """
+    spark = frame.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 @contextmanager
 def tasks_sized_for(
     spark: SparkSession, input_bytes: int, task_bytes: int = 512 << 20,

@@ -14,20 +14,23 @@ SAMPLES = "symbol string, ts bigint, id bigint, value double"
 
 
 def brute_force(rows, window):
-    """Delta and rate per sample id, straight from the definition."""
+    """Delta and rate per sample id, straight from the definition: a rate is what the counter gains from
+    sample to sample, for pairs of samples that both lie in the window."""
     series = defaultdict(list)
     for symbol, ts, i, value in rows:
         series[symbol].append((ts, i, value))
     delta, rate = {}, {}
+
+    def gain(before, after):
+        return after if after < before else after - before
+
     for samples in series.values():
         samples.sort()
-        before = None
-        for ts, i, value in samples:
-            delta[i] = 0.0 if before is None else value if value < before else value - before
-            before = value
+        for place, (_, i, value) in enumerate(samples):
+            delta[i] = gain(samples[place - 1][2], value) if place else 0.0
         for ts, i, _ in samples:
-            inside = [delta[j] for t, j, _ in samples if ts - window <= t <= ts]
-            rate[i] = sum(inside) / window
+            inside = [value for t, _, value in samples if ts - window <= t <= ts]
+            rate[i] = sum(map(gain, inside, inside[1:])) / window
     return delta, rate
 
 
@@ -76,7 +79,8 @@ def test_wall_clock_times_ignore_the_session_zone(spark):
         frame = spark.createDataFrame(rows, "symbol string, id bigint, ts string, value double")
         frame = frame.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
         got = {r.id: r.rate for r in counter_rate(frame, ["symbol"], 3600).collect()}
-        assert got == {0: 0.0, 1: 10 / 3600, 2: 20 / 3600, 3: 0.0}
+        # The second sample is a microsecond more than an hour after the first, the third less than one after it.
+        assert got == {0: 0.0, 1: 0.0, 2: 10 / 3600, 3: 0.0}
         time, _ = _ticks(frame, "ts")
         assert frame.where("id = 3").select(time.alias("t")).first().t == -500_000
     finally:
@@ -91,6 +95,42 @@ def test_no_task_sees_a_whole_series(spark, plan_of):
     assert all("last_head" in w or "lag(_chunk" in w for w in per_sample)
 
 
+@pytest.mark.parametrize("scraped, window", [(15, 60), (15, 300), (1, 60), (60, 60)])
+def test_a_steady_counter_has_its_rate(spark, scraped, window):
+    """One a second, scraped as often as you like: 1.0 as soon as a window is full."""
+    rows = [("A", t, t, float(t)) for t in range(0, 1200, scraped)]
+    got = counter_rate(spark.createDataFrame(rows, SAMPLES), ["symbol"], window, tie="id")
+    assert {r.ts: r.rate for r in got.collect()} == {t: min(t, window) / window for _, t, _, _ in rows}
+
+
+@pytest.mark.parametrize("window", [30, 60, 240])
+def test_a_jump_costs_no_digits(spark, window):
+    """Magnitudes of 1e12 and tenths in one chunk: windows beyond the jump are right to the last digits."""
+    rng, value, rows = random.Random(window), 0.0, []
+    for i in range(900):
+        value += 1e12 if i % 300 == 150 else rng.randrange(10) / 8
+        rows.append(("A", 5 * i, i, value))
+    _, rate = brute_force(rows, window)
+    got = {r.id: r.rate for r in counter_rate(
+        spark.createDataFrame(rows, SAMPLES), ["symbol"], window, tie="id", chunk_seconds=100_000).collect()}
+    small = [i for i in rate if rate[i] < 1e6]
+    assert len(small) > 600 and all(got[i] == pytest.approx(rate[i], rel=1e-12, abs=1e-12) for i in rate)
+
+
+def test_windows_of_one_sample_and_gaps_between_blocks(spark):
+    """The window's first sample in its first block, in its second, and alone."""
+    rows = [("A", t, i, v) for i, (t, v) in enumerate([(0, 5.0), (59, 9.0), (60, 11.0), (119, 20.0), (125, 3.0), (400, 50.0), (460, 51.0)])]
+    got = counter_rate(spark.createDataFrame(rows, SAMPLES), ["symbol"], 60, tie="id").collect()
+    assert {r.ts: r.rate * 60 for r in got} == pytest.approx({0: 0, 59: 4, 60: 6, 119: 11, 125: 3, 400: 0, 460: 1})
+
+
+def test_one_exchange_for_all_windows(spark, plan_of):
+    """Windows over chunk, block and edge all keep to the layout by chunk."""
+    frame = spark.createDataFrame(random_samples(7, 200, 50_000), SAMPLES)
+    executed = plan_of(counter_rate(frame, ["symbol"], 60, tie="id"))
+    assert "_block" not in "".join(line for line in executed.splitlines() if "Exchange hashpartitioning" in line)
+
+
 def test_chunk_shorter_than_window_is_refused(spark):
     frame = spark.createDataFrame([("A", 1, 1, 1.0)], SAMPLES)
     with pytest.raises(ValueError):
