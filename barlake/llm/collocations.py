@@ -1,24 +1,28 @@
 """Phrase collocation mining: word n-grams counted without loss in counting quotient filters.
 
-1. Shards: a task numbers the words it meets and counts their n-grams in a filter (``quotient_filter``). A
-   shard ends when it holds a fixed number of n-grams or words, so its memory does not depend on the input.
-2. Numbers: words are counted over all shards; those that are frequent enough to be part of a phrase get
-   a number each, the same for all shards. Nothing is sent to all tasks: each shard is joined with the
-   numbers of its own words.
-3. Merge: a shard's n-grams are read back from its filter (the permutation is invertible), put into common
-   numbers and into a filter again, which is cut into ranges of quotients. All shards' filters of a range
-   are merged in one task. Ranges hold about as many n-grams each, whatever the phrases are, and a phrase
-   that a third of all rows share arrives once from each shard.
+1. Numbers: words are counted; those that are frequent enough to be part of a phrase get a number. A bitmap
+   of fixed size that holds their hashes goes to all tasks: a word that it lacks is rare.
+2. Shards: a task numbers the words it meets and counts their n-grams in a filter (``quotient_filter``); n-grams
+   with a rare word cannot become phrases. A shard ends when it holds a fixed number of n-grams or words, so
+   its memory does not depend on the input.
+3. Merge: each shard is joined with the numbers of its own words. Its n-grams are read back from its filter
+   (the permutation is invertible), put into common numbers and into a filter again, which is cut into
+   ranges of quotients. All shards' filters of a range are merged in one task. Ranges hold about as many
+   n-grams each, whatever the phrases are, and a phrase that a third of all rows share arrives once from
+   each shard.
 4. Scores, nested phrases and ranks are joins and windows over the phrases that are frequent enough.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -27,47 +31,63 @@ from pyspark.sql import functions as F
 from barlake.llm import quotient_filter as qf
 from barlake.llm.common import Scratch, numbered, ship
 
-#: Distinct n-grams at which a shard ends, and n-grams that are sorted at once.
-SHARD, BUFFER = 1 << 20, 1 << 20
-#: Most n-grams, on average, of a range of quotients: what the task that merges it holds.
-RANGE = 1 << 20
 #: Bits of a word's number within a shard; three of them make a packed n-gram.
 BITS = 21
-#: Bytes of a text that are split into words at once, and of a document's slice: fewer words than numbers are left.
-SLICE = 1 << 20
+
+
+class Limits(NamedTuple):
+    """What bounds the memory of tasks. The result does not depend on it."""
+
+    shard: int = 1 << 19  # distinct n-grams, or words met, at which a shard ends
+    buffer: int = 1 << 18  # words that are taken at once
+    counted: int = 1 << 18  # distinct words that a task counts before it hands them on
+    range: int = 1 << 20  # most n-grams, on average, of a range of quotients: what one task merges
+    slice: int = 1 << 20  # bytes of a text that are split at once: fewer words than a shard has numbers left
+    map_bits: int = 26  # bits of the map of frequent words: 8 MB. With more words than bits it spares less work
+
 
 _U = np.uint64
 _LOW = _U((1 << BITS) - 1)
 _BREAK = b"\xff"  # no byte of UTF-8
 _MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _BREAK * 10)
-_PARTS = "shard bigint, lang string, word binary, id int, n bigint, cells binary"
+_PARTS = "shard bigint, lang string, word binary, id int, size bigint, cells binary"
 _ARROW = pa.schema([
     ("shard", pa.int64()), ("lang", pa.string()), ("word", pa.binary()), ("id", pa.int32()),
-    ("n", pa.int64()), ("cells", pa.binary()),
+    ("size", pa.int64()), ("cells", pa.binary()),
 ])
+_SEED = 42  # of Spark's xxhash64
+
+
+def places(lang: str, word: bytes, map_bits: int) -> tuple[int, int]:
+    """The two bits of the map that stand for a word."""
+    h = xxhash.xxh64_intdigest(lang.encode() + b"\0" + word, _SEED)
+    return h >> (64 - map_bits), h & ((1 << map_bits) - 1)
 
 
 class _Numbers(dict):
-    """Numbers of a language's words, given out as words are met."""
+    """Numbers of a language's words, given out as words are met; 0 for marks and rare words."""
 
     def __init__(self, shard: _Shard, lang: str):
         super().__init__({_BREAK: 0})
         self.shard, self.lang = shard, lang
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.shard.words)
-        self.shard.words.append((self.lang, word))
+        shard, number = self.shard, 0
+        shard.met += 1
+        if all(shard.frequent[p >> 3] >> (p & 7) & 1 for p in places(self.lang, word, shard.limits.map_bits)):
+            number = len(shard.words)
+            shard.words.append((self.lang, word))
+        self[word] = number
         return number
 
 
 class _Shard:
     """Words and n-grams of a part of a task's rows."""
 
-    def __init__(self, number: int):
-        self.number = number
+    def __init__(self, number: int, frequent: bytes, limits: Limits):
+        self.number, self.frequent, self.limits, self.met = number, frequent, limits, 0
         self.words: list[tuple[str, bytes] | None] = [None]  # numbers begin at 1; 0 parts the pieces
         self.of: dict[str, _Numbers] = {}
-        self.seen = np.zeros(1 << 12, np.int64)
         self.entries = qf.Entries(np.empty(0, np.uint64), None, np.empty(0, np.int64))
 
     def numbers(self, lang: str) -> _Numbers:
@@ -76,12 +96,8 @@ class _Shard:
         return self.of[lang]
 
     def add(self, ahead: list[int], ids: list[int]) -> None:
-        """Count the words ``ids`` and the n-grams that end in them; ``ahead`` are the two words before."""
+        """Count the n-grams that end in the words ``ids``; ``ahead`` are the two words before."""
         x = np.array(ahead + ids, np.uint64)
-        if len(self.words) > len(self.seen):
-            self.seen = np.r_[self.seen, np.zeros(max(len(self.seen), len(self.words)), np.int64)]
-        met = np.bincount(x[len(ahead):].astype(np.int64))
-        self.seen[:len(met)] += met
         known = x > 0
         a, b = x[len(ahead) - 1:-1] if ahead else x[:-1], x[len(ahead):] if ahead else x[1:]
         two = (a > 0) & (b > 0)
@@ -92,7 +108,7 @@ class _Shard:
 
     @property
     def full(self) -> bool:
-        return len(self.entries) >= SHARD or len(self.words) + SLICE > 1 << BITS
+        return len(self.entries) >= self.limits.shard or self.met >= self.limits.shard
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         for at in range(1, len(self.words), 50_000):
@@ -101,7 +117,7 @@ class _Shard:
             yield pa.RecordBatch.from_arrays([
                 pa.array([self.number] * n, pa.int64()), pa.array([p[0] for p in part], pa.string()),
                 pa.array([p[1] for p in part], pa.binary()), pa.array(range(at, at + n), pa.int32()),
-                pa.array(self.seen[at:at + n]), pa.array(none, pa.binary()),
+                pa.array(none, pa.int64()), pa.array(none, pa.binary()),
             ], schema=_ARROW)
         if len(self.entries):
             yield pa.RecordBatch.from_arrays([
@@ -111,7 +127,7 @@ class _Shard:
             ], schema=_ARROW)
 
 
-def slices(text: bytes, size: int = SLICE) -> Iterator[bytes]:
+def slices(text: bytes, size: int) -> Iterator[bytes]:
     """``text`` in parts of about ``size`` bytes, each with a space, a tab or a mark at its end."""
     at = 0
     while len(text) - at > size:
@@ -126,31 +142,71 @@ def slices(text: bytes, size: int = SLICE) -> Iterator[bytes]:
     yield text[at:]
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and filters of the texts of a task."""
-    task = TaskContext.get().partitionId()
-    numbers = itertools.count(task << 32)
-    shard = _Shard(next(numbers))
-    ids: list[int] = []
-    ahead: list[int] = []
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            marked = text.as_py().lower().translate(_MARKS)  # bytes: lowers A-Z only
-            for part in slices(marked):
-                # Spaces and tabs are all that split() finds here. A mark parts the pieces.
-                words = part.replace(_BREAK, b" \xff ").split()
-                ids.extend(map(shard.numbers(lang).__getitem__, words))
-                if len(ids) >= BUFFER or len(shard.words) + SLICE > 1 << BITS:
-                    shard.add(ahead, ids)
-                    ahead, ids = (ahead + ids)[-2:], []
-                    if shard.full:
-                        yield from shard.rows()
-                        tail = [shard.words[i] for i in ahead]
-                        shard = _Shard(next(numbers))
-                        ahead = [shard.numbers(word[0])[word[1]] if word else 0 for word in tail]
-            ids.append(0)
-    shard.add(ahead, ids)
-    yield from shard.rows()
+def _counted(limits: Limits):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``(lang, word, n)`` of the texts of a task."""
+        def handed() -> pa.RecordBatch:
+            rows = [(lang, word, n) for lang, words in counts.items() for word, n in words.items()]
+            columns = zip(*rows) if rows else ([], [], [])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.int64()))], ["lang", "word", "n"]
+            )
+
+        counts: dict[str, Counter] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for part in slices(text.as_py().lower().translate(_MARKS), limits.slice):
+                    counts.setdefault(lang, Counter()).update(part.replace(_BREAK, b" ").split())
+                    if sum(map(len, counts.values())) >= limits.counted:
+                        yield handed()
+                        counts = {}
+        yield handed()
+
+    return work
+
+
+def _shards(sent, limits: Limits):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words and filters of the texts of a task."""
+        numbers = itertools.count(TaskContext.get().partitionId() << 32)
+        shard = _Shard(next(numbers), sent.value, limits)
+        ids: list[int] = []
+        ahead: list[int] = []
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                marked = text.as_py().lower().translate(_MARKS)  # bytes: lowers A-Z only
+                for part in slices(marked, limits.slice):
+                    # Spaces and tabs are all that split() finds here. A mark parts the pieces.
+                    words = part.replace(_BREAK, b" \xff ").split()
+                    ids.extend(map(shard.numbers(lang).__getitem__, words))
+                    if len(ids) >= limits.buffer or shard.met >= limits.shard:
+                        shard.add(ahead, ids)
+                        ahead, ids = (ahead + ids)[-2:], []
+                        if shard.full:
+                            yield from shard.rows()
+                            tail = [shard.words[i] for i in ahead]
+                            shard = _Shard(next(numbers), sent.value, limits)
+                            ahead = [shard.numbers(word[0])[word[1]] if word else 0 for word in tail]
+                ids.append(0)
+        shard.add(ahead, ids)
+        yield from shard.rows()
+
+    return work
+
+
+def frequent_map(words: DataFrame, map_bits: int) -> bytes:
+    """The map of the words of ``words(lang, word)``."""
+    h = F.xxhash64(F.concat(F.encode("lang", "UTF-8"), F.lit(b"\0"), F.col("word")))
+    bits = F.shiftrightunsigned(h, 64 - map_bits), h.bitwiseAND(F.lit((1 << map_bits) - 1))
+    placed = words.select(F.explode(F.array(*(bit + 1 for bit in bits))).alias("bit"))  # Spark's bitmaps count from 1
+    parts = placed.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
+    )
+    found = bytearray(1 << (map_bits - 3))
+    for row in parts.toLocalIterator():
+        at = (row["part"] - 1) * 4096
+        found[at:at + 4096] = row["bits"]
+    return bytes(found)
 
 
 _PIECES = "block bigint, cells binary"
@@ -186,14 +242,14 @@ def _in_common_numbers(blocks: int):
 _GRAMS = "first bigint, second bigint, third bigint, a bigint"
 
 
-def _merged(least: int):
+def _merged(least: int, at_once: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """N-grams of a range that occur at least ``least`` times, from all shards' filters of the range."""
         held: qf.Entries | None = None
         waiting: list[qf.Entries] = []
         for batch in batches:
             waiting += [qf.decode(cells.as_py()) for cells in batch.column("cells")]
-            if sum(map(len, waiting)) >= BUFFER:
+            if sum(map(len, waiting)) >= at_once:
                 held, waiting = qf.merge([*([held] if held is not None else []), *waiting]), []
         if held is not None or waiting:
             held = qf.merge([*([held] if held is not None else []), *waiting])
@@ -207,7 +263,9 @@ def _merged(least: int):
     return work
 
 
-def count_phrases(docs: DataFrame, least: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+def count_phrases(
+    docs: DataFrame, least: int, scratch: Scratch, limits: Limits = Limits(),
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(grams, words, totals)`` of ``docs(text, lang)``, stored.
 
     ``grams(first, second, third, a)`` are the phrases of two (``third`` is 0) and three words with at least
@@ -219,22 +277,25 @@ def count_phrases(docs: DataFrame, least: int, scratch: Scratch) -> tuple[DataFr
     texts = docs.select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")
     )
-    parts = scratch.save(texts.mapInArrow(_shards, _PARTS), "shards")
-    met, filters = parts.where("word IS NOT NULL"), parts.where("cells IS NOT NULL")
-    totals = scratch.save(met.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    counted = met.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    words = numbered(counted, "number", scratch, "words")
+    counted = texts.mapInArrow(_counted(limits), "lang string, word binary, n bigint")
+    counted = scratch.save(counted.groupBy("lang", "word").agg(F.sum("n").alias("f")), "counted")
+    totals = scratch.save(counted.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    words = numbered(counted.where(F.col("f") >= least), "number", scratch, "words")
+    scratch.drop("counted")
     top = words.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
     if top >= 1 << 32:
         raise ValueError("more than 2^32 frequent words: their numbers do not fit a packed phrase")
 
-    entries = filters.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    blocks = max(1, -(-entries // RANGE))
+    frequent = spark.sparkContext.broadcast(frequent_map(words, limits.map_bits))
+    parts = scratch.save(texts.mapInArrow(_shards(frequent, limits), _PARTS), "shards")
+    met, filters = parts.where("word IS NOT NULL"), parts.where("cells IS NOT NULL")
+    entries = filters.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    blocks = max(1, -(-entries // limits.range))
     common = met.join(words.select("lang", "word", "number"), ["lang", "word"])
     common = common.select(F.col("shard").alias("of_shard"), "id", "number")
     cut = filters.select("shard", "cells").groupBy("shard").cogroup(common.groupBy("of_shard"))
     pieces = cut.applyInArrow(_in_common_numbers(blocks), _PIECES)
-    grams = pieces.groupBy("block").applyInArrow(_streamed(_merged(least)), _GRAMS)
+    grams = pieces.groupBy("block").applyInArrow(_streamed(_merged(least, limits.buffer)), _GRAMS)
     grams = scratch.save(grams, "grams")
     scratch.drop("shards")
     return grams, words, totals
@@ -249,7 +310,9 @@ def _streamed(work):
     return grouped
 
 
-def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2000) -> DataFrame:
+def collocations(
+    docs: DataFrame, least: int = 10, share: int = 50, top: int = 2000, limits: Limits = Limits(),
+) -> DataFrame:
     """The ``top`` collocations of each language of ``docs(text, lang)``.
 
     A-Z are lower-cased; texts are split at ``. , ; : ! ?`` and line ends into pieces, pieces at space and
@@ -265,7 +328,7 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2
     again; an empty table gives no rows; other columns are ignored. A text of any length is taken in slices.
     """
     scratch = Scratch(docs.sparkSession, "collocations")
-    grams, words, totals = count_phrases(docs, least, scratch)
+    grams, words, totals = count_phrases(docs, least, scratch, limits)
     pairs, triples = grams.where("third = 0"), grams.where("third > 0")
 
     inside = triples.select("first", "second", "a").union(triples.select("second", "third", "a"))

@@ -73,14 +73,17 @@ class Vocabulary:
 
     def measure(self, text: str) -> tuple[int, int, float]:
         """Tokens, byte tokens among them, and entropy of the tokens in bits."""
-        counts = np.zeros(len(self.is_byte), np.int64)
-        for part in slices(text):
-            counts += np.bincount(np.array(self.encode(part), np.int64), minlength=len(counts))
-        n = int(counts.sum())
+        parts = [text] if len(text) <= SLICE else slices(text)
+        ids = np.concatenate([np.array(self.encode(part), np.int32) for part in parts])
+        n = len(ids)
         if not n:
             return 0, 0, 0.0
-        share = counts[counts > 0] / n
-        return n, int(counts[self.is_byte].sum()), abs(float(-(share * np.log2(share)).sum()))
+        ids.sort()
+        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        counts = np.diff(np.r_[first, n])
+        # The sum of -p log2 p over the tokens, where p is a count over n.
+        entropy = np.log2(n) - float((counts * np.log2(counts)).sum()) / n
+        return n, int(counts[self.is_byte[ids[first]]].sum()), abs(float(entropy))
 
 
 def _whole(token: bytes) -> bool:
@@ -109,12 +112,21 @@ def _loaded(name: str, data: bytes, pattern: str | None) -> Vocabulary:
 
 # What is counted in a text
 
+@lru_cache(maxsize=1 << 16)
+def _script_of(letter: str) -> str | None:
+    return unicodedata.name(letter, "UNKNOWN").split(" ")[0].title() if letter.isalpha() else None
+
+
 def script(text: str) -> str:
     """Script of most letters, by the first word of their Unicode names; None if there is no letter."""
+    if text.isascii():
+        return "Latin" if re.search("[A-Za-z]", text) else "None"
     found: Counter = Counter()
-    for char, n in Counter(text).items():
-        if char.isalpha():
-            found[unicodedata.name(char, "UNKNOWN").split(" ")[0].title()] += n
+    chars = set(text)
+    # Few different letters are counted one by one; of many, as in Chinese, all at once.
+    for char, n in Counter(text).items() if len(chars) > 1000 else ((c, text.count(c)) for c in chars):
+        if name := _script_of(char):
+            found[name] += n
     return min(found, key=lambda s: (-found[s], s)) if found else "None"
 
 
@@ -128,21 +140,29 @@ def basics(text: str) -> tuple[int, int, int, int, int]:
 
 
 def repeated_words(words: Sequence[bytes], size: int = 5) -> int:
-    """Words that lie in a window of ``size`` words which occurs twice or more. Windows are compared as such:
-    words are numbered, then pairs of numbers, and so on, so equal numbers are equal windows."""
-    if len(words) <= size:
+    """Words that lie in a window of ``size`` words which occurs twice or more.
+
+    Hashes of windows tell most texts to have no such window. Otherwise the windows themselves are compared:
+    words are numbered, then pairs of numbers, and so on, so equal numbers are equal windows.
+    """
+    n = len(words) - size + 1
+    if n < 2:
+        return 0
+    hashed = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    mixed = np.zeros(n, np.uint64)
+    for step in range(size):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + hashed[step:step + n]
+    mixed.sort()
+    if not (mixed[1:] == mixed[:-1]).any():  # equal windows have equal hashes
         return 0
     numbers: dict[bytes, int] = {}
     single = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
-    if len(numbers) == len(words):
-        return 0
     window = single
     for step in range(1, size):
         following = single[step:]
         window = window[:len(following)] * (len(numbers) + 1) + following
         window = np.unique(window, return_inverse=True)[1]
-    counts = np.bincount(window)
-    again = np.flatnonzero(counts[window] > 1)
+    again = np.flatnonzero(np.bincount(window)[window] > 1)
     marks = np.zeros(len(words) + 1, np.int64)
     np.add.at(marks, again, 1)
     np.add.at(marks, again + size, -1)

@@ -57,18 +57,14 @@ def sample(seed, count):
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"SHARD": 300, "BUFFER": 100, "RANGE": 64, "SLICE": 64}])
-def test_equals_brute_force(documents, monkeypatch, limits):
-    """Also with shards, ranges and slices so small that every text is cut."""
-    for name, value in limits.items():
-        monkeypatch.setattr(co, name, value)
-    if "SLICE" in limits:
-        monkeypatch.setattr(co.slices, "__defaults__", (64,))
+@pytest.mark.parametrize("limits", [{}, dict(shard=300, buffer=100, counted=20, range=64, slice=64), dict(map_bits=16)])
+def test_equals_brute_force(documents, limits):
+    """Also with shards, ranges and slices so small that every text is cut, and with a map that tells less."""
     rows = sample(3, 300) + [("en", "wide spread words " * 200), (None, None), ("fr", ""), ("en", " \t. !")]
-    docs = documents(*[(i, text, lang) for i, (lang, text) in enumerate(rows)]).repartition(3)
+    docs, limits = documents(*[(i, text, lang) for i, (lang, text) in enumerate(rows)]).repartition(3), co.Limits(**limits)
     want = brute(rows)
-    assert as_set(co.collocations(docs)) == want and len(want) > 50
-    assert as_set(co.collocations(docs, least=3, share=90, top=7)) == brute(rows, 3, 90, 7)
+    assert as_set(co.collocations(docs, limits=limits)) == want and len(want) > 50
+    assert as_set(co.collocations(docs, 3, 90, 7, limits)) == brute(rows, 3, 90, 7)
 
 
 def test_odd_rows_and_empty_table(odd):
@@ -84,6 +80,18 @@ def test_a_hot_phrase_arrives_once_a_shard(documents):
     assert ("of the of", 500 * 49) in {(r.phrase, r.a) for r in found}
 
 
+def test_the_map_knows_all_frequent_words(spark):
+    words = [(lang, f"w{i}é".encode()) for lang in ("en", "日本", "") for i in range(3000)]
+    bits = co.frequent_map(spark.createDataFrame(words, "lang string, word binary"), 18)
+    assert len(bits) == 1 << 15
+
+    def known(lang, word):
+        return all(bits[p >> 3] >> (p & 7) & 1 for p in co.places(lang, word, 18))
+
+    assert all(known(*w) for w in words)
+    assert sum(known("de", w) for _, w in words) < 0.02 * len(words)
+
+
 def test_slices_end_at_words():
     text = b"one two\xffthree \xff\xff " + b"x" * 50 + b" end"
     for size in (1, 4, 9, 1000):
