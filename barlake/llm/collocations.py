@@ -2,15 +2,17 @@
 
 1. Numbers: words are counted; those that are frequent enough to be part of a phrase get a number. A bitmap
    of fixed size that holds their hashes goes to all tasks: a word that it lacks is rare.
-2. Shards: a task numbers the words it meets and counts their n-grams in a filter (``quotient_filter``); n-grams
-   with a rare word cannot become phrases. A shard ends when it holds a fixed number of n-grams or words, so
-   its memory does not depend on the input.
-3. Merge: each shard is joined with the numbers of its own words. Its n-grams are read back from its filter
+2. Shards: a task numbers the words it meets and counts their pairs in filters (``quotient_filter``); pairs
+   with a rare word cannot become phrases. A filter is closed when it holds a fixed number of n-grams, a shard
+   when it has a fixed number of words or filters, so their memory does not depend on the input.
+3. Merge: each shard is joined with the numbers of its own words. Its n-grams are read back from its filters
    (the permutation is invertible), put into common numbers and into a filter again, which is cut into
    ranges of quotients. All shards' filters of a range are merged in one task. Ranges hold about as many
    n-grams each, whatever the phrases are, and a phrase that a third of all rows share arrives once from
-   each shard.
-4. Scores, nested phrases and ranks are joins and windows over the phrases that are frequent enough.
+   each filter.
+4. Triples: steps 2 and 3 once more. A second bitmap holds the frequent pairs: a triple with a pair that it
+   lacks is rare, and is not counted.
+5. Scores, nested phrases and ranks are joins and windows over the phrases that are frequent enough.
 """
 
 from __future__ import annotations
@@ -38,12 +40,14 @@ BITS = 21
 class Limits(NamedTuple):
     """What bounds the memory of tasks. The result does not depend on it."""
 
-    shard: int = 1 << 19  # distinct n-grams, or words met, at which a shard ends
-    buffer: int = 1 << 18  # words that are taken at once
+    words: int = 1 << 18  # distinct words met at which a shard ends
+    filters: int = 8  # filters at which a shard ends
+    filter: int = 1 << 18  # distinct n-grams at which a filter is closed
+    buffer: int = 1 << 17  # words that are taken at once
     counted: int = 1 << 18  # distinct words that a task counts before it hands them on
     range: int = 1 << 20  # most n-grams, on average, of a range of quotients: what one task merges
     slice: int = 1 << 20  # bytes of a text that are split at once: fewer words than a shard has numbers left
-    map_bits: int = 26  # bits of the map of frequent words: 8 MB. With more words than bits it spares less work
+    map_bits: int = 26  # bits of a map of frequent words or pairs: 8 MB. With more of them it spares less work
 
 
 _U = np.uint64
@@ -58,10 +62,19 @@ _ARROW = pa.schema([
 _SEED = 42  # of Spark's xxhash64
 
 
-def places(lang: str, word: bytes, map_bits: int) -> tuple[int, int]:
-    """The two bits of the map that stand for a word."""
-    h = xxhash.xxh64_intdigest(lang.encode() + b"\0" + word, _SEED)
-    return h >> (64 - map_bits), h & ((1 << map_bits) - 1)
+def word_hash(lang: str, word: bytes) -> int:
+    return xxhash.xxh64_intdigest(lang.encode() + b"\0" + word, _SEED)
+
+
+def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hash of two words that stand together, from their hashes."""
+    return qf.scatter(qf.scatter(first) + second)
+
+
+def places(h, map_bits: int) -> tuple:
+    """The two bits of a map that stand for a hash (a number or an array of them)."""
+    kind = int if isinstance(h, int) else _U
+    return h >> kind(64 - map_bits), h & kind((1 << map_bits) - 1)
 
 
 class _Numbers(dict):
@@ -72,59 +85,87 @@ class _Numbers(dict):
         self.shard, self.lang = shard, lang
 
     def __missing__(self, word: bytes) -> int:
-        shard, number = self.shard, 0
-        shard.met += 1
-        if all(shard.frequent[p >> 3] >> (p & 7) & 1 for p in places(self.lang, word, shard.limits.map_bits)):
-            number = len(shard.words)
-            shard.words.append((self.lang, word))
-        self[word] = number
+        number = self[word] = self.shard.number_of(self.lang, word)
         return number
 
 
 class _Shard:
-    """Words and n-grams of a part of a task's rows."""
+    """Words and n-grams of a part of a task's rows: pairs, or with a map of frequent pairs triples."""
 
-    def __init__(self, number: int, frequent: bytes, limits: Limits):
-        self.number, self.frequent, self.limits, self.met = number, frequent, limits, 0
+    def __init__(self, number: int, words: bytes, pairs: bytes | None, limits: Limits):
+        self.number, self.frequent, self.pairs, self.limits = number, words, pairs, limits
         self.words: list[tuple[str, bytes] | None] = [None]  # numbers begin at 1; 0 parts the pieces
+        self.hashes = [0]
         self.of: dict[str, _Numbers] = {}
-        self.entries = qf.Entries(np.empty(0, np.uint64), None, np.empty(0, np.int64))
+        self.met = self.closed = 0
+        self.used = np.zeros(1, bool)
+        self.entries = _nothing()
 
     def numbers(self, lang: str) -> _Numbers:
         if lang not in self.of:
             self.of[lang] = _Numbers(self, lang)
         return self.of[lang]
 
+    def number_of(self, lang: str, word: bytes) -> int:
+        self.met += 1
+        h = word_hash(lang, word)
+        if not all(self.frequent[p >> 3] >> (p & 7) & 1 for p in places(h, self.limits.map_bits)):
+            return 0
+        self.words.append((lang, word))
+        self.hashes.append(h)
+        return len(self.words) - 1
+
     def add(self, ahead: list[int], ids: list[int]) -> None:
         """Count the n-grams that end in the words ``ids``; ``ahead`` are the two words before."""
-        x = np.array(ahead + ids, np.uint64)
-        known = x > 0
-        a, b = x[len(ahead) - 1:-1] if ahead else x[:-1], x[len(ahead):] if ahead else x[1:]
-        two = (a > 0) & (b > 0)
-        pairs = (a[two] << _U(2 * BITS)) | (b[two] << _U(BITS))
-        three = known[:-2] & known[1:-1] & known[2:]
-        triples = (x[:-2][three] << _U(2 * BITS)) | (x[1:-1][three] << _U(BITS)) | x[2:][three]
-        self.entries = qf.merge([self.entries, qf.count(qf.scatter(np.concatenate([pairs, triples])))])
+        x = np.array(ahead + ids, np.int64)
+        if self.pairs is None:
+            x = x[max(len(ahead) - 1, 0):]
+            parts = x[:-1], x[1:]
+            counted = (parts[0] > 0) & (parts[1] > 0)
+        else:
+            first, second = x[:-1], x[1:]
+            often = (first > 0) & (second > 0)
+            hashes, bits = np.array(self.hashes, np.uint64), np.frombuffer(self.pairs, np.uint8)
+            for place in places(pair_hash(hashes[first], hashes[second]), self.limits.map_bits):
+                often &= (bits[(place >> _U(3)).astype(np.int64)] >> (place & _U(7)).astype(np.uint8) & 1).astype(bool)
+            parts = x[:-2], x[1:-1], x[2:]
+            counted = often[:-1] & often[1:]
+        parts = [part[counted] for part in parts]
+        self.used = np.r_[self.used, np.zeros(len(self.words) - len(self.used), bool)]
+        packed = np.zeros(len(parts[0]), np.uint64)
+        for place, part in enumerate(parts):
+            self.used[part] = True
+            packed |= part.astype(np.uint64) << _U((2 - place) * BITS)
+        self.entries = qf.merge([self.entries, qf.count(qf.scatter(packed))])
 
     @property
     def full(self) -> bool:
-        return len(self.entries) >= self.limits.shard or self.met >= self.limits.shard
+        return self.met >= self.limits.words or self.closed >= self.limits.filters
+
+    def cells(self) -> Iterator[pa.RecordBatch]:
+        """The filter as a row; the next n-grams go into a new one."""
+        if len(self.entries):
+            row = self.number, None, None, None, len(self.entries), qf.encode(self.entries)
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _ARROW.types)], schema=_ARROW)
+            self.entries, self.closed = _nothing(), self.closed + 1
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        for at in range(1, len(self.words), 50_000):
-            part = self.words[at:at + 50_000]
+        """What is left of the shard: its last filter, and the words of its n-grams."""
+        yield from self.cells()
+        used = np.flatnonzero(self.used)
+        for at in range(0, len(used), 50_000):
+            ids = used[at:at + 50_000]
+            part = [self.words[i] for i in ids.tolist()]
             n, none = len(part), [None] * len(part)
             yield pa.RecordBatch.from_arrays([
                 pa.array([self.number] * n, pa.int64()), pa.array([p[0] for p in part], pa.string()),
-                pa.array([p[1] for p in part], pa.binary()), pa.array(range(at, at + n), pa.int32()),
+                pa.array([p[1] for p in part], pa.binary()), pa.array(ids.astype(np.int32)),
                 pa.array(none, pa.int64()), pa.array(none, pa.binary()),
             ], schema=_ARROW)
-        if len(self.entries):
-            yield pa.RecordBatch.from_arrays([
-                pa.array([v], t) for v, t in zip(
-                    (self.number, None, None, None, len(self.entries), qf.encode(self.entries)), _ARROW.types,
-                )
-            ], schema=_ARROW)
+
+
+def _nothing() -> qf.Entries:
+    return qf.Entries(np.empty(0, np.uint64), None, np.empty(0, np.int64))
 
 
 def slices(text: bytes, size: int) -> Iterator[bytes]:
@@ -145,12 +186,12 @@ def slices(text: bytes, size: int) -> Iterator[bytes]:
 def _counted(limits: Limits):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """``(lang, word, n)`` of the texts of a task."""
-        def handed() -> pa.RecordBatch:
-            rows = [(lang, word, n) for lang, words in counts.items() for word, n in words.items()]
-            columns = zip(*rows) if rows else ([], [], [])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.int64()))], ["lang", "word", "n"]
-            )
+        def handed() -> Iterator[pa.RecordBatch]:
+            for lang, words in counts.items():
+                columns = [lang] * len(words), words.keys(), words.values()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.int64()))], ["lang", "word", "n"]
+                )
 
         counts: dict[str, Counter] = {}
         for batch in batches:
@@ -158,18 +199,22 @@ def _counted(limits: Limits):
                 for part in slices(text.as_py().lower().translate(_MARKS), limits.slice):
                     counts.setdefault(lang, Counter()).update(part.replace(_BREAK, b" ").split())
                     if sum(map(len, counts.values())) >= limits.counted:
-                        yield handed()
+                        yield from handed()
                         counts = {}
-        yield handed()
+        yield from handed()
 
     return work
 
 
-def _shards(sent, limits: Limits):
+def _shards(words_map, pairs_map, limits: Limits):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words and filters of the texts of a task."""
         numbers = itertools.count(TaskContext.get().partitionId() << 32)
-        shard = _Shard(next(numbers), sent.value, limits)
+
+        def begin() -> _Shard:
+            return _Shard(next(numbers), words_map.value, None if pairs_map is None else pairs_map.value, limits)
+
+        shard = begin()
         ids: list[int] = []
         ahead: list[int] = []
         for batch in batches:
@@ -179,13 +224,15 @@ def _shards(sent, limits: Limits):
                     # Spaces and tabs are all that split() finds here. A mark parts the pieces.
                     words = part.replace(_BREAK, b" \xff ").split()
                     ids.extend(map(shard.numbers(lang).__getitem__, words))
-                    if len(ids) >= limits.buffer or shard.met >= limits.shard:
+                    if len(ids) >= limits.buffer or shard.met >= limits.words:
                         shard.add(ahead, ids)
                         ahead, ids = (ahead + ids)[-2:], []
+                        if len(shard.entries) >= limits.filter:
+                            yield from shard.cells()
                         if shard.full:
                             yield from shard.rows()
                             tail = [shard.words[i] for i in ahead]
-                            shard = _Shard(next(numbers), sent.value, limits)
+                            shard = begin()
                             ahead = [shard.numbers(word[0])[word[1]] if word else 0 for word in tail]
                 ids.append(0)
         shard.add(ahead, ids)
@@ -194,12 +241,10 @@ def _shards(sent, limits: Limits):
     return work
 
 
-def frequent_map(words: DataFrame, map_bits: int) -> bytes:
-    """The map of the words of ``words(lang, word)``."""
-    h = F.xxhash64(F.concat(F.encode("lang", "UTF-8"), F.lit(b"\0"), F.col("word")))
-    bits = F.shiftrightunsigned(h, 64 - map_bits), h.bitwiseAND(F.lit((1 << map_bits) - 1))
-    placed = words.select(F.explode(F.array(*(bit + 1 for bit in bits))).alias("bit"))  # Spark's bitmaps count from 1
-    parts = placed.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+def bit_map(bits: DataFrame, map_bits: int) -> bytes:
+    """A map of fixed size with the ``bits(bit)`` set. Parts of it are gathered, 4 KB each."""
+    counted = bits.select((F.col("bit") + 1).alias("bit"))  # Spark's bitmaps count from 1
+    parts = counted.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
     )
     found = bytearray(1 << (map_bits - 3))
@@ -209,18 +254,36 @@ def frequent_map(words: DataFrame, map_bits: int) -> bytes:
     return bytes(found)
 
 
+def _word_hash() -> Column:
+    return F.xxhash64(F.concat(F.encode("lang", "UTF-8"), F.lit(b"\0"), F.col("word")))
+
+
+def word_map(words: DataFrame, map_bits: int) -> bytes:
+    """The map of the words of ``words(lang, word)``."""
+    h = _word_hash()
+    bits = F.array(F.shiftrightunsigned(h, 64 - map_bits), h.bitwiseAND(F.lit((1 << map_bits) - 1)))
+    return bit_map(words.select(F.explode(bits).alias("bit")), map_bits)
+
+
+def pair_map(pairs: DataFrame, words: DataFrame, map_bits: int) -> bytes:
+    """The map of the pairs of ``pairs(first, second)``, numbers of ``words(number, lang, word)``."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, second = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            bits = np.concatenate(places(pair_hash(first, second), map_bits)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bits)], ["bit"])
+
+    hashed = words.select("number", _word_hash().alias("h"))
+    both = pairs.select("first", "second").join(hashed.toDF("first", "h1"), "first").join(hashed.toDF("second", "h2"), "second")
+    return bit_map(both.select("h1", "h2").mapInArrow(work, "bit bigint"), map_bits)
+
+
 _PIECES = "block bigint, cells binary"
 
 
 def _in_common_numbers(blocks: int):
-    def work(filters: pa.Table, numbers: pa.Table) -> pa.Table:
-        """A shard's filter in common numbers, cut into ranges; n-grams with a rare word are left out."""
-        if not filters.num_rows or not numbers.num_rows:
-            return pa.table({"block": pa.array([], pa.int64()), "cells": pa.array([], pa.binary())})
-        entries = qf.decode(filters["cells"][0].as_py())
-        local, common = numbers["id"].to_numpy(), numbers["number"].to_numpy().astype(np.uint64)
-        into = np.zeros(1 << BITS, np.uint64)
-        into[local] = common
+    def cut(entries: qf.Entries, into: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """A filter in common numbers, cut into ranges; n-grams with a rare word are left out."""
         packed = qf.gather(entries.high)
         ids = [into[(packed >> _U(shift) & _LOW).astype(np.int64)] for shift in (2 * BITS, BITS, 0)]
         usable = (ids[0] > 0) & (ids[1] > 0) & ((packed & _LOW == 0) | (ids[2] > 0))
@@ -230,10 +293,16 @@ def _in_common_numbers(blocks: int):
         entries = qf.Entries(high[order], low[order], entries.counts[usable][order])
         block = (entries.high >> _U(32)) * _U(blocks) >> _U(32)
         starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.empty(0, np.int64)
-        stops = np.r_[starts[1:], len(block)]
-        cells = [qf.encode(entries.slice(a, b)) for a, b in zip(starts.tolist(), stops.tolist())]
+        for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(block)]):
+            yield int(block[start]), qf.encode(entries.slice(start, stop))
+
+    def work(filters: pa.Table, numbers: pa.Table) -> pa.Table:
+        """The filters of a shard."""
+        into = np.zeros(1 << BITS, np.uint64)
+        into[numbers["id"].to_numpy()] = numbers["number"].to_numpy().astype(np.uint64)
+        found = [piece for cells in filters["cells"] for piece in cut(qf.decode(cells.as_py()), into)]
         return pa.table({
-            "block": pa.array(block[starts].astype(np.int64)), "cells": pa.array(cells, pa.binary()),
+            "block": pa.array([p[0] for p in found], pa.int64()), "cells": pa.array([p[1] for p in found], pa.binary()),
         })
 
     return work
@@ -265,11 +334,11 @@ def _merged(least: int, at_once: int):
 
 def count_phrases(
     docs: DataFrame, least: int, scratch: Scratch, limits: Limits = Limits(),
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(grams, words, totals)`` of ``docs(text, lang)``, stored.
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``(pairs, triples, words, totals)`` of ``docs(text, lang)``, stored.
 
-    ``grams(first, second, third, a)`` are the phrases of two (``third`` is 0) and three words with at least
-    ``least`` occurrences, as numbers of ``words(number, lang, word, f)``, whose words occur as often at least.
+    ``pairs`` and ``triples(first, second, third, a)`` are the phrases of two (``third`` is 0) and three words with
+    at least ``least`` occurrences, as numbers of ``words(number, lang, word, f)``, whose words occur as often at least.
     ``totals(lang, n)`` counts all words.
     """
     spark = docs.sparkSession
@@ -286,8 +355,19 @@ def count_phrases(
     if top >= 1 << 32:
         raise ValueError("more than 2^32 frequent words: their numbers do not fit a packed phrase")
 
-    frequent = spark.sparkContext.broadcast(frequent_map(words, limits.map_bits))
-    parts = scratch.save(texts.mapInArrow(_shards(frequent, limits), _PARTS), "shards")
+    words_map = spark.sparkContext.broadcast(word_map(words, limits.map_bits))
+    pairs = _merged_shards(texts, words, words_map, None, least, scratch, limits)
+    pairs_map = spark.sparkContext.broadcast(pair_map(pairs, words, limits.map_bits))
+    triples = _merged_shards(texts, words, words_map, pairs_map, least, scratch, limits)
+    return pairs, triples, words, totals
+
+
+def _merged_shards(
+    texts: DataFrame, words: DataFrame, words_map, pairs_map, least: int, scratch: Scratch, limits: Limits,
+) -> DataFrame:
+    """Pairs, or with a map of pairs triples, that occur at least ``least`` times."""
+    name = "pairs" if pairs_map is None else "triples"
+    parts = scratch.save(texts.mapInArrow(_shards(words_map, pairs_map, limits), _PARTS), f"{name}-shards")
     met, filters = parts.where("word IS NOT NULL"), parts.where("cells IS NOT NULL")
     entries = filters.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     blocks = max(1, -(-entries // limits.range))
@@ -296,9 +376,9 @@ def count_phrases(
     cut = filters.select("shard", "cells").groupBy("shard").cogroup(common.groupBy("of_shard"))
     pieces = cut.applyInArrow(_in_common_numbers(blocks), _PIECES)
     grams = pieces.groupBy("block").applyInArrow(_streamed(_merged(least, limits.buffer)), _GRAMS)
-    grams = scratch.save(grams, "grams")
-    scratch.drop("shards")
-    return grams, words, totals
+    grams = scratch.save(grams, name)
+    scratch.drop(f"{name}-shards")
+    return grams
 
 
 def _streamed(work):
@@ -328,8 +408,7 @@ def collocations(
     again; an empty table gives no rows; other columns are ignored. A text of any length is taken in slices.
     """
     scratch = Scratch(docs.sparkSession, "collocations")
-    grams, words, totals = count_phrases(docs, least, scratch, limits)
-    pairs, triples = grams.where("third = 0"), grams.where("third > 0")
+    pairs, triples, words, totals = count_phrases(docs, least, scratch, limits)
 
     inside = triples.select("first", "second", "a").union(triples.select("second", "third", "a"))
     longer = inside.toDF("first", "second", "a").groupBy("first", "second").agg(F.max("a").alias("longer"))

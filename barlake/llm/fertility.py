@@ -142,8 +142,8 @@ def basics(text: str) -> tuple[int, int, int, int, int]:
 def repeated_words(words: Sequence[bytes], size: int = 5) -> int:
     """Words that lie in a window of ``size`` words which occurs twice or more.
 
-    Hashes of windows tell most texts to have no such window. Otherwise the windows themselves are compared:
-    words are numbered, then pairs of numbers, and so on, so equal numbers are equal windows.
+    Equal windows have equal hashes, so hashes tell most texts to have none. Windows with the same hash are
+    compared word by word; should different ones meet, all windows are told apart by their numbers.
     """
     n = len(words) - size + 1
     if n < 2:
@@ -152,21 +152,32 @@ def repeated_words(words: Sequence[bytes], size: int = 5) -> int:
     mixed = np.zeros(n, np.uint64)
     for step in range(size):
         mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + hashed[step:step + n]
-    mixed.sort()
-    if not (mixed[1:] == mixed[:-1]).any():  # equal windows have equal hashes
+    place = np.sort(mixed)
+    if not (place[1:] == place[:-1]).any():
         return 0
+    order = np.argsort(mixed)
+    same = np.flatnonzero(mixed[order[1:]] == mixed[order[:-1]])
     numbers: dict[bytes, int] = {}
-    single = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+    single = np.array([numbers.setdefault(w, len(numbers)) for w in words])
+    a, b = order[same], order[same + 1]
+    again = np.zeros(n, bool)
+    if all((single[a + step] == single[b + step]).all() for step in range(size)):
+        again[a] = again[b] = True
+    else:
+        again = _numbered_windows(single, size)
+    marks = np.zeros(len(words) + 1, np.int64)
+    marks[:n] += again
+    marks[size:size + n] -= again
+    return int((np.cumsum(marks) > 0).sum())
+
+
+def _numbered_windows(single: np.ndarray, size: int) -> np.ndarray:
+    """Which windows occur twice or more: pairs of numbers are numbered, then pairs of these and a number."""
     window = single
     for step in range(1, size):
         following = single[step:]
-        window = window[:len(following)] * (len(numbers) + 1) + following
-        window = np.unique(window, return_inverse=True)[1]
-    again = np.flatnonzero(np.bincount(window)[window] > 1)
-    marks = np.zeros(len(words) + 1, np.int64)
-    np.add.at(marks, again, 1)
-    np.add.at(marks, again + size, -1)
-    return int((np.cumsum(marks) > 0).sum())
+        window = np.unique(window[:len(following)] * (len(single) + 1) + following, return_inverse=True)[1]
+    return np.bincount(window)[window] > 1
 
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

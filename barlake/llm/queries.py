@@ -108,7 +108,7 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
 def op13(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
-    vocabularies = [model_path(), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")]
+    vocabularies = [model_path(), public_tokenizers.path("byte_bpe_50k.tiktoken")]
     return fertility.judge(_table(spark, sf, "documents"), vocabularies, public_tokenizers.PATTERN)
 
 

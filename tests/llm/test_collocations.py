@@ -57,7 +57,8 @@ def sample(seed, count):
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, dict(shard=300, buffer=100, counted=20, range=64, slice=64), dict(map_bits=16)])
+@pytest.mark.parametrize("limits", [{}, dict(words=30, filters=2, filter=50, buffer=100, counted=20, range=64, slice=64), dict(map_bits=16),
+                                    dict(filter=100, buffer=50, range=500)])
 def test_equals_brute_force(documents, limits):
     """Also with shards, ranges and slices so small that every text is cut, and with a map that tells less."""
     rows = sample(3, 300) + [("en", "wide spread words " * 200), (None, None), ("fr", ""), ("en", " \t. !")]
@@ -80,16 +81,24 @@ def test_a_hot_phrase_arrives_once_a_shard(documents):
     assert ("of the of", 500 * 49) in {(r.phrase, r.a) for r in found}
 
 
-def test_the_map_knows_all_frequent_words(spark):
+def test_maps_know_all_frequent_words_and_pairs(spark):
     words = [(lang, f"w{i}é".encode()) for lang in ("en", "日本", "") for i in range(3000)]
-    bits = co.frequent_map(spark.createDataFrame(words, "lang string, word binary"), 18)
+    bits = co.word_map(spark.createDataFrame(words, "lang string, word binary"), 18)
     assert len(bits) == 1 << 15
 
-    def known(lang, word):
-        return all(bits[p >> 3] >> (p & 7) & 1 for p in co.places(lang, word, 18))
+    def known(bits, h):
+        return all(bits[p >> 3] >> (p & 7) & 1 for p in co.places(int(h), 18))
 
-    assert all(known(*w) for w in words)
-    assert sum(known("de", w) for _, w in words) < 0.02 * len(words)
+    assert all(known(bits, co.word_hash(*w)) for w in words)
+    assert sum(known(bits, co.word_hash("de", w)) for _, w in words) < 0.02 * len(words)
+
+    numbered = spark.createDataFrame([(i, *w) for i, w in enumerate(words)], "number bigint, lang string, word binary")
+    pairs = [(i, (i * 7 + 3) % 9000) for i in range(0, 9000, 2)]
+    bits = co.pair_map(spark.createDataFrame(pairs, "first bigint, second bigint"), numbered, 18)
+    h = np.array([co.word_hash(*w) for w in words], np.uint64)
+    first, second = np.array(pairs).T
+    assert all(known(bits, x) for x in co.pair_hash(h[first], h[second]))
+    assert sum(known(bits, x) for x in co.pair_hash(h[second], h[first])) < 0.02 * len(pairs)
 
 
 def test_slices_end_at_words():

@@ -43,6 +43,15 @@ def test_basics():
         assert fe.basics(text) == brute_basics(text), text
 
 
+def test_windows_whose_hashes_meet(monkeypatch):
+    """With all hashes equal, the windows themselves decide."""
+    rng = random.Random(8)
+    monkeypatch.setattr(fe, "hash", lambda word: 7, raising=False)
+    for _ in range(50):
+        text = " ".join(rng.choices("abc", k=rng.randrange(60)))
+        assert fe.basics(text) == brute_basics(text)
+
+
 def test_scripts():
     assert [fe.script(t) for t in ("Hello é", "привет мир a", "漢字 x", "123 !", "")] == ["Latin", "Cyrillic", "Cjk", "None", "None"]
 
