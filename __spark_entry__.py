@@ -6,7 +6,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -16,6 +16,9 @@ from barlake.operators import bars, counters, scd2
 from barlake.operators.calendar import dim_date
 from barlake.operators.counts import layer_counts
 from barlake.operators.facts import as_of_carry, daily_ohlcv, fact_daily
+from barlake.operators.offsets import offset_gaps
+from barlake.operators.partials import daily_partials, fold
+from barlake.operators.replay import accepted
 from barlake.operators.surrogate import dense_ids
 from barlake.operators.tickers import current_attrs, incoming_attrs
 from barlake.operators.validation import reason_counts, split_quarantine, split_valid
@@ -228,6 +231,27 @@ def _fact_as_of_carry(spark: SparkSession, sf: str) -> DataFrame:
     return fact_daily(fx.derive(spark, sf, fx.HOT_BARS), _history(spark, sf), as_of_carry)
 
 
+def _offset_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze and quarantine together, in chunks of 512 offsets."""
+    stored = fx.derive(spark, sf, fx.STORED_OFFSETS)
+    bronze, quarantine = stored.where("event_type <> 'error'"), stored.where("event_type = 'error'")
+    return offset_gaps(bronze.unionByName(quarantine), chunk=512)
+
+
+def _daily_from_partials(spark: SparkSession, sf: str) -> DataFrame:
+    return _text(fold(daily_partials(fx.derive(spark, sf, fx.LOADED_BARS))), "date")
+
+
+def _replayed_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """What rules that allow any volume and unequal prices accept of the quarantine."""
+    def newer(broken: Column) -> Column:
+        return F.concat_ws(",", F.when(broken | F.col("symbol").isNull() | F.col("timestamp").isNull(), "unusable"),
+                           F.when(F.expr("close <= 0"), "close<=0"))
+
+    rejected = split_quarantine(fx.checked(spark, sf, fx.WIDE_QUOTES))
+    return _text(accepted(rejected, newer).select(*ALL_COLUMNS, "date"), *ALL_TIMES)
+
+
 def _totals_or_zero(spark: SparkSession, sf: str) -> DataFrame:
     return counters.totals_or_zero(
         _samples(spark, sf), ["fetch_count", "fetch_failures"], tie="event_id"
@@ -298,6 +322,9 @@ def own_queries() -> dict[str, Query]:
         "scd2_history": _scd2_history,
         "scd2_out_of_order": _scd2_out_of_order,
         "fact_as_of_carry": _fact_as_of_carry,
+        "offset_gaps": _offset_gaps,
+        "daily_from_partials": _daily_from_partials,
+        "replayed_rows": _replayed_rows,
         "latest_bar": _latest_bar,
         "shape_contract": _shaped,
         "to_event_json": _to_event_json,
@@ -397,6 +424,7 @@ _VIEWS = {
         for name in (
             "quotes", "versions", "supplier_bars", "user_bars", "listings", "listing_names",
             "existing", "samples", "symbol_names", "wide_quotes", "wide_names", "hot_bars", "observed", "loaded",
+            "stored_offsets", "loaded_bars",
         )
     },
     "checked": f"""
@@ -616,6 +644,30 @@ def own_sql() -> dict[str, str]:
         },
         "scd2_history": _with(dim.format("history"), "history"),
         "scd2_out_of_order": _with(dim.format("loaded_history").replace("ticker_key, ", "", 1), "loaded_history"),
+        "offset_gaps": _with(
+            """SELECT kafka_partition, 'missing' AS kind, kafka_offset + 1 AS first_offset, following - 1 AS last_offset,
+             following - kafka_offset - 1 AS n
+            FROM (SELECT kafka_partition, kafka_offset, lead(kafka_offset) OVER (PARTITION BY kafka_partition ORDER BY kafka_offset)
+                  AS following FROM (SELECT DISTINCT kafka_partition, kafka_offset FROM stored_offsets) d) f
+            WHERE following > kafka_offset + 1
+            UNION ALL
+            SELECT kafka_partition, 'repeated', min(kafka_offset), max(kafka_offset), CAST(sum(n - 1) AS BIGINT)
+            FROM (SELECT *, kafka_offset - row_number() OVER (PARTITION BY kafka_partition ORDER BY kafka_offset) AS island
+                  FROM (SELECT kafka_partition, kafka_offset, count(*) AS n FROM stored_offsets GROUP BY ALL HAVING n > 1) c) i
+            GROUP BY kafka_partition, island""",
+            "stored_offsets",
+        ),
+        "daily_from_partials": _with(
+            """SELECT symbol, date, max(high) AS day_high, min(low) AS day_low, avg(close) AS avg_close,
+            CAST(sum(volume) AS BIGINT) AS total_volume FROM loaded_bars GROUP BY symbol, date""",
+            "loaded_bars",
+        ),
+        "replayed_rows": _with(
+            f"""SELECT {', '.join(ALL_COLUMNS)}, substr(timestamp, 1, 10) AS date FROM wide_checked
+            WHERE error_reason <> '' AND error_reason <> 'malformed_json' AND symbol IS NOT NULL AND timestamp IS NOT NULL
+             AND (close IS NULL OR close > 0)""",
+            "wide_checked",
+        ),
         "fact_as_of_carry": _with("SELECT * FROM hot_fact", "hot_fact"),
         "q_current_directory": _with(
             """SELECT symbol, company_name, currency, CAST(effective_from AS VARCHAR) AS effective_from

@@ -171,6 +171,25 @@ FROM (SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY o_orderdat
 WHERE rn = 1
 """
 
+# Records of four log partitions, some lost and some stored twice, across the ends of any chunk.
+STORED_OFFSETS = """
+SELECT CAST(event_id % 4 AS INT) AS kafka_partition, CAST(floor(event_id / 4) AS BIGINT) AS kafka_offset, event_type
+FROM {events} WHERE floor(event_id / 4) % 1000 NOT BETWEEN 505 AND 519 AND floor(event_id / 4) % 333 <> 5
+UNION ALL
+SELECT CAST(event_id % 4 AS INT), CAST(floor(event_id / 4) AS BIGINT), event_type
+FROM {events} WHERE floor(event_id / 4) % 500 BETWEEN 20 AND 30 OR floor(event_id / 4) BETWEEN 1010 AND 1040
+"""
+
+# Bars of suppliers that came in seven loads.
+LOADED_BARS = """
+SELECT concat('P', CAST(l_suppkey AS STRING)) AS symbol, CAST(CAST(l_shipdate AS DATE) AS STRING) AS date,
+ CAST(floor(l_extendedprice / l_quantity) + 1 AS DOUBLE) AS high,
+ CAST(floor(l_extendedprice / l_quantity) - 1 AS DOUBLE) AS low,
+ CAST(floor(l_extendedprice / l_quantity) AS DOUBLE) AS close, CAST(l_quantity AS BIGINT) AS volume,
+ l_linenumber AS load
+FROM {lineitem}
+"""
+
 TABLES = ("customer", "events", "lineitem", "orders", "part", "supplier")
 
 

@@ -18,18 +18,20 @@ def recency(columns: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
+def newest(rows: DataFrame) -> DataFrame:
+    """Latest version per ``(symbol, timestamp)``.
+
+    ``max_by`` keeps one candidate per key in every map task before the shuffle, so a key that holds
+    a third of all rows reaches its reducer as one row per map task.
+    """
+    rest = [c for c in rows.columns if c not in NATURAL_KEY]
+    kept = rows.groupBy(*NATURAL_KEY).agg(F.max_by(F.struct(*rest), recency(rest)).alias("_row"))
+    return kept.select(*[F.col(c if c in NATURAL_KEY else f"_row.{c}").alias(c) for c in rows.columns])
+
+
 def clean(bronze: DataFrame) -> DataFrame:
     """Latest version per ``(symbol, timestamp)``, then positive closes only.
 
     The price test comes after: if the newest version is bad the key disappears.
-
-    ``max_by`` keeps one candidate per key in every map task before the shuffle, so a key that holds
-    a third of all rows reaches its reducer as one row per map task.
     """
-    rest = [c for c in bronze.columns if c not in NATURAL_KEY]
-    newest = bronze.groupBy(*NATURAL_KEY).agg(
-        F.max_by(F.struct(*rest), recency(rest)).alias("_row")
-    )
-    return newest.where("_row.close > 0").select(
-        *[F.col(c if c in NATURAL_KEY else f"_row.{c}").alias(c) for c in bronze.columns]
-    )
+    return newest(bronze).where("close > 0")

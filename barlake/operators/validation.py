@@ -6,6 +6,8 @@ shuffle on this path.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,8 +72,11 @@ def error_reason(broken: Column) -> Column:
     return F.concat_ws(",", *labels)
 
 
-def validate(envelope: DataFrame, strict_json: bool = False) -> DataFrame:
-    """Add the contract fields and ``error_reason`` to the envelope.
+def validate(
+    envelope: DataFrame, strict_json: bool = False, reason: Callable[[Column], Column] = error_reason,
+) -> DataFrame:
+    """Add the contract fields and ``error_reason`` to the envelope. ``reason`` gives the labels of all failed rules,
+    ``''`` for none, where its argument tells that the payload is broken.
 
     ``strict_json`` labels broken JSON that starts with ``{`` as ``malformed_json``; by default it
     shows up as missing fields, because the parser is permissive.
@@ -81,7 +86,7 @@ def validate(envelope: DataFrame, strict_json: bool = False) -> DataFrame:
     if strict_json:
         broken = broken | F.try_parse_json("raw_payload").isNull()
     events = events.select(*envelope.columns, "_event.*", broken.alias("_broken"))
-    return events.withColumn("error_reason", error_reason(F.col("_broken"))).drop("_broken")
+    return events.withColumn("error_reason", reason(F.col("_broken"))).drop("_broken")
 
 
 def split_valid(checked: DataFrame) -> DataFrame:

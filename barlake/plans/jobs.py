@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions import calendar_date
@@ -16,10 +17,13 @@ from barlake.operators.bars import latest_bar, shape_contract, to_event_json
 from barlake.operators.calendar import dim_date
 from barlake.operators.dedup import clean
 from barlake.operators.facts import fact_daily
+from barlake.operators.partials import changed, daily_partials
+from barlake.operators.replay import RECORD, accepted, still_rejected
 from barlake.operators.tickers import Names, latest_attrs, seen_attrs
+from barlake.operators.validation import error_reason
 from barlake.plans.analytics import Star
 from barlake.schemas import COMPANY_NAMES, FACT, GOLD_TABLES, NATURAL_KEY, ddl
-from barlake.session import ensure_checkpoint_dir, tasks_sized_for
+from barlake.session import ensure_checkpoint_dir, store, tasks_sized_for
 from barlake.sources import lake
 from barlake.sources.jdbc import Warehouse, load_table
 
@@ -47,6 +51,21 @@ class Layers:
         """Ticker attributes seen on each date."""
         return f"{self.gold}/ticker_attributes"
 
+    @property
+    def loads(self) -> str:
+        """Symbols that each load has seen, by run date."""
+        return f"{self.gold}/ticker_loads"
+
+    @property
+    def stale(self) -> str:
+        """Run date of a late load whose facts may not be refreshed yet; empty if there is none."""
+        return f"{self.gold}/fact_stale"
+
+    @property
+    def partials(self) -> str:
+        """Partial sums of the daily bars, by load."""
+        return f"{self.gold}/daily_partials"
+
     @property
     def fact_state(self) -> str:
         """Highest ticker key that the whole fact takes into account."""
@@ -118,7 +137,11 @@ def build_gold(
     over all dates of the small attribute table, so a symbol that left a date falls back to what was
     seen before. Facts are refreshed for the changed dates, for days from ``run_date`` on, and for days
     from the first version on that was opened since the fact was last completed, which covers runs that
-    failed in between. ``names`` apply to all symbols. A ``run_date`` before the newest version raises.
+    failed in between. ``names`` apply to all symbols.
+
+    A ``run_date`` before that of another load is a late load: it sees silver up to that day, and its attributes
+    hold until the next load has seen the symbol (``scd2.merge_late``). Facts from that day on are
+    refreshed; should the run fail before that, the next one does it.
     """
     ensure_checkpoint_dir(spark)
     day = str(run_date or spark.sql("SELECT current_date() AS d").first()["d"])
@@ -127,10 +150,8 @@ def build_gold(
     undated = stored.where(on.isNull()).count()
     dated = stored.where(on.isNotNull())
     existing = read_dim_ticker(spark, layers)
-    if existing is not None:
-        newest = existing.agg(F.max("effective_from").alias("d")).first()["d"]
-        if newest is not None and str(newest) > day:
-            raise ValueError(f"run date {day} lies before the newest version of {newest}")
+    loads = None if existing is None else _loads(spark, layers, existing)
+    late = loads is not None and str(loads.agg(F.max("load_date").alias("d")).first()["d"] or "") > day
     partial = dates is not None and existing is not None and lake.exists(spark, layers.attributes)
 
     with tasks_sized_for(spark, lake.stored_bytes(spark, layers.silver, dates if partial else None)):
@@ -139,16 +160,26 @@ def build_gold(
         lake.write_partitions(seen, layers.attributes, "date", pair, only=dates if partial else None)
     # With its schema, so a layer without rows can be read too.
     attributes = spark.read.schema(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in seen.schema)).parquet(layers.attributes)
-    attrs = latest_attrs(attributes, names).checkpoint()
-    dimension = scd2.initial(attrs, day) if existing is None else scd2.merge(existing, attrs, day)
+    if late:
+        attributes = attributes.where(calendar_date(F.col("date").cast("string")) <= F.lit(day).cast("date"))
+        _mark_stale(spark, layers, min(filter(None, (_stale_since(spark, layers), day))))
+    attrs = store(latest_attrs(attributes, names))
+    if existing is None:
+        dimension = scd2.initial(attrs, day)
+    elif late:
+        dimension = scd2.merge_late(existing, attrs, loads, day)
+    else:
+        dimension = scd2.merge(existing, attrs, day)
     lake.write_snapshot(dimension, layers.dim_ticker)
     dimension = read_dim_ticker(spark, layers)
+    seen_now = attrs.select("symbol", F.lit(day).alias("load_date"))
+    lake.write_partitions(seen_now, layers.loads, "load_date", ["symbol"], only=[day])
 
     known = _known_key(spark, layers)
     keys, stale, sized = None, dated, None
     if partial and known is not None:
         opened = dimension.where(F.col("ticker_key") > known).agg(F.min("effective_from").alias("d")).first()["d"]
-        since = min(day, str(opened)) if opened is not None else day
+        since = min(filter(None, (day, opened and str(opened), _stale_since(spark, layers))))
         days = _calendar_days(spark, dates)
         keys = [d.strftime("%Y%m%d") for d in days]
         stale = dated.where(on.isin(days) | (on >= F.lit(since).cast("date")))
@@ -161,6 +192,8 @@ def build_gold(
         fact = lake.write_partitions(rows, layers.fact, "date_key", apart, only=keys)
     top = dimension.agg(F.coalesce(F.max("ticker_key"), F.lit(0)).alias("ticker_key"))
     lake.write_snapshot(top, layers.fact_state)
+    if _stale_since(spark, layers) is not None:
+        _mark_stale(spark, layers, None)
 
     in_fact = read_fact(spark, layers).select(
         F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("date")
@@ -169,6 +202,51 @@ def build_gold(
     return {"fact_daily_prices": fact["rows"], "dim_date": calendar["rows"], "undated": undated}
 
 
+def _loads(spark: SparkSession, layers: Layers, dimension: DataFrame) -> DataFrame:
+    """``(symbol, load_date)`` of all loads: as written after each one, and at least the days on which versions
+    begin, for loads from before that table was kept or that failed ahead of it."""
+    begun = dimension.select("symbol", F.col("effective_from").alias("load_date"))
+    if not lake.exists(spark, layers.loads):
+        return begun
+    stored = spark.read.schema("symbol string, load_date string").parquet(layers.loads)
+    return begun.unionByName(stored.withColumn("load_date", F.col("load_date").cast("date"))).distinct()
+
+
+def _stale_since(spark: SparkSession, layers: Layers) -> str | None:
+    path = lake.latest_snapshot(spark, layers.stale)
+    return None if path is None else spark.read.parquet(path).first()["since"]
+
+
+def _mark_stale(spark: SparkSession, layers: Layers, since: str | None) -> None:
+    lake.write_snapshot(spark.range(1).select(F.lit(since).cast("string").alias("since")), layers.stale)
+
+
+def refresh_partials(
+    spark: SparkSession, layers: Layers, dates: Iterable[str] | None = None, load: Column | str = "load",
+) -> list[str]:
+    """Bring the partial sums of the daily bars up to date with silver, or with some of its dates; returns the
+    loads that were rewritten. A late event rewrites the partials of its own load, and of the load whose row
+    it replaces, and no others. ``load`` names the load of a silver row."""
+    dates = None if dates is None else list(dates)
+    fresh = store(daily_partials(lake.read(spark, layers.silver, dates), load).withColumn("load", F.col("load").cast("string")))
+    if not lake.exists(spark, layers.partials):
+        lake.write_partitions(fresh, layers.partials, "load", ["symbol", "date"])
+        return sorted(r["load"] for r in fresh.select("load").distinct().collect())
+    stored = read_partials(spark, layers)
+    days = F.col("date").isin(_calendar_days(spark, dates)) if dates is not None else F.lit(True)
+    loads = [r["load"] for r in changed(stored.where(days), fresh).collect()]  # loads, not data
+    if loads:
+        of_them = F.col("load").isin(loads)
+        rows = store(stored.where(of_them & ~days).unionByName(fresh.where(of_them)))
+        lake.write_partitions(rows, layers.partials, "load", ["symbol", "date"], only=loads)
+    return sorted(loads)
+
+
+def read_partials(spark: SparkSession, layers: Layers) -> DataFrame:
+    kinds = "symbol string, date date, day_high double, day_low double, close_sum decimal(38, 12), closes bigint, "
+    return spark.read.schema(kinds + "odd_closes double, total_volume bigint, load string").parquet(layers.partials)
+
+
 def _known_key(spark: SparkSession, layers: Layers) -> int | None:
     path = lake.latest_snapshot(spark, layers.fact_state)
     return None if path is None else spark.read.parquet(path).first()["ticker_key"]
@@ -215,3 +293,51 @@ def run_batch(
     if warehouse is not None:
         report["warehouse"] = load_warehouse(spark, layers, warehouse)
     return report
+
+
+# Quarantine replay
+
+def _replays(spark: SparkSession, root: str) -> list[str]:
+    """Folders of the versions of rules whose replay is complete."""
+    return [f"{root}/{name}" for name in lake.folders(spark, root) if lake.exists(spark, f"{root}/{name}/{lake.DONE}")]
+
+
+def _moved(spark: SparkSession, folders: list[str]) -> DataFrame:
+    kinds = "kafka_topic string, kafka_partition int, kafka_offset bigint"
+    if not folders:
+        return spark.createDataFrame([], kinds)
+    return spark.read.schema(kinds).parquet(*(f"{folder}/moved" for folder in folders))
+
+
+def replay_quarantine(
+    spark: SparkSession, quarantine: DataFrame, root: str, version: str,
+    reason: Callable[[Column], Column] = error_reason, strict_json: bool = False,
+) -> int:
+    """Move the quarantined records that the rules of a new ``version`` accept; returns how many.
+
+    The accepted rows and the names of their records go to a folder of the version below ``root``, and a mark
+    completes it. Readers (``bronze_with_replays``, ``quarantine_left``) look at complete versions only, so a run
+    that stops after either write has moved nothing, and one more run does it. Records that another
+    version has moved are not moved again. A version that is complete is not replayed.
+    """
+    done, folder = _replays(spark, root), f"{root}/version={version}"
+    if folder in done:
+        return 0
+    rows = accepted(quarantine, reason, strict_json, _moved(spark, done))
+    lake.write_partitions(rows, f"{folder}/rows", "date", RECORD)
+    written = spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+    moved = lake.write(written.select(*RECORD), f"{folder}/moved")
+    lake.touch(spark, f"{folder}/{lake.DONE}")
+    return moved["rows"]
+
+
+def bronze_with_replays(spark: SparkSession, bronze: DataFrame, root: str) -> DataFrame:
+    folders = _replays(spark, root)
+    if not folders:
+        return bronze
+    rows = [spark.read.schema(bronze.schema).parquet(f"{folder}/rows") for folder in folders]
+    return reduce(DataFrame.unionByName, [bronze, *rows])
+
+
+def quarantine_left(spark: SparkSession, quarantine: DataFrame, root: str) -> DataFrame:
+    return still_rejected(quarantine, _moved(spark, _replays(spark, root)))

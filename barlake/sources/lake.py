@@ -120,6 +120,18 @@ def _written_rows(frame: DataFrame, path: str, column: str, before: dict[str, se
     return spark.read.schema(kinds).parquet(*fresh).count() if fresh else 0
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none if it does not exist."""
+    fs, target = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()) if fs.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark."""
+    fs, mark = _fs(spark, path)
+    fs.create(mark, True).close()
+
+
 def drop(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)
@@ -135,7 +147,7 @@ def write(frame: DataFrame, path: str) -> dict[str, int]:
 
 #: Completed snapshots that stay: the live one and those that running readers may still hold.
 SNAPSHOTS_KEPT = 3
-_DONE = "_COMPLETE"
+DONE = "_COMPLETE"
 
 
 def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
@@ -148,7 +160,7 @@ def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
     for status in fs.listStatus(target):
         name = status.getPath().getName()
         if name.startswith("snapshot="):
-            done = any(fs.exists(path_of(status.getPath(), mark)) for mark in (_DONE, "_SUCCESS"))
+            done = any(fs.exists(path_of(status.getPath(), mark)) for mark in (DONE, "_SUCCESS"))
             found.append((int(name.partition("=")[2]), done))
     return sorted(found)
 
@@ -170,8 +182,7 @@ def write_snapshot(frame: DataFrame, root: str) -> str:
     taken = [number for number, _ in _snapshots(spark, root)]
     path = f"{root}/snapshot={max(taken, default=0) + 1}"
     write(frame.hint("rebalance"), path)  # the parts of a merge are many and small
-    fs, mark = _fs(spark, f"{path}/{_DONE}")
-    fs.create(mark, True).close()
+    touch(spark, f"{path}/{DONE}")
     complete = [number for number, done in _snapshots(spark, root) if done]
     for number in complete[:-SNAPSHOTS_KEPT]:
         drop(spark, f"{root}/snapshot={number}")

@@ -1,12 +1,15 @@
 import random
 import re
 from contextlib import contextmanager
-from datetime import date
+from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from barlake.operators import scd2
-from barlake.operators.validation import split_valid, to_envelope, validate
+from barlake.operators.facts import daily_ohlcv
+from barlake.operators.partials import fold
+from barlake.operators.validation import error_reason, split_quarantine, split_valid, to_envelope, validate
 from barlake.plans import jobs
 from barlake.plans.analytics import QUERIES
 from barlake.session import SHUFFLE_PARTITIONS, SPLIT_BYTES, tasks_sized_for
@@ -42,6 +45,10 @@ def layers(tmp_path):
     return jobs.Layers(f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/gold")
 
 
+class Crash(Exception):
+    pass
+
+
 def contents(frame):
     return sorted(map(str, frame.collect()))
 
@@ -232,23 +239,140 @@ def test_epoch_texts_as_dates_do_not_stop_gold(spark, layers):
     assert report["gold"] == {"fact_daily_prices": 0, "dim_date": 0, "undated": 1}
 
 
-def test_mistaken_dates_and_backdated_runs_are_refused(spark, layers):
+def test_mistaken_dates_are_refused(spark, layers):
     append_bronze(spark, layers, bronze_rows(40) + [("S0", "odd", 2.0, 1.0, 1.5, 1, "USD", "f", None, 99, "odd")])
     jobs.run_batch(spark, layers, run_date="2026-01-10", names=NAMES)
     for date in ("2026-1-02", "20260102", "2026-W01-4", "2026-13-01", ""):
         with pytest.raises(ValueError):
             jobs.run_batch(spark, layers, run_date="2026-01-11", names=NAMES, dates=[date])
     jobs.run_batch(spark, layers, run_date="2026-01-11", names=NAMES, dates=["odd", "2026-01-09"])
-    with pytest.raises(ValueError, match="before the newest"):
-        jobs.run_batch(spark, layers, run_date="2026-01-05", names=NAMES)
     old = jobs.read_dim_ticker(spark, layers)
     changed = spark.sql("SELECT 'S0' AS symbol, 'Other' AS company_name, 'USD' AS currency, 'feed' AS source")
     with pytest.raises(Exception, match="before the newest"):
         scd2.merge(old, changed, "2026-01-05").collect()
 
 
-class Crash(Exception):
-    pass
+def named(star):
+    """Facts with the attributes of their versions, and the versions, without keys."""
+    versions = star.ticker.drop("ticker_key")
+    facts = star.fact.join(star.ticker.drop("effective_to", "is_current"), "ticker_key", "left").drop("ticker_key")
+    return contents(facts), contents(versions)
+
+
+@pytest.mark.parametrize("partial, crash", [(False, 0), (True, 5)])
+def test_a_late_load_equals_loads_in_order(spark, tmp_path, monkeypatch, partial, crash):
+    """Runs of the days 1, 5 and then 3 leave what runs of the days 1, 3 and 5 leave, also if the late one stops
+    after some write and the next run, in order, has to refresh its facts."""
+    late = jobs.Layers(f"{tmp_path}/b1", f"{tmp_path}/s1", f"{tmp_path}/g1")
+    ordered = jobs.Layers(f"{tmp_path}/b2", f"{tmp_path}/s2", f"{tmp_path}/g2")
+    batches = [
+        (1, bronze_rows(30, 1, 0, "USD", (1,))), (3, bronze_rows(30, 2, 100, "EUR", (2, 3))),
+        (5, bronze_rows(12, 3, 200, "USD", (4, 5))),
+    ]
+    for day, rows in batches:
+        append_bronze(spark, ordered, rows)
+        jobs.run_batch(spark, ordered, run_date=f"2026-01-0{day}", names=NAMES)
+        append_bronze(spark, late, rows)
+        if day != 3:
+            jobs.run_batch(spark, late, run_date=f"2026-01-0{day}", names=NAMES)
+    dates = ["2026-01-02", "2026-01-03"] if partial else None
+    if crash:
+        with monkeypatch.context() as patch:
+            done = [0]
+            for name in ("write_partitions", "write_snapshot"):
+                def writer(*args, _write=getattr(lake, name), **kwargs):
+                    result = _write(*args, **kwargs)
+                    done[0] += 1
+                    if done[0] == crash:
+                        raise Crash
+                    return result
+                patch.setattr(lake, name, writer)
+            with pytest.raises(Crash):
+                jobs.run_batch(spark, late, run_date="2026-01-03", names=NAMES, dates=dates)
+        for layers in (late, ordered):
+            jobs.run_batch(spark, layers, run_date="2026-01-06", names=NAMES, dates=["2026-01-05"] if layers is late else None)
+    else:
+        jobs.run_batch(spark, late, run_date="2026-01-03", names=NAMES, dates=dates)
+    assert named(jobs.read_star(spark, late)) == named(jobs.read_star(spark, ordered))
+    assert scd2.violations(jobs.read_dim_ticker(spark, late)).count() == 0
+
+
+def test_partials_follow_late_events(spark, layers):
+    """Random events in loads that come in any order: partials put together equal the bars, and only loads that
+    won or lost a row are rewritten."""
+    rng = random.Random(4)
+    for turn in range(4):
+        days = rng.sample((1, 2, 3, 4), 2)
+        rows = bronze_rows(25, 40 + turn, 1000 * turn, "USD", days)
+        rows = [(*r[:8], datetime(2026, 2, 1 + rng.choice([turn, turn // 2])), *r[9:]) for r in rows]
+        before = set()
+        if turn:
+            before = {(r.load, str(r)) for r in jobs.read_partials(spark, layers).collect()}
+        append_bronze(spark, layers, rows)
+        dates = None if turn == 0 else [f"2026-01-0{d}" for d in days]
+        jobs.refine_silver(spark, layers, dates)
+        by_day = F.to_date("bronze_ingested_at")
+        loads = jobs.refresh_partials(spark, layers, dates, by_day)
+        after = {(r.load, str(r)) for r in jobs.read_partials(spark, layers).collect()}
+        assert {load for load, _ in before ^ after} == set(loads) or turn == 0
+        want = daily_ohlcv(lake.read(spark, layers.silver))
+        assert contents(fold(jobs.read_partials(spark, layers))) == contents(want)
+    assert jobs.refresh_partials(spark, layers, None, by_day) == []
+
+
+def quarantined(spark):
+    """Six records: two that a laxer rule accepts, two that the laxest does, one broken, one without a key."""
+    payload = '{"symbol":"%s","timestamp":"2026-01-0%dT00:00:00Z","open":1,"high":%s,"low":1,"close":%s,"volume":%s}'
+    texts = [payload % ("A", 1, 2, 3, 5), payload % ("B", 2, 2, 3, 5), payload % ("A", 3, 2, 1, -5),
+             payload % ("C", 3, 2, 1, -5), "not json", payload % ("D", 4, 2, -1, 5)]
+    log = spark.createDataFrame([(None, t.encode(), "t", i % 2, i, datetime(2026, 1, 9)) for i, t in enumerate(texts)],
+                                "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp")
+    return split_quarantine(validate(to_envelope(log)))
+
+
+def lax(*allowed):
+    def reason(broken):
+        labels = F.split(error_reason(broken), ",")
+        left = F.filter(labels, lambda label: ~label.isin(*allowed))
+        return F.array_join(left, ",")
+
+    return reason
+
+
+@pytest.mark.parametrize("crash", ["write_partitions", "write", "touch"])
+def test_replay_moves_every_record_once(spark, tmp_path, monkeypatch, crash):
+    """Two versions of rules, a crash after each write, and runs that are repeated."""
+    bronze_schema = split_valid(validate(to_envelope(spark.createDataFrame(
+        [], "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp")))).schema
+    quarantine, root = quarantined(spark).cache(), f"{tmp_path}/replays"
+    bronze = spark.createDataFrame([], bronze_schema)
+    assert quarantine.count() == 6 and jobs.bronze_with_replays(spark, bronze, root).count() == 0
+
+    def both():
+        moved = jobs.bronze_with_replays(spark, bronze, root).select("kafka_offset").collect()
+        left = jobs.quarantine_left(spark, quarantine, root).select("kafka_offset").collect()
+        return sorted(r[0] for r in moved), sorted(r[0] for r in left)
+
+    for version, rules, want in (("1", lax("high<close"), [0, 1]), ("2", lax("high<close", "volume<0"), [0, 1, 2, 3])):
+        state = both()
+        with monkeypatch.context() as patch:
+            def writer(*args, _write=getattr(lake, crash), **kwargs):
+                if crash == "touch":
+                    raise Crash  # just before the mark
+                _write(*args, **kwargs)
+                raise Crash
+            patch.setattr(lake, crash, writer)
+            with pytest.raises(Crash):
+                jobs.replay_quarantine(spark, quarantine, root, version, rules)
+        assert both() == state
+        assert jobs.replay_quarantine(spark, quarantine, root, version, rules) == 2
+        assert both() == (want, sorted(set(range(6)) - set(want)))
+        assert jobs.replay_quarantine(spark, quarantine, root, version, rules) == 0
+    rows = jobs.bronze_with_replays(spark, bronze, root).collect()
+    assert {(r.symbol, r.timestamp[:10], str(r.date), r.kafka_topic) for r in rows} == {
+        ("A", "2026-01-01", "2026-01-01", "t"), ("B", "2026-01-02", "2026-01-02", "t"),
+        ("A", "2026-01-03", "2026-01-03", "t"), ("C", "2026-01-03", "2026-01-03", "t"),
+    }
 
 
 @pytest.mark.parametrize("seed", [1, 2])
