@@ -46,6 +46,11 @@ class Layers:
     def fact(self) -> str:
         return f"{self.gold}/fact_daily_prices"
 
+    @property
+    def star(self) -> str:
+        """What readers see: snapshots of calendar and dimension, and for each day the run that wrote its facts."""
+        return f"{self.gold}/star"
+
     @property
     def attributes(self) -> str:
         """Ticker attributes seen on each date."""
@@ -111,15 +116,64 @@ def read_dim_ticker(spark: SparkSession, layers: Layers) -> DataFrame | None:
     return None if path is None else spark.read.parquet(path)
 
 
-def read_fact(spark: SparkSession, layers: Layers) -> DataFrame:
-    return spark.read.schema(ddl(FACT)).parquet(layers.fact).select(*FACT)
+@dataclass(frozen=True)
+class Published:
+    """One state of the three gold tables that belong together."""
+
+    ticker: str
+    calendar: str
+    runs: dict[int, int]  # by date key
+
+    def paths(self, layers: Layers) -> list[str]:
+        return [f"{layers.fact}/run={run}/date_key={key}" for key, run in sorted(self.runs.items())]
+
+
+def _read_published(spark: SparkSession, path: str) -> Published:
+    rows = spark.read.parquet(path).collect()  # one row per day
+    return Published(rows[0]["ticker"], rows[0]["calendar"], {r["date_key"]: r["run"] for r in rows if r["date_key"] is not None})
+
+
+def published(spark: SparkSession, layers: Layers) -> Published | None:
+    path = lake.latest_snapshot(spark, layers.star)
+    return None if path is None else _read_published(spark, path)
+
+
+def _publish(spark: SparkSession, layers: Layers, state: Published) -> None:
+    """Make the state the one that readers see, by one mark, and drop facts that no kept state names."""
+    days = [*state.runs.items()] or [(None, None)]
+    rows = [(state.ticker, state.calendar, key, run) for key, run in days]
+    kinds = "ticker string, calendar string, date_key int, run int"
+    lake.write_snapshot(spark.createDataFrame(rows, kinds).coalesce(1), layers.star)
+    named = {path for other in _kept(spark, layers) for path in other.paths(layers)}
+    for run in lake.folders(spark, layers.fact):
+        folder = f"{layers.fact}/{run}"
+        days_of = [f"{folder}/{day}" for day in lake.folders(spark, folder)]
+        for path in days_of if named & set(days_of) else [folder]:
+            if path not in named:
+                lake.drop(spark, path)
+
+
+def _kept(spark: SparkSession, layers: Layers) -> list[Published]:
+    return [_read_published(spark, path) for path in lake.complete_snapshots(spark, layers.star)]
+
+
+def _facts(spark: SparkSession, layers: Layers, state: Published) -> DataFrame:
+    if not state.runs:
+        return spark.createDataFrame([], ddl(FACT))
+    stored = spark.read.schema(f"{ddl(FACT)}, run int").option("basePath", layers.fact)
+    return stored.parquet(*state.paths(layers)).select(*FACT)
 
 
 def read_star(spark: SparkSession, layers: Layers) -> Star:
-    ticker = read_dim_ticker(spark, layers)
-    if ticker is None:
-        raise FileNotFoundError(f"no complete snapshot in {layers.dim_ticker}")
-    return Star(read_fact(spark, layers), ticker, spark.read.parquet(layers.dim_date))
+    """The three tables as one run has published them, whatever another run is writing."""
+    state = published(spark, layers)
+    if state is None:
+        raise FileNotFoundError(f"no complete snapshot in {layers.star}")
+    return Star(_facts(spark, layers, state), spark.read.parquet(state.ticker), spark.read.parquet(state.calendar))
+
+
+def read_fact(spark: SparkSession, layers: Layers) -> DataFrame:
+    return read_star(spark, layers).fact
 
 
 def build_gold(
@@ -133,6 +187,9 @@ def build_gold(
     reads back, the calendar from the days of the written fact. Rows whose date is unusable stay out
     of gold and are counted as ``undated``.
 
+    Nothing that readers use is overwritten: dimension and calendar are new snapshots, the facts of rewritten
+    days go to a folder of the run. One mark then publishes the three together (``read_star``).
+
     With ``dates`` only those dates of silver are read for the attributes; the latest pair is then taken
     over all dates of the small attribute table, so a symbol that left a date falls back to what was
     seen before. Facts are refreshed for the changed dates, for days from ``run_date`` on, and for days
@@ -170,14 +227,15 @@ def build_gold(
         dimension = scd2.merge_late(existing, attrs, loads, day)
     else:
         dimension = scd2.merge(existing, attrs, day)
-    lake.write_snapshot(dimension, layers.dim_ticker)
-    dimension = read_dim_ticker(spark, layers)
+    before, kept = published(spark, layers), _kept(spark, layers)
+    ticker = lake.write_snapshot(dimension, layers.dim_ticker, {state.ticker for state in kept})
+    dimension = spark.read.parquet(ticker)
     seen_now = attrs.select("symbol", F.lit(day).alias("load_date"))
     lake.write_partitions(seen_now, layers.loads, "load_date", ["symbol"], only=[day])
 
     known = _known_key(spark, layers)
     keys, stale, sized = None, dated, None
-    if partial and known is not None:
+    if partial and known is not None and before is not None:
         opened = dimension.where(F.col("ticker_key") > known).agg(F.min("effective_from").alias("d")).first()["d"]
         since = min(filter(None, (day, opened and str(opened), _stale_since(spark, layers))))
         days = _calendar_days(spark, dates)
@@ -189,17 +247,21 @@ def build_gold(
         rows = fact_daily(stale, dimension)
         # Days before the first load have no ticker key, so measures help to tell rows apart.
         apart = ["ticker_key", "avg_close", "total_volume"]
-        fact = lake.write_partitions(rows, layers.fact, "date_key", apart, only=keys)
+        run = 1 + max((int(name.partition("=")[2]) for name in lake.folders(spark, layers.fact) if name.startswith("run=")), default=0)
+        fact = lake.write_partitions(rows, f"{layers.fact}/run={run}", "date_key", apart)
+    written = lake.folders(spark, f"{layers.fact}/run={run}")
+    runs = {} if keys is None else {k: r for k, r in before.runs.items() if str(k) not in keys}
+    runs |= {int(name.partition("=")[2]): run for name in written if name.startswith("date_key=")}
+    days = spark.createDataFrame([(str(key),) for key in runs], "key string")
+    calendar_rows = dim_date(days.select(F.to_date("key", "yyyyMMdd").alias("date")))
+    calendar = lake.write_snapshot(calendar_rows.coalesce(1), layers.dim_date, {state.calendar for state in kept})
+    _publish(spark, layers, Published(ticker, calendar, runs))
+
     top = dimension.agg(F.coalesce(F.max("ticker_key"), F.lit(0)).alias("ticker_key"))
     lake.write_snapshot(top, layers.fact_state)
     if _stale_since(spark, layers) is not None:
         _mark_stale(spark, layers, None)
-
-    in_fact = read_fact(spark, layers).select(
-        F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("date")
-    )
-    calendar = lake.write(dim_date(in_fact), layers.dim_date)
-    return {"fact_daily_prices": fact["rows"], "dim_date": calendar["rows"], "undated": undated}
+    return {"fact_daily_prices": fact["rows"], "dim_date": len(runs), "undated": undated}
 
 
 def _loads(spark: SparkSession, layers: Layers, dimension: DataFrame) -> DataFrame:

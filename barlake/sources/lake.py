@@ -175,15 +175,20 @@ def latest_snapshot(spark: SparkSession, root: str) -> str | None:
     return f"{root}/snapshot={complete[-1]}" if complete else None
 
 
-def write_snapshot(frame: DataFrame, root: str) -> str:
+def complete_snapshots(spark: SparkSession, root: str) -> list[str]:
+    """Paths of all complete snapshots, the newest last."""
+    return [f"{root}/snapshot={number}" for number, done in _snapshots(spark, root) if done]
+
+
+def write_snapshot(frame: DataFrame, root: str, held: Iterable[str] = ()) -> str:
     """Write a new snapshot next to the one ``frame`` may read from, mark it complete, and drop complete
-    ones before the last ``SNAPSHOTS_KEPT``. Readers take the newest complete one."""
+    ones before the last ``SNAPSHOTS_KEPT``, but for those ``held``. Readers take the newest complete one."""
     spark = frame.sparkSession
     taken = [number for number, _ in _snapshots(spark, root)]
     path = f"{root}/snapshot={max(taken, default=0) + 1}"
     write(frame.hint("rebalance"), path)  # the parts of a merge are many and small
     touch(spark, f"{path}/{DONE}")
-    complete = [number for number, done in _snapshots(spark, root) if done]
-    for number in complete[:-SNAPSHOTS_KEPT]:
-        drop(spark, f"{root}/snapshot={number}")
+    for old in complete_snapshots(spark, root)[:-SNAPSHOTS_KEPT]:
+        if old not in held:
+            drop(spark, old)
     return path

@@ -320,6 +320,36 @@ def test_partials_follow_late_events(spark, layers):
     assert jobs.refresh_partials(spark, layers, None, by_day) == []
 
 
+def test_readers_see_the_three_tables_together(spark, layers, monkeypatch):
+    """Between any two writes of a run, the star is the one before; after the mark it is the new one."""
+    append_bronze(spark, layers, bronze_rows(40, days=(1, 2)))
+    jobs.run_batch(spark, layers, run_date="2026-01-02", names=NAMES)
+
+    def tables(star=None):
+        star = star or jobs.read_star(spark, layers)
+        return contents(star.fact), contents(star.ticker), contents(star.calendar)
+
+    old_star, states = jobs.read_star(spark, layers), []
+    before = tables()
+    append_bronze(spark, layers, bronze_rows(40, 3, 100, "EUR", (2, 3)))
+    with monkeypatch.context() as patch:
+        for name in ("write_partitions", "write_snapshot"):
+            def writer(*args, _write=getattr(lake, name), **kwargs):
+                result = _write(*args, **kwargs)
+                states.append(tables())
+                return result
+            patch.setattr(lake, name, writer)
+        jobs.run_batch(spark, layers, run_date="2026-01-03", names=NAMES, dates=["2026-01-02", "2026-01-03"])
+    after = tables()
+    assert before != after and states[0] == before and states[-1] == after
+    turn = states.index(after)
+    assert all(state == before for state in states[:turn]) and all(state == after for state in states[turn:])
+    assert tables(old_star) == before  # who has opened the star reads it to the end
+    for day in range(4, 9):  # states that nobody needs any more go
+        jobs.run_batch(spark, layers, run_date=f"2026-01-0{day}", names=NAMES, dates=["2026-01-03"])
+    assert tables()[0] == after[0] and len(lake.folders(spark, layers.fact)) <= 5
+
+
 def quarantined(spark):
     """Six records: two that a laxer rule accepts, two that the laxest does, one broken, one without a key."""
     payload = '{"symbol":"%s","timestamp":"2026-01-0%dT00:00:00Z","open":1,"high":%s,"low":1,"close":%s,"volume":%s}'
