@@ -208,21 +208,25 @@ SQL = {
          doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
         FROM texts WINDOW same AS (PARTITION BY text)""",
     "op11_collocations": f"""
-        WITH pieces AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+        WITH pieces AS (SELECT row_number() OVER () AS piece, lang, regexp_extract_all(text, '[^\\x20\\x09]+') AS w FROM (
           SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_sql_lower("coalesce(text, '')")},
-           '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents) p),
-        met AS (SELECT lang, unnest(w) AS phrase FROM pieces
-          UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) FROM pieces
-          UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i:
-           concat(w[i], ' ', w[i + 1], ' ', w[i + 2]))) FROM pieces),
-        f AS (SELECT lang, phrase, count(*) AS a FROM met GROUP BY ALL),
-        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+           '[.,;:!?\\x0A-\\x0D]')) AS text FROM documents) p),
+        words AS MATERIALIZED (SELECT piece, lang, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM pieces),
+        runs AS MATERIALIZED (SELECT lang, word, lead(word) OVER along AS second, lead(word, 2) OVER along AS third
+          FROM words WINDOW along AS (PARTITION BY piece ORDER BY place)),
+        met AS (SELECT lang, word AS phrase FROM runs
+          UNION ALL SELECT lang, concat(word, ' ', second) FROM runs WHERE second IS NOT NULL
+          UNION ALL SELECT lang, concat(word, ' ', second, ' ', third) FROM runs WHERE third IS NOT NULL),
+        f AS MATERIALIZED (SELECT lang, phrase, count(*) AS a FROM met GROUP BY ALL),
+        totals AS (SELECT lang, count(*) AS n FROM runs GROUP BY lang),
         often AS (SELECT lang, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE a >= 10),
+        parts AS MATERIALIZED (SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+          FROM (SELECT *, unnest(range(1, len(w))) AS k FROM often WHERE len(w) > 1) o),
+        counts AS MATERIALIZED (SELECT lang, phrase, a FROM f WHERE a >= 10),
         cut AS (SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r,
            CAST(1000000::HUGEINT * c.a * c.a // (x.a::HUGEINT * y.a) AS BIGINT) AS score, c.k
-          FROM (SELECT *, unnest(range(1, len(w))) AS k FROM often WHERE len(w) > 1) c
-          JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.k], ' ')
-          JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+          FROM parts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head
+          JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail),
         lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
         inside AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer
           FROM (SELECT *, unnest([1, 2]) AS i FROM often WHERE len(w) = 3) t GROUP BY ALL),
