@@ -1,9 +1,10 @@
 """Exact duplicates through Patricia tries whose terminal nodes own groups of equal texts.
 
-Texts are dealt out by length and content hash. A partition inserts its full byte strings into one
-compressed radix trie, so texts are equal because their bytes are, not because hashes are. A terminal
-node keeps the smallest (or largest) identifier and the number of rows. When a trie outgrows its
-memory, its largest subtree goes to a file of the task and is built again, alone, at the end.
+Every text enters a trie where it is read, so copies leave a task once; what these tries own is dealt
+out by length and content hash. A partition inserts its full byte strings into one compressed radix
+trie, so texts are equal because their bytes are, not because hashes are. A terminal node keeps the
+smallest (or largest) identifier and the number of rows. When a partition's trie outgrows its memory,
+its largest subtree goes to a file of the task and is built again, alone, at the end.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ import pickle
 import tempfile
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from barlake.llm.common import Scratch, ship, without_rows
 
-#: Bytes of text that a trie holds before it spills.
+#: Bytes that a trie holds, its nodes included, before it hands on or spills.
 MEMORY = 48 << 20
-#: Hashes of repeated texts that are sent to all tasks (8 bytes each); beyond, all texts are dealt out.
-SENT = 1_000_000
+#: Bytes of a node beside its label: objects of node, children, label, owner and id.
+NODE = 400
 
 
 class Owner:
@@ -82,13 +82,23 @@ class OwnerTrie:
         if self.held > self.memory:
             self._spill()
 
+    def flush(self) -> Iterator[tuple[bytes, Owner]]:
+        """Owners of a trie that has not spilled; it is empty afterwards."""
+        root, self.root, self.held = self.root, _Node(b""), 0
+        yield from self._walk(root, b"")
+
+    def add(self, text: bytes, owner: Owner) -> bool:
+        """Insert without a spill; true if the trie has outgrown its memory and should be flushed."""
+        self._insert(text, owner)
+        return self.held > self.memory
+
     def _insert(self, text: bytes, owner: Owner) -> None:
         node, at = self.root, 0
         while at < len(text):
             child = node.children.get(text[at])
             if child is None:
                 node.children[text[at]] = _Node(text[at:], owner)
-                self.held += len(text) - at
+                self.held += len(text) - at + NODE
                 return
             if text.startswith(child.label, at):
                 node, at = child, at + len(child.label)
@@ -98,6 +108,7 @@ class OwnerTrie:
             child.label = child.label[shared:]
             fork.children[child.label[0]] = child
             node.children[fork.label[0]] = fork
+            self.held += NODE
             node, at = fork, at + shared
         if node.owner is None:
             node.owner = owner
@@ -118,7 +129,7 @@ class OwnerTrie:
         total, stack = 0, [node]
         while stack:
             node = stack.pop()
-            total += len(node.label)
+            total += len(node.label) + NODE
             stack.extend(node.children.values())
         return total
 
@@ -177,10 +188,6 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _short(text: bytes) -> int:
-    return int.from_bytes(hashlib.sha256(text).digest()[:8], "big")
-
-
 _ROWS = "n_bytes bigint, text_sha256 string, text binary, id bigint, ties bigint, rows bigint"
 
 
@@ -200,13 +207,13 @@ def _batches(rows: Iterator[tuple], limit: int = 8 << 20) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
 
 
-def _named(trie: OwnerTrie, texts: bool) -> Iterator[tuple]:
-    for text, owner in trie.owners():
+def _named(owners: Iterator[tuple[bytes, Owner]], texts: bool) -> Iterator[tuple]:
+    for text, owner in owners:
         digest = hashlib.sha256(text).hexdigest()
         yield len(text), digest, text if texts else b"", owner.id, owner.ties, owner.rows
 
 
-def exact_groups(docs: DataFrame, keep: str = "min", memory: int = MEMORY, sent: int = SENT) -> DataFrame:
+def exact_groups(docs: DataFrame, keep: str = "min", memory: int = MEMORY) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: the group of texts that equal it after lower-casing A-Z.
 
     Columns: ``doc_id``, ``keep_id`` (the group's smallest or largest id), ``group_size``, ``kept`` (true
@@ -215,13 +222,14 @@ def exact_groups(docs: DataFrame, keep: str = "min", memory: int = MEMORY, sent:
     Repeated rows are rows of their group, of which at most one is kept. Other columns are ignored; an
     empty table gives no rows. Ids are integers.
 
-    1. One pass takes length and hash of every text. Texts whose pair occurs once have no equal.
-    2. The others are inserted into a trie where they are read, so a text that a third of all rows share
-       leaves each task once; what these tries own is dealt out by length and hash and inserted again.
-    3. Owners are joined to the narrow rows, one owner per group on one side.
+    1. One pass takes length and hash of every text; these narrow rows are stored.
+    2. Every text is inserted into a trie where it is read. A trie that is full hands on what it owns and
+       starts anew, so a text that a third of all rows share leaves a task once per full trie.
+    3. What these tries own is dealt out by length and hash and inserted again; each distinct text ends in
+       one terminal node.
+    4. Owners are joined to the narrow rows, one owner per group on one side.
 
-    If there are more than ``sent`` repeated texts, step 2 takes all texts instead of sending their hashes
-    to every task. Two texts with the same length and SHA-256 that differ stop the job.
+    The plan is the same at every size. Two texts with the same length and SHA-256 that differ stop the job.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -232,20 +240,12 @@ def exact_groups(docs: DataFrame, keep: str = "min", memory: int = MEMORY, sent:
     rows = raw.mapInArrow(_digests, "doc_id bigint, n_bytes bigint, text_sha256 string")
     rows = scratch.save(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
-    repeated = rows.groupBy("n_bytes", "text_sha256").count().where("count > 1").select("text_sha256")
-    repeated = scratch.save(repeated.distinct(), "repeated")
-    wanted = None
-    if repeated.count() <= sent:
-        found = repeated.select(F.substr("text_sha256", F.lit(1), F.lit(16)).alias("h")).toArrow()["h"]
-        wanted = spark.sparkContext.broadcast(np.sort(np.array([int(h, 16) for h in found.to_pylist()], np.uint64)))
-    owners = _owners(raw, keep, memory, wanted)
+    owners = _owners(raw, keep, memory)
     owners = scratch.save(owners, "owners")
 
     # keep_id may stand in several rows of its group; then the first of them is kept.
     keys = ["n_bytes", "text_sha256"]
-    joined = rows.join(owners, keys, "left")
-    keep_id = F.when(F.col("rows").isNull(), F.col("doc_id")).otherwise(F.col("id"))
-    result = joined.withColumn("keep_id", keep_id)
+    result = rows.join(owners.withColumnRenamed("id", "keep_id"), keys)
     carries = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     tied = owners.where("ties > 1")
     if tied.isEmpty():
@@ -255,36 +255,26 @@ def exact_groups(docs: DataFrame, keep: str = "min", memory: int = MEMORY, sent:
         firsts = firsts.groupBy(*keys).agg(F.min("_row").alias("_first"))
         result = result.join(firsts, keys, "left")
         result = result.withColumn("kept", carries & F.coalesce(F.col("_row") == F.col("_first"), F.lit(True)))
-    return result.select(
-        "doc_id", "keep_id", F.coalesce("rows", F.lit(1)).cast("bigint").alias("group_size"), "kept", "text_sha256"
-    )
+    return result.select("doc_id", "keep_id", F.col("rows").alias("group_size"), "kept", "text_sha256")
 
 
-def _owners(raw: DataFrame, keep: str, memory: int, wanted) -> DataFrame:
+def _owners(raw: DataFrame, keep: str, memory: int) -> DataFrame:
     """``(n_bytes, text_sha256, id, ties, rows)`` of the distinct texts, through two levels of tries."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = OwnerTrie(keep, memory)
-        known = None if wanted is None else wanted.value
         for batch in batches:
-            picked = np.arange(batch.num_rows)
-            if known is not None and len(known):
-                short = np.array([_short(text.as_py().lower()) for text in batch.column(1)], np.uint64)
-                place = np.minimum(np.searchsorted(known, short), len(known) - 1)
-                picked = picked[known[place] == short]
-            elif known is not None:
-                continue
-            for i in picked.tolist():
-                trie.insert(batch.column(1)[i].as_py().lower(), Owner(batch.column(0)[i].as_py(), 1, 1))
-        yield from _batches(_named(trie, texts=True))
+            for id, text in zip(batch.column(0), batch.column(1)):
+                if trie.add(text.as_py().lower(), Owner(id.as_py(), 1, 1)):
+                    yield from _batches(_named(trie.flush(), texts=True))
+        yield from _batches(_named(trie.flush(), texts=True))
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = OwnerTrie(keep, memory)
         for batch in batches:
-            part = batch.to_pydict()
-            for text, id, ties, rows in zip(part["text"], part["id"], part["ties"], part["rows"]):
-                trie.insert(text, Owner(id, ties, rows))
-        yield from _batches(_named(trie, texts=False))
+            for text, *owner in zip(*(batch.column(name) for name in ("text", "id", "ties", "rows"))):
+                trie.insert(text.as_py(), Owner(*(value.as_py() for value in owner)))
+        yield from _batches(_named(trie.owners(), texts=False))
 
     dealt = raw.mapInArrow(local, _ROWS).repartition("n_bytes", "text_sha256")
     owners = dealt.mapInArrow(merged, _ROWS).drop("text")

@@ -1,12 +1,13 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 import xxhash
 
 from barlake.llm import simhash
-from barlake.llm.trie_dedup import Owner, OwnerTrie, exact_groups, kept_documents
+from barlake.llm.trie_dedup import Owner, OwnerTrie, _owners, exact_groups, kept_documents
 from pyspark.sql import functions as F
 
 
@@ -25,11 +26,11 @@ def brute_groups(rows, keep):
     return sorted(map(str, out))
 
 
-@pytest.mark.parametrize("sent", [1000, 0])
+@pytest.mark.parametrize("memory", [1000, 1 << 20])
 @pytest.mark.parametrize("keep", ["min", "max"])
-def test_exact_groups(odd, keep, sent):
+def test_exact_groups(odd, keep, memory):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
-    got = exact_groups(odd.repartition(3), keep, memory=1000, sent=sent).collect()
+    got = exact_groups(odd.repartition(3), keep, memory=memory).collect()
     assert sorted(str((r.doc_id, r.keep_id, r.group_size, r.text_sha256)) for r in got) == brute_groups(rows, {"min": min, "max": max}[keep])
     kept = [r for r in got if r.kept]
     assert len(kept) == len({normal(t) for _, t in rows}) and all(r.doc_id == r.keep_id for r in kept)
@@ -55,6 +56,40 @@ def test_trie_spills_and_equals_a_dictionary():
         assert bool(trie.spilled) == (memory < 1 << 20)
 
 
+def test_many_short_texts_stay_within_their_memory():
+    """Labels are the smaller part of such a trie: its nodes count as well."""
+    trie, limit = OwnerTrie("min", 8 << 20), 8 << 20
+    tracemalloc.start()
+    for i in range(120_000):
+        trie.insert(hashlib.sha256(b"%d" % (i % 100_000)).digest()[:16], Owner(i, 1, 1))
+        if i % 5000 == 0:
+            assert tracemalloc.get_traced_memory()[0] < 1.5 * limit
+    tracemalloc.stop()
+    owners = list(trie.owners())
+    assert trie.spilled and len(owners) == 100_000
+    assert sum(o.rows for _, o in owners) == 120_000 and {o.id for _, o in owners} == set(range(100_000))
+
+
+def test_a_full_local_trie_hands_on_and_starts_anew():
+    trie, found = OwnerTrie("max", 2000), {}
+    for i in range(200):
+        if trie.add(b"text %d" % (i % 40), Owner(i, 1, 1)):
+            for text, owner in trie.flush():
+                found.setdefault(text, []).append(owner)
+            assert trie.held == 0
+    for text, owner in trie.flush():
+        found.setdefault(text, []).append(owner)
+    assert not trie.spilled and len(found) == 40
+    assert all(sum(o.rows for o in own) == 5 for own in found.values())
+
+
+def test_every_text_goes_through_the_tries(documents):
+    """Also texts that occur once."""
+    docs = documents(*((i, f"text {i % 30}") for i in range(40)))
+    owners = _owners(docs.selectExpr("doc_id", "CAST(text AS BINARY) AS text"), "min", 1 << 20).collect()
+    assert len(owners) == 30 and sum(o["rows"] for o in owners) == 40
+
+
 def brute_print(text, words):
     tokens = normal(text).split()
     if not tokens:
