@@ -15,6 +15,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ _UNITS = ("text", "paragraph", "line", "window")
 #: Bigrams of the smallest template that windows are compared with, and of the smallest that a window may be
 #: shorter than: a piece of a short one can end before the word that tells the licence.
 LEAST_WINDOW, LONG = 3, 16
+#: Windows times hits that are compared at once.
+CELLS = 1 << 20
 
 FOUND = "license string, dice double, unit string, first_char bigint, last_char bigint, passage string"
 
@@ -104,34 +107,62 @@ class Scanner:
             if end >= 0:
                 yield i, found[start:end + 1]
 
-    def windows(self, template: int, hits: Sequence[tuple[int, tuple[str, str]]], bigrams: int) -> Iterator[tuple[float, int, int]]:
-        """``(dice, first, last)``: for each hit the best window of the text's ``bigrams`` that begins with
-        it, as places of its first and last bigram."""
+    def windows(self, template: int, hits: Sequence[tuple[int, tuple[str, str]]], bigrams: int) -> tuple[np.ndarray, ...]:
+        """``(dice, first, last)``: for each hit the best window of the text's ``bigrams`` that begins with it and
+        matches, as places of its first and last bigram.
+
+        A hit counts in a window unless the template's number of its bigram is used up, that is, if as many
+        hits earlier the same bigram stands before the window's start.
+        """
         size, grams = self.sizes[template], self.grams[template]
-        widest = size / self.bound + 1e-9
-        for k, (first, _) in enumerate(hits):
-            inside, shared, best = Counter(), 0, None
-            for last, gram in hits[k:]:
-                if last - first + 1 > widest:
-                    break
-                inside[gram] += 1
-                if inside[gram] > grams[gram]:
-                    continue
-                shared += 1
-                wide = last - first + 1 if size >= LONG else max(size, last - first + 1)
-                dice = 2 * shared / (wide + size)
-                if dice >= self.least and (best is None or dice > best[0]):
-                    best = (dice, first, last, wide)
-            if best:
-                dice, first, last, wide = best
-                last = max(last, min(first + wide, bigrams) - 1)
-                first = min(first, last - wide + 1)
-                if first >= 0:
-                    yield dice, first, last
+        at = np.array([place for place, _ in hits])
+        used_up, seen = np.empty(len(hits), np.int64), {}
+        for j, (_, gram) in enumerate(hits):
+            own = seen.setdefault(gram, [])
+            used_up[j] = own[-grams[gram]] if len(own) >= grams[gram] else -1
+            own.append(j)
+        ends = np.searchsorted(at, at + int(size / self.bound + 1e-9) - 1, "right")
+        most = int((ends - np.arange(len(hits))).max())
+        found = []
+        for start in range(0, len(hits), max(1, CELLS // most)):
+            k = np.arange(start, min(len(hits), start + max(1, CELLS // most)))
+            j = k[:, None] + np.arange(most)
+            inside = j < ends[k, None]
+            j = np.minimum(j, len(hits) - 1)
+            shared = np.cumsum(inside & (used_up[j] < k[:, None]), axis=1)
+            wide = at[j] - at[k, None] + 1
+            if size < LONG:
+                wide = np.maximum(wide, size)
+            dice = np.where(inside, 2 * shared / (wide + size), -1.0)
+            best = np.argmax(dice, axis=1)
+            rows = np.flatnonzero(dice[np.arange(len(k)), best] >= self.least)
+            best, wide = best[rows], wide[rows, best[rows]]
+            first = at[k[rows]]
+            last = np.maximum(at[j[rows, best]], np.minimum(first + wide, bigrams) - 1)
+            first = np.minimum(first, last - wide + 1)
+            found.append((dice[rows, best], first, last))
+        dice, first, last = (np.concatenate(parts) for parts in zip(*found))
+        return dice[first >= 0], first[first >= 0], last[first >= 0]
+
+    def apart(self, template: int, hits: Sequence[tuple[int, tuple[str, str]]], places: Sequence[tuple[int, int]]) -> Iterator[tuple[float, int, int]]:
+        """``(dice, first_char, last_char)`` of windows that do not overlap, the best first, the largest of equals."""
+        dice, first, last = self.windows(template, hits, len(places) - 1)
+        if not len(dice):
+            return
+        spans = np.array([(places[i][0], places[j + 1][1]) for i, j in zip(first.tolist(), last.tolist())])
+        base = int(first.min())
+        taken = bytearray(int(last.max()) + 2 - base)  # words
+        for i in np.lexsort((spans[:, 0], spans[:, 0] - spans[:, 1], -dice)).tolist():
+            a, b = int(first[i]) - base, int(last[i]) + 2 - base
+            if taken.find(1, a, b) < 0:
+                taken[a:b] = b"\1" * (b - a)
+                yield float(dice[i]), int(spans[i, 0]), int(spans[i, 1])
 
     def scan(self, text: str) -> Iterator[tuple[str, float, str, int, int]]:
         """``(license, dice, unit, first, last)`` of the units that match, in their order. Units lie
-        within each other; of those that match and do, the best one stays, the largest of equals."""
+        within each other; of those that match and do, the best one stays, the largest of equals. Windows of
+        one template are set apart among themselves first, so time grows with the text also if a notice
+        stands in it thousands of times."""
         lowered = text.lower()
         if len(lowered) != len(text):  # a letter whose lower case is longer
             lowered = "".join(c.lower()[0] for c in text)
@@ -144,8 +175,7 @@ class Scanner:
             places = [m.span() for m in _WORD.finditer(lowered)]
             for i, hits in clusters:
                 if self.sizes[i] >= LEAST_WINDOW:
-                    for dice, first, last in self.windows(i, hits, len(words) - 1):
-                        matches.append((self.names[i], dice, "window", places[first][0], places[last + 1][1]))
+                    matches += ((self.names[i], dice, "window", *span) for dice, *span in self.apart(i, hits, places))
         spans = [("text", 0, len(text))]
         start = 0
         for gap in _PARAGRAPH.finditer(text):

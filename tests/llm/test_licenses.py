@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -131,3 +132,15 @@ def test_windows_equal_brute_force():
         )
         got = [m[1] for m in scanner.scan(text)]
         assert (max(got) if got else 0) == (best if best >= 0.8 else 0)
+
+
+@pytest.mark.parametrize("gap", [" ", "\n"])
+def test_a_notice_thousands_of_times(gap):
+    """Each of them is found, in time that grows with the text."""
+    notice, times = "Licensed under the Apache License, Version 2.0.", 4_000
+    scanner, started = Scanner(TEMPLATES, 0.8), time.process_time()
+    got = list(scanner.scan((notice + gap) * times))
+    assert len(got) == times and {m[0] for m in got} == {"Apache-2.0"}
+    assert time.process_time() - started < 60
+    header = " ".join(max((t for texts in TEMPLATES.values() for t in texts), key=len).split()) + gap
+    assert len(list(scanner.scan(header * 300))) == 300
