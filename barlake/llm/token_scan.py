@@ -25,16 +25,20 @@ from barlake.llm.pieces import codec
 WIDTHS = {2: "<u2", 4: "<u4"}
 
 
-#: Documents of a token file, unless its partition ends before: what a task reads as one value.
-DOCS_PER_FILE = 4096
+#: A token file is closed at so many documents, or behind the one that fills so many bytes: a task reads it as
+#: one value.
+DOCS_PER_FILE, BYTES_PER_FILE = 4096, 32 << 20
 
 
 def write_token_files(docs: DataFrame, path: str, model_path: str, width: int = 2, batch: int = 256) -> int:
-    """Write the texts of ``docs(text)`` as flat token files, ``DOCS_PER_FILE`` documents each; returns
-    the end-of-document id, which the model must have and no text can hold.
-
-    The text writer puts its line separator behind each row; here a row is a document's ids as bytes,
-    and the separator is the end-of-document id. A null text is a document without tokens.
+    """Write the texts of ``docs(text)`` as flat token files of ``DOCS_PER_FILE`` documents or somewhat
+    over ``BYTES_PER_FILE`` bytes, whichever comes first; returns the end-of-document id, which the model
+    must have and no text can hold.
+
+    The text writer puts its line separator behind each row and a row into a file of its own; here a row
+    is the ids of a file's documents as bytes, with the end-of-document id between them, and the separator is
+    that id too. A null text is a document without tokens. A long document closes its file, so a file's
+    size is bounded by that of the longest document and ``BYTES_PER_FILE`` together.
     """
     import sentencepiece
 
@@ -46,22 +50,33 @@ def write_token_files(docs: DataFrame, path: str, model_path: str, width: int =
     if not 0 <= end < 128:
         raise ValueError("the end-of-document id must exist and be below 128")
     model = spark.sparkContext.broadcast(raw)
+    most_docs, most_bytes, mark = DOCS_PER_FILE, BYTES_PER_FILE, end.to_bytes(width, "little")
     rows = docs.select(F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model.value)
         if len(own.pieces) > 1 << (8 * width):
             raise ValueError("ids need more bytes")
+
+        def closed(held: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([mark.join(held)], pa.binary())], ["tokens"])
+
+        held, size = [], 0
         for whole in batches:
             for start in range(0, whole.num_rows, batch):
                 texts = [t.decode("utf-8", "replace") for t in whole.slice(start, batch).column(0).to_pylist()]
-                flat = [np.frombuffer(ids, "<i4").astype(WIDTHS[width]).tobytes() for ids in own.encode(texts)]
-                yield pa.RecordBatch.from_arrays([pa.array(flat, pa.binary())], ["tokens"])
+                for ids in own.encode(texts):
+                    held.append(np.frombuffer(ids, "<i4").astype(WIDTHS[width]).tobytes())
+                    size += len(held[-1]) + width
+                    if len(held) >= most_docs or size >= most_bytes:
+                        yield closed(held)
+                        held, size = [], 0
+        if held:
+            yield closed(held)
 
     tokens = rows.mapInArrow(work, "tokens binary")
-    mark = end.to_bytes(width, "little").decode("ascii")
     writer = tokens.select(F.col("tokens").cast("string").alias("value")).write
-    writer.option("lineSep", mark).option("maxRecordsPerFile", DOCS_PER_FILE).text(path)
+    writer.option("lineSep", mark.decode("ascii")).option("maxRecordsPerFile", 1).text(path)
     return end
 
 
@@ -180,8 +195,12 @@ def document_token_counts(docs: DataFrame, model_path: str, width: int = 2) -> D
         end = write_token_files(docs, scratch.path("tokens"), model_path, width)
         ids = scratch.save(docs.select("doc_id", place.alias("_place")), "ids")
     counts = count_tokens(spark, scratch.path("tokens"), end, width)
-    part, nth_file = file_place(F.col("file"))  # the files of a partition follow each other
-    counts = counts.withColumn("part", part).withColumn("row", nth_file * DOCS_PER_FILE + F.col("doc_no"))
+    scratch.drop("tokens")  # the counts are stored
+    part, nth_file = file_place(F.col("file"))
+    # The files of a partition follow each other; a partition is what one task read.
+    along = W.partitionBy("part").orderBy("nth_file", "doc_no")
+    counts = counts.withColumn("part", part).withColumn("nth_file", nth_file)
+    counts = counts.withColumn("row", F.row_number().over(along) - 1)
     ids = ids.select(
         "doc_id", F.shiftright("_place", 33).alias("part"), F.col("_place").bitwiseAND((1 << 33) - 1).alias("row")
     )

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -77,3 +78,32 @@ def test_long_texts_in_chunks():
 def test_understood_without_labels_keeps_texts_with_letters(documents):
     rows = [(2, "some words"), (3, "漢字漢字"), (4, None), (5, "77 !"), (6, "")]
     assert {r.doc_id for r in understood(documents(*rows)).collect()} == {2, 3}
+
+
+def plain_trigrams(text):
+    lowered = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    words = " " + " ".join(lowered.split()) + " "
+    return [words[i:i + 3] for i in range(len(words) - 2)] if words.strip() else []
+
+
+def place(gram):
+    value = sum(ord(c) << 21 * i for i, c in enumerate(gram))
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
+def test_equals_plain_sets(documents):
+    """Language and score of every document against sets of trigrams, learned and looked up in plain Python."""
+    docs = corpus(documents, 400)
+    rows = docs.collect()
+    counts = {}
+    for r in rows:
+        if zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            counts.setdefault(r.lang, Counter()).update(plain_trigrams(r.text))
+    sets = {lang: set(sorted(n, key=lambda g: (-n[g], place(g)))[:60]) for lang, n in counts.items()}
+    got = {r.doc_id: r for r in identify(docs, grams_per_language=60).collect()}
+    for r in rows:
+        grams = plain_trigrams(r.text)
+        shares = {lang: sum(g in own for g in grams) / len(grams) for lang, own in sets.items()}
+        best = min(shares, key=lambda lang: (-shares[lang], lang))
+        assert got[r.doc_id].lang_pred == best and abs(got[r.doc_id].score - shares[best]) < 0.02
+    assert len({got[r.doc_id].lang_pred for r in rows}) == 3

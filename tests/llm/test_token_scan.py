@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -66,3 +67,22 @@ def test_counts_do_not_depend_on_later_splits(spark, tmp_path, monkeypatch):
         assert {r.doc_id: r.n_tokens for r in got.collect()} == want
     for name in conf:
         spark.conf.unset(name)
+
+
+def test_files_are_closed_by_bytes(spark, tmp_path, monkeypatch):
+    """Long documents, and the empty ones between them, stand in files of bounded size; the files go."""
+    monkeypatch.setattr(token_scan, "BYTES_PER_FILE", 3000)
+    texts = ["word " * (2000 if i % 7 == 3 else i % 5 * 10) for i in range(120)] + [None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows.coalesce(2).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    token_scan.document_token_counts(docs.limit(0), model_path())  # names the shared folder
+    end = token_scan.write_token_files(docs, f"{tmp_path}/tokens", model_path())
+    sizes = [f.stat().st_size for f in (tmp_path / "tokens").glob("part-*")]
+    longest = 2 * max(len(LIBRARY.encode(t or "")) + 1 for t in texts)
+    assert end == LIBRARY.eos_id() and len(sizes) > 10 and max(sizes) < 3000 + longest
+    shared = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(shared.glob("token-files-*/tokens"))
+    got = token_scan.document_token_counts(docs, model_path()).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(LIBRARY.encode(t or "")) for i, t in enumerate(texts)}
+    assert len({r.file for r in got}) == len(sizes) and set(shared.glob("token-files-*/tokens")) == before
