@@ -15,6 +15,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Samples of a task, on average, copies for other chunks not counted. Adaptive execution would size tasks by their
+#: shuffled bytes, of which the sorts and windows hold some hundred times as much.
+TASK_SAMPLES = 50_000
+
 
 def _ticks(samples: DataFrame, ts: str) -> tuple[Column, int]:
     """Time as an integer and the number of its units per second."""
@@ -39,8 +43,10 @@ def _chunked(
 
     Adds ``_t`` (time), ``_chunk`` and ``_own``. Rows with ``_own = false`` are context for the
     chunk: copies of the last ``window`` of the chunk before, and the one sample before those.
-    Returns the frame and the columns that order a chunk.
+    Samples are counted and laid out by chunk in as many tasks as their number asks for, so that a task's memory
+    does not grow with them. Returns the frame and the columns that order a chunk.
     """
+    tasks = max(1, -(-samples.count() // TASK_SAMPLES))
     order = ["_t", *([tie] if tie else []), value]
     time = F.col("_t")
     timed = samples.where(F.col(value).isNotNull() & ~F.isnan(value))  # NaN marks a series as gone
@@ -66,7 +72,8 @@ def _chunked(
         spread = spread.drop("_chunk").withColumnRenamed("_place", "_chunk")
     else:
         spread = timed.withColumn("_own", F.lit(True))
-    return spread.unionByName(carried, allowMissingColumns=True), order
+    together = spread.unionByName(carried, allowMissingColumns=True)
+    return together.repartition(tasks, *by, "_chunk"), order
 
 
 def _with_delta(spread: DataFrame, by: Sequence[str], order: Sequence[str], value: str) -> DataFrame:

@@ -131,6 +131,18 @@ def test_one_exchange_for_all_windows(spark, plan_of):
     assert "_block" not in "".join(line for line in executed.splitlines() if "Exchange hashpartitioning" in line)
 
 
+def test_tasks_follow_the_number_of_samples(spark, monkeypatch):
+    """However little they hold in bytes, the windows' tasks are not merged into larger ones."""
+    monkeypatch.setattr(counters, "TASK_SAMPLES", 100)
+    rows = random_samples(11, 1_000, 400_000)
+    frame = spark.createDataFrame(rows, SAMPLES)
+    for got in (counter_rate(frame, ["symbol"], 60, tie="id"), increases(frame, ["symbol"], tie="id")):
+        got.collect()  # adaptive execution settles the number
+        assert got.rdd.getNumPartitions() == 10
+    _, rate = brute_force(rows, 60)
+    assert {r.id: r.rate for r in counter_rate(frame, ["symbol"], 60, tie="id").collect()} == rate
+
+
 def test_chunk_shorter_than_window_is_refused(spark):
     frame = spark.createDataFrame([("A", 1, 1, 1.0)], SAMPLES)
     with pytest.raises(ValueError):
