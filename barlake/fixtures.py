@@ -13,8 +13,8 @@ from barlake.operators import scd2
 from barlake.operators.calendar import dim_date
 from barlake.operators.dedup import clean
 from barlake.operators.facts import fact_daily
-from barlake.operators.tickers import current_attrs
-from barlake.operators.validation import split_valid, to_envelope, validate
+from barlake.operators.tickers import current_attrs, latest_attrs, seen_attrs
+from barlake.operators.validation import split_valid, to_envelope, validate, with_date, with_fields
 from barlake.plans.analytics import Star
 from barlake.schemas import EVENT
 from barlake.session import ensure_checkpoint_dir, store
@@ -227,8 +227,15 @@ def checked(spark: SparkSession, sf_dir: str, text: str = QUOTES) -> DataFrame:
     return validate(to_envelope(event_log(spark, sf_dir, text), F.col("arrived")))
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(split_valid(checked(spark, sf_dir)))
+def silver(spark: SparkSession, sf_dir: str, text: str = QUOTES) -> DataFrame:
+    """Silver with all columns. The fields follow from the payload, so the dedup carries the payload alone."""
+    log = to_envelope(event_log(spark, sf_dir, text), F.col("arrived"))
+    return with_date(with_fields(clean(split_valid(validate(log)), log.columns)))
+
+
+def silver_bars(spark: SparkSession, sf_dir: str, *columns: str, text: str = QUOTES) -> DataFrame:
+    """Some columns of silver, ``timestamp`` among them, and the date."""
+    return with_date(clean(split_valid(checked(spark, sf_dir, text)), columns))
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,7 +245,7 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star(spark: SparkSession, sf_dir: str) -> Star:
     """The star tables. Silver feeds two of them, so it is stored first, as the batch job does."""
     ensure_checkpoint_dir(spark)
-    rows = silver(spark, sf_dir).select("symbol", "date", "high", "low", "close", "volume")
+    rows = silver_bars(spark, sf_dir, "symbol", "timestamp", "high", "low", "close", "volume")
     rows, versions = rows.checkpoint(), derive(spark, sf_dir, VERSIONS)
     return Star(fact_daily(rows, versions), versions, dim_date(rows))
 
@@ -246,12 +253,15 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
 FIRST_LOAD, SECOND_LOAD = "2024-01-08", "2024-01-20"
 
 
+#: What a star with its own dimension needs of silver.
+STAR_COLUMNS = ("symbol", "timestamp", "high", "low", "close", "volume", "currency", "source")
+
+
 def derived_star(spark: SparkSession, sf_dir: str) -> Star:
     """The star whose ticker dimension comes from the same silver as the fact, loaded on two days: the
     first load sees events up to the middle of January, the second one all of them."""
     ensure_checkpoint_dir(spark)
-    rows = silver(spark, sf_dir)
-    rows = rows.select("symbol", "date", "timestamp", "high", "low", "close", "volume", "currency", "source").checkpoint()
+    rows = silver_bars(spark, sf_dir, *STAR_COLUMNS).checkpoint()
     names = derive(spark, sf_dir, SYMBOL_NAMES)
     early = current_attrs(rows.where("date < '2024-01-16'"), names).checkpoint()
     first = scd2.initial(early, FIRST_LOAD).checkpoint()
@@ -263,18 +273,26 @@ def derived_star(spark: SparkSession, sf_dir: str) -> Star:
 WIDE_LOADS = (("1997-01-01", "1997-01-02"), ("1999-07-01", "1999-07-02"), (None, "2000-06-01"))
 
 
+def first_load() -> Column:
+    """Place in ``WIDE_LOADS`` of the first load that sees a row; the last one sees all."""
+    loads = [F.when(F.col("date") < before, i) for i, (before, _) in enumerate(WIDE_LOADS[:-1])]
+    return F.coalesce(*loads, F.lit(len(WIDE_LOADS) - 1))
+
+
 def wide_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(split_valid(checked(spark, sf_dir, WIDE_QUOTES)))
+    return silver(spark, sf_dir, WIDE_QUOTES)
 
 
 def wide_star(spark: SparkSession, sf_dir: str) -> Star:
-    """The star of all order lines, with a dimension of all parts that three loads of the same silver leave."""
-    rows = wide_silver(spark, sf_dir)
-    rows = store(rows.select("symbol", "date", "timestamp", "high", "low", "close", "volume", "currency", "source"))
+    """The star of all order lines, with a dimension of all parts that three loads of the same silver leave.
+
+    Each load sees what the one before saw and more. What they see is aggregated in one pass, by the first load
+    that sees it."""
+    rows = store(silver_bars(spark, sf_dir, *STAR_COLUMNS, text=WIDE_QUOTES))
+    seen = store(seen_attrs(rows.withColumn("_load", first_load()), "_load"))
     names, versions = derive(spark, sf_dir, WIDE_NAMES), None
-    for before, day in WIDE_LOADS:
-        seen = rows if before is None else rows.where(F.col("date") < before)
-        attrs = store(current_attrs(seen, names))
+    for i, (_, day) in enumerate(WIDE_LOADS):
+        attrs = store(latest_attrs(seen.where(F.col("_load") <= i), names))
         versions = store(scd2.initial(attrs, day) if versions is None else scd2.merge(versions, attrs, day))
     return Star(fact_daily(rows, versions), versions, dim_date(rows))
 

@@ -29,9 +29,14 @@ def newest(rows: DataFrame) -> DataFrame:
     return kept.select(*[F.col(c if c in NATURAL_KEY else f"_row.{c}").alias(c) for c in rows.columns])
 
 
-def clean(bronze: DataFrame) -> DataFrame:
+def clean(bronze: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
     """Latest version per ``(symbol, timestamp)``, then positive closes only.
 
-    The price test comes after: if the newest version is bad the key disappears.
+    The price test comes after: if the newest version is bad the key disappears. ``keep`` names the columns of the
+    result. Rows are sorted on both sides of the shuffle with all they carry, so columns that nobody asks for, or
+    that follow from others, should not be among them.
     """
-    return newest(bronze).where("close > 0")
+    if keep is None:
+        return newest(bronze).where("close > 0")
+    needed = {*keep, *NATURAL_KEY, "close", "bronze_ingested_at", "kafka_offset", "kafka_partition"}
+    return newest(bronze.select(*[c for c in bronze.columns if c in needed])).where("close > 0").select(*keep)

@@ -89,10 +89,19 @@ def validate(
     return events.withColumn("error_reason", reason(F.col("_broken"))).drop("_broken")
 
 
+def with_date(events: DataFrame) -> DataFrame:
+    """Events with their date: the first ten characters of the time."""
+    return events.withColumn("date", F.substring("timestamp", 1, 10))
+
+
+def with_fields(envelope: DataFrame) -> DataFrame:
+    """The contract fields of payloads that have passed ``validate``, parsed once more instead of carried along."""
+    return _parsed(envelope).select(*envelope.columns, "_event.*")
+
+
 def split_valid(checked: DataFrame) -> DataFrame:
-    """Bronze rows: valid events with their event date (the first ten characters of the time)."""
-    valid = checked.where("error_reason = ''").drop("error_reason")
-    return valid.withColumn("date", F.substring("timestamp", 1, 10))
+    """Bronze rows: valid events with their event date."""
+    return with_date(checked.where("error_reason = ''").drop("error_reason"))
 
 
 def split_quarantine(checked: DataFrame) -> DataFrame:
