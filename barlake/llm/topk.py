@@ -23,6 +23,9 @@ from barlake.llm.common import Scratch, ship
 #: Rows of an index block and of a query batch, on average: what one task holds at a time.
 BLOCK, BATCH = 8192, 1024
 
+#: Tasks of a search at most: beyond, a task has several blocks.
+MOST_TASKS = 10_000
+
 _PACKED = "ids binary, matrix binary, dims int"
 
 
@@ -183,7 +186,8 @@ def top_k(
     Repeated candidates count each; a query repeated with the same vector is asked once.
 
     Every block meets every batch in a task that holds one of each, so memory does not grow with the
-    input; the result of a pair is ``k`` rows per query, and the best of all are ranked by Spark.
+    input, neither a task's nor the driver's; the result of a pair is ``k`` rows per query, and the best
+    of all are ranked by Spark.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -201,8 +205,12 @@ def top_k(
         F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.col("dims").alias("q_dims"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
     )
-    # A row is a block and a batch of up to some MB: pairs are handed over one at a time.
-    pairs = index.join(batches, "block").select("block", "ids", "matrix", "dims", "q_ids", "q_matrix", "q_dims")
+    # Copies of batches are many times as large as Spark estimates from the rows they are packed from, so they are
+    # never broadcast. A task has a block on average: by shuffled bytes it would have the work of many. A row is a
+    # block and a batch of up to some MB: pairs are handed over one at a time, and the join holds one block.
+    tasks = min(blocks, MOST_TASKS)
+    laid = batches.repartition(tasks, "block").join(index.repartition(tasks, "block").hint("merge"), "block")
+    pairs = laid.select("block", "ids", "matrix", "dims", "q_ids", "q_matrix", "q_dims")
     found = pairs.mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")
     best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

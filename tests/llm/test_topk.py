@@ -56,3 +56,14 @@ def test_segments_fall_in_impact():
         last = np.abs(impacts).min()
         total[rows, dims] += impacts
     assert (total == matrix).all() and (segments.left[-1] == 0).all()
+
+
+def test_pairs_are_never_broadcast(spark, plan_of):
+    """Every block has a copy of every batch: many times what they are packed from, by which Spark would choose."""
+    rows = [(i, [float(i % 7), 1.0]) for i in range(300)]
+    frame = spark.createDataFrame([(*r, "x", "x", 0) for r in rows], SCHEMA)
+    found = top_k(frame, frame, 3, block=16, batch=16)
+    planned = plan_of(found)
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, lambda i: True, 3)
+    for plan in (planned, plan_of(found)):
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
