@@ -125,9 +125,10 @@ def count_tokens(
 
     # Prefix scan. A block without a mark hands on what it was handed, plus itself: the tokens carried
     # are a running sum that starts anew behind every block with a mark.
-    tails = pieces.where("nth = closed").select("file", "block", "closed", F.col("tokens").alias("tail"))
-    sizes = pieces.groupBy("file", "block").agg((F.sum("tokens") + F.max("closed")).alias("size"))
-    summary = tails.join(sizes, ["file", "block"])
+    tail = F.max(F.when(F.col("nth") == F.col("closed"), F.col("tokens")))
+    summary = pieces.groupBy("file", "block").agg(
+        F.max("closed").alias("closed"), tail.alias("tail"), (F.sum("tokens") + F.max("closed")).alias("size")
+    )
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     closed_before = F.coalesce(F.sum("closed").over(before), F.lit(0))
     summary = summary.withColumn("docs_before", closed_before)
@@ -141,7 +142,8 @@ def count_tokens(
     final = F.row_number().over(W.partitionBy("file").orderBy(F.col("block").desc())) == 1
     summary = summary.withColumn("carried", carried).withColumn("final", final)
 
-    joined = pieces.drop("closed").join(summary, ["file", "block"])
+    # The pieces are a row per document, but a few bytes each as stored: by these Spark would broadcast them.
+    joined = pieces.drop("closed").hint("merge").join(summary, ["file", "block"])
     whole = F.col("tokens") + F.when(F.col("nth") == 0, F.col("carried")).otherwise(0)
     inner = F.sum(F.col("tokens") + 1).over(
         W.partitionBy("file", "block").orderBy("nth").rowsBetween(W.unboundedPreceding, -1)

@@ -86,3 +86,14 @@ def test_files_are_closed_by_bytes(spark, tmp_path, monkeypatch):
     got = token_scan.document_token_counts(docs, model_path()).collect()
     assert {r.doc_id: r.n_tokens for r in got} == {i: len(LIBRARY.encode(t or "")) for i, t in enumerate(texts)}
     assert len({r.file for r in got}) == len(sizes) and set(shared.glob("token-files-*/tokens")) == before
+
+
+def test_pieces_are_never_broadcast(spark, plan_of, tmp_path):
+    """A row per document, stored in so few bytes that Spark would choose to."""
+    for name in "abc":
+        (tmp_path / name).write_bytes(np.array([5, 2] * 4000, "<u2").tobytes())
+    found = token_scan.count_tokens(spark, str(tmp_path), 2, block_tokens=1000)
+    planned = plan_of(found)
+    assert [(r.n_tokens, r.first_token - 2 * r.doc_no) for r in found.collect()] == [(1, 0)] * 12000
+    for plan in (planned, plan_of(found)):
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
