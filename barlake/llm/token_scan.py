@@ -208,6 +208,7 @@ def document_token_counts(docs: DataFrame, model_path: str, width: int = 2) -> D
     )
     file_name = F.regexp_extract("file", r"([^/]*)$", 1).alias("file")
     counted = F.coalesce("n_tokens", F.raise_error(F.lit("a document has no count")).cast("bigint"))
-    return ids.join(counts, ["part", "row"], "left").select(
+    # A row per document on both sides: neither is sent to all tasks, however small Spark takes it to be.
+    return ids.join(counts.hint("merge"), ["part", "row"], "left").select(
         "doc_id", file_name, "doc_no", "first_token", counted.alias("n_tokens")
     )

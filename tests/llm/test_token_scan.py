@@ -97,3 +97,11 @@ def test_pieces_are_never_broadcast(spark, plan_of, tmp_path):
     assert [(r.n_tokens, r.first_token - 2 * r.doc_no) for r in found.collect()] == [(1, 0)] * 12000
     for plan in (planned, plan_of(found)):
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_counts_are_never_broadcast(spark, plan_of, tmp_path):
+    spark.range(200).selectExpr("id AS doc_id", "repeat('word ', cast(id % 17 AS int)) AS text").write.parquet(f"{tmp_path}/docs")
+    found = token_scan.document_token_counts(spark.read.parquet(f"{tmp_path}/docs"), model_path())
+    planned = plan_of(found)
+    assert {r.doc_id: r.n_tokens for r in found.collect()} == {i: len(LIBRARY.encode("word " * (i % 17))) for i in range(200)}
+    assert "Broadcast" not in planned and "Broadcast" not in plan_of(found)
